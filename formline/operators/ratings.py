@@ -18,8 +18,6 @@ one chunk, and all state between passes is a stored table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -108,9 +106,7 @@ def _play(df, order, home, away, outcome, pool, base, k, chunk, tolerance, start
             ends = _fold_ends(games, begins, base, k)
         else:
             begins, ends = _settle(games, begins, base, k, tolerance)
-    rated = games.groupBy("_chunk").cogroup(begins.groupBy("_chunk")).applyInPandas(
-        _rater(base, k), "_order long, home_elo double, away_elo double"
-    )
+    rated = _fold_games(games, begins, base, k)
     return rated.withColumnRenamed("_order", order), ends
 
 
@@ -167,9 +163,11 @@ def _next_begins(begins: DataFrame, ends: DataFrame, tolerance: float) -> DataFr
 
 
 def _fold_ends(games: DataFrame, begins: DataFrame, base: float, k: float) -> DataFrame:
+    rate = _rater(base, k)
+
     def ends(group: tuple, played: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         ratings: dict = {}
-        for _ in _rate(played, start, ratings, base, k):
+        for _ in rate(played, start, ratings):
             pass
         return pd.DataFrame(
             [(group[0], p, t, r) for (p, t), r in ratings.items()],
@@ -179,28 +177,33 @@ def _fold_ends(games: DataFrame, begins: DataFrame, base: float, k: float) -> Da
     return games.groupBy("_chunk").cogroup(begins.groupBy("_chunk")).applyInPandas(ends, _STATE)
 
 
-def _rater(base: float, k: float):
+def _fold_games(games: DataFrame, begins: DataFrame, base: float, k: float) -> DataFrame:
+    rate = _rater(base, k)
+
     def rated(played: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            list(_rate(played, start, {}, base, k)), columns=["_order", "home_elo", "away_elo"]
-        )
+        return pd.DataFrame(list(rate(played, start, {})), columns=["_order", "home_elo", "away_elo"])
+
+    return games.groupBy("_chunk").cogroup(begins.groupBy("_chunk")).applyInPandas(
+        rated, "_order long, home_elo double, away_elo double"
+    )
 
-    return rated
-
-
-def _rate(
-    played: pd.DataFrame, start: pd.DataFrame, ratings: dict, base: float, k: float
-) -> Iterator[tuple[int, float, float]]:
-    """Play one chunk in order; yields the ratings before each game."""
-    if len(played) == 0:
-        return
-    ratings.update(zip(zip(start["_pool"], start["_player"]), start["_rating"]))
-    games = played.sort_values("_order")
-    columns = (games[c].tolist() for c in ("_order", "_pool", "_home", "_away", "_score"))
-    for order, pool, home, away, score in zip(*columns):
-        h, a = (pool, home), (pool, away)
-        before_h, before_a = ratings.setdefault(h, base), ratings.setdefault(a, base)
-        yield order, before_h, before_a
-        expect = 1.0 / (1.0 + 10.0 ** ((before_a - before_h) / 400.0))
-        ratings[h] += k * (score - expect)
-        ratings[a] += k * ((1.0 - score) - (1.0 - expect))
+
+def _rater(base: float, k: float):
+    """A fold that travels to the workers by value, so they need no copy of this package."""
+
+    def rate(played: pd.DataFrame, start: pd.DataFrame, ratings: dict):
+        """Play one chunk in order; yields the ratings before each game."""
+        if len(played) == 0:
+            return
+        ratings.update(zip(zip(start["_pool"], start["_player"]), start["_rating"]))
+        games = played.sort_values("_order")
+        columns = (games[c].tolist() for c in ("_order", "_pool", "_home", "_away", "_score"))
+        for order, pool, home, away, score in zip(*columns):
+            h, a = (pool, home), (pool, away)
+            before_h, before_a = ratings.setdefault(h, base), ratings.setdefault(a, base)
+            yield order, before_h, before_a
+            expect = 1.0 / (1.0 + 10.0 ** ((before_a - before_h) / 400.0))
+            ratings[h] += k * (score - expect)
+            ratings[a] += k * ((1.0 - score) - (1.0 - expect))
+
+    return rate

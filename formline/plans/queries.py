@@ -20,7 +20,8 @@ from formline.streaming.ratings import rate_stream
 PAIR = ["home", "away"]
 SCORE = ["fthg", "ftag"]
 PAGE = ["page_id"]
-ARRIVALS = 8
+ARRIVALS = 4
+BOOSTING_ROUNDS = 20  # the library default is 100; enough to exercise the job on the checked tables
 
 
 def _r(column, places: int = 6):
@@ -484,7 +485,7 @@ def stream_detections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_elo(spark: SparkSession, d: str) -> DataFrame:
-    """Games arriving in eight parts, rated batch by batch with carried ratings."""
+    """Games arriving in parts, rated batch by batch with carried ratings."""
     games = fx.matches(spark, d).select("match_id", "season", *PAIR, "ftr")
     arriving, rated, offsets = (scratch_path(spark, label) for label in ("games", "rated", "offsets"))
     last = games.agg(F.max("match_id")).first()[0]
@@ -508,17 +509,19 @@ def _split_features(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 def match_model_query(spark: SparkSession, d: str) -> DataFrame:
     """Report of the outcome model on the held-out games."""
     train, test = _split_features(spark, d)
+    train = match_model.training_rows(train)
     scored = match_model.score_outcome(match_model.fit_outcome(train), test)
+    train.unpersist()
     return metrics.class_report(scored, "ftr_enc", "y_hat", CLASS_NAMES)
 
 
 def goal_models(spark: SparkSession, d: str) -> DataFrame:
     """Error of both goal models on the held-out games."""
     train, test = _split_features(spark, d)
-    train = train.persist()
+    train = match_model.training_rows(train)
     scored = test
     for target in SCORE:
-        scored = match_model.fit_goals(train, target).transform(scored)
+        scored = match_model.fit_goals(train, target, BOOSTING_ROUNDS).transform(scored)
     train.unpersist()
     return scored.agg(
         *[F.avg(F.abs(F.col(t) - F.col(f"pred_{t}"))).alias(f"mae_{t}") for t in SCORE], F.count("*").alias("n")
@@ -528,7 +531,7 @@ def goal_models(spark: SparkSession, d: str) -> DataFrame:
 def request_answers(spark: SparkSession, d: str) -> DataFrame:
     history = _features(spark, d)
     train, _ = _split_features(spark, d)
-    models = match_model.fit_models(train)
+    models = match_model.fit_models(train, boosting=BOOSTING_ROUNDS)
     return match_model.answer_requests(fx.requests(spark, d), history, models)
 
 

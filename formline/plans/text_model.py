@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from formline.functions.outcomes import TEXT_LABELS, mapped
 from formline.operators.encode import MAX_LENGTH, text_or_nan, words
 from formline.operators.metrics import argmax
+from formline.session import spread
 
 HASH_FEATURES = 1 << 18
 
@@ -26,7 +27,7 @@ def fit_text_model(train: DataFrame, text: str = "text", label: str = "label", r
         IDF(inputCol="counts", outputCol="features"),
         LogisticRegression(labelCol=label, maxIter=rounds, regParam=0.01),
     ]
-    seen = with_words(train, text).select("words", label).persist()
+    seen = spread(with_words(train, text).select("words", label)).persist()
     try:
         return Pipeline(stages=stages).fit(seen)
     finally:
