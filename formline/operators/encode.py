@@ -77,13 +77,14 @@ def encode_texts(
 ) -> DataFrame:
     """Fixed-length token ids with start and end marks, and their mask, per unique ``key``.
 
-    The texts are spread by ``key`` once; the look-up is a broadcast of the
-    size-limited vocabulary, so the words of a text never move again.
+    The words are spread by ``key`` once, as one text; the look-up is a broadcast
+    of the size-limited vocabulary, so the words of a text never move again.
     """
     first = F.slice(words(text_or_nan(text)), 1, length - 2)
-    spread = docs.select(key, first.alias("_words")).repartition(key)
+    spread = docs.select(key, F.array_join(first, " ").alias("_words")).repartition(key)
+    listed = F.when(F.col("_words") != "", F.split("_words", " "))
     found = (
-        spread.select(key, F.posexplode_outer("_words").alias("_pos", "token"))
+        spread.select(key, F.posexplode_outer(listed).alias("_pos", "token"))
         .join(F.broadcast(vocab), "token", "left")
         .groupBy(key)
         .agg(

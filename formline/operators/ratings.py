@@ -26,8 +26,8 @@ from formline.session import store
 
 BASE = 1500.0
 K = 20.0
-MIN_CHUNK = 65_536
-MAX_CHUNK = 2_097_152
+MIN_CHUNK = 1_048_576
+MAX_CHUNK = 4_194_304
 
 _STATE = "_chunk long, _pool string, _player string, _rating double"
 

@@ -256,7 +256,9 @@ def latest_or_mean_query(spark: SparkSession, d: str) -> DataFrame:
         "home": [Lagged("fthg", "home_avg_fthg"), Lagged("hs", "home_avg_hs")],
         "away": [Lagged("ftag", "away_avg_ftag"), Lagged("aws", "away_avg_aws")],
     }
-    history = lagged_rolling(games.select("match_id", *PAIR, "fthg", "hs", "ftag", "aws"), "match_id", roles)
+    history = store(
+        lagged_rolling(games.select("match_id", *PAIR, "fthg", "hs", "ftag", "aws"), "match_id", roles), "history"
+    )
     found = latest_or_mean(
         fx.requests(spark, d),
         history,
