@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from formline.operators.shaping import rename_present
+from formline.session import store
 
 SUFFIX = "_supp"
 
@@ -42,9 +43,15 @@ def fill_from_supplement(merged: DataFrame, columns: Iterable[str]) -> DataFrame
 def null_safe_merge(
     base: DataFrame, supplements: Sequence[DataFrame], key: str, rename: Mapping[str, str]
 ) -> DataFrame:
-    """Merge supplements in order; mapped columns fill the base, others are added."""
+    """Merge supplements in order; mapped columns fill the base, others are added.
+
+    A merge reads its left side three times, so each result but the last is
+    stored before the next merge instead of being planned anew.
+    """
     out = base
-    for supplement in supplements:
+    for step, supplement in enumerate(supplements):
+        if step:
+            out = store(out, "merged")
         out = outer_merge(out, rename_present(supplement, rename), key)
         out = fill_from_supplement(out, dict.fromkeys(rename.values()))
     return out

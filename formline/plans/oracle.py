@@ -211,6 +211,8 @@ ORACLE = {
     "coalesce_merge": f"""WITH {BASE}, {SUPP}, extra AS (SELECT replace(s_name, 'Supplier', 'Customer') AS k, s_acctbal AS rg FROM supplier),
         first AS (SELECT coalesce(b.k, s.k) AS k, coalesce(b.tg, s.tg) AS tg FROM base b FULL JOIN supp s ON b.k IS NOT DISTINCT FROM s.k)
         SELECT coalesce(f.k, e.k) AS k, f.tg, e.rg FROM first f FULL JOIN extra e ON f.k IS NOT DISTINCT FROM e.k""",
+    "supplements_csv": f"""WITH {BASE}, {SUPP} SELECT coalesce(b.k, s.k) AS k, coalesce(b.tg, s.tg) AS tg, CAST(1 AS INT) AS n_skipped
+        FROM base b FULL JOIN supp s ON b.k IS NOT DISTINCT FROM s.k""",
     "target_vector": f"""SELECT o_orderkey AS id, {', '.join(
         f'round(CASE WHEN o_orderkey % 4 <> {j} THEN o_totalprice * {j + 1} END, 4) AS t{j}' for j in range(3))},
         NULL::DOUBLE AS t3, CAST(4 AS INT) AS n FROM orders""",
@@ -220,11 +222,14 @@ ORACLE = {
     "median_fill": f"WITH {BASE} SELECT k, round(coalesce(tg, (SELECT median(tg) FROM base)), 6) AS tg FROM base",
     "rolling_mean": f"""WITH {MATCHES} SELECT match_id,
         {', '.join(_mean(s, side) for side in ('home', 'away') for s in STATS)} FROM matches""",
+    "rolling_sliced": f"""WITH {MATCHES} SELECT match_id, {_mean('fthg', 'home')}, {_mean('aws', 'away')} FROM matches""",
     "rolling_form": f"""WITH {MATCHES} SELECT match_id, {_form(_PTS, 'home', 'home_form')},
         {_form(_PTS, 'away', 'away_form')}, {_form(_AWAY_PTS, 'away', 'away_form_own')} FROM matches""",
     "elo": ELO_QUERY,
     "elo_chunked": ELO_QUERY,
     "stream_elo": ELO_QUERY,
+    "elo_expectation": f"""WITH RECURSIVE {MATCHES}, {ELO}
+        SELECT match_id, round(1 / (1 + pow(10::DOUBLE, (away_elo - home_elo) / 400)), 6) AS expected FROM rated WHERE no > 0""",
     "latest_or_mean": f"""WITH {MATCHES}, {REQUESTS}, feats AS MATERIALIZED (SELECT match_id, home, away,
         {_mean('fthg', 'home', 12)}, {_mean('hs', 'home', 12)}, {_mean('ftag', 'away', 12)}, {_mean('aws', 'away', 12)} FROM matches),
         h AS (SELECT home, arg_max(home_avg_fthg, match_id) AS f, arg_max(home_avg_hs, match_id) AS g FROM feats GROUP BY home),

@@ -8,7 +8,7 @@ from formline.functions.outcomes import CLASS_NAMES, away_points, away_score, ma
 from formline.operators import detections as det
 from formline.operators import encode, graphs, merges, metrics, scorelines, shaping, splits
 from formline.operators.ordered import Lagged, lagged_rolling, latest_or_mean, mean_fill, median_fill
-from formline.operators.ratings import elo_ratings, home_score
+from formline.operators.ratings import elo_ratings, expected_score, home_score
 from formline.operators.stall import stall_stop
 from formline.plans import fixtures as fx
 from formline.plans import match_model, multitarget, text_model
@@ -21,6 +21,7 @@ PAIR = ["home", "away"]
 SCORE = ["fthg", "ftag"]
 PAGE = ["page_id"]
 ARRIVALS = 4
+SLICE_ROWS, CHUNK_ROWS = 512, 8192  # small enough to cut the checked tables
 BOOSTING_ROUNDS = 20  # the library default is 100; enough to exercise the job on the checked tables
 
 
@@ -190,6 +191,17 @@ def coalesce_merge(spark: SparkSession, d: str) -> DataFrame:
     return merges.null_safe_merge(base, [supplement, extra], "k", {"tg_src": "tg"})
 
 
+def supplements_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The same merge from supplement files, one of which is missing and is skipped."""
+    folder = scratch_path(spark, "supplements")
+    fx.supp_targets(spark, d).write.option("header", True).csv(f"{folder}/one")
+    loaded, skipped = files.read_supplements(
+        spark, [(f"{folder}/one", "k string, tg_src double"), (f"{folder}/two", "k string, rg double")]
+    )
+    merged = merges.null_safe_merge(fx.base_targets(spark, d), loaded, "k", {"tg_src": "tg"})
+    return merged.withColumn("n_skipped", F.lit(len(skipped)))
+
+
 def target_vector(spark: SparkSession, d: str) -> DataFrame:
     wide = fx.scored_wide(spark, d).withColumn("t", encode.target_vector(["p0", "p1", "p2", "p3"]))
     return wide.select("id", *[_r(F.get("t", F.lit(i)), 4).alias(f"t{i}") for i in range(4)], F.size("t").alias("n"))
@@ -224,6 +236,14 @@ def rolling_mean(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(rolled.select("match_id", *out), out)
 
 
+def rolling_sliced(spark: SparkSession, d: str) -> DataFrame:
+    """Two of the rolling means with every team cut into slices, as a team with very many games would be."""
+    roles = {"home": [Lagged("fthg", "home_avg_fthg")], "away": [Lagged("aws", "away_avg_aws")]}
+    games = fx.matches(spark, d).select("match_id", *PAIR, "fthg", "aws")
+    rolled = lagged_rolling(games, "match_id", roles, width=SLICE_ROWS)
+    return _rounded(rolled.select("match_id", "home_avg_fthg", "away_avg_aws"), ["home_avg_fthg", "away_avg_aws"])
+
+
 def rolling_form(spark: SparkSession, d: str) -> DataFrame:
     games = fx.matches(spark, d).select("match_id", *PAIR, points("ftr").alias("pts"), away_points("ftr").alias("own"))
     roles = {
@@ -239,9 +259,15 @@ def elo(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(elo_ratings(fx.matches(spark, d), "match_id", *PAIR, "ftr", "season"), ["home_elo", "away_elo"], 4)
 
 
+def elo_expectation(spark: SparkSession, d: str) -> DataFrame:
+    """The home side's expected score from both ratings."""
+    rated = elo_ratings(fx.matches(spark, d), "match_id", *PAIR, "ftr", "season")
+    return rated.select("match_id", _r(expected_score(F.col("home_elo"), F.col("away_elo"))).alias("expected"))
+
+
 def elo_chunked(spark: SparkSession, d: str) -> DataFrame:
     """The same ratings folded in many chunks at once, as a long table would be."""
-    rated = elo_ratings(fx.matches(spark, d), "match_id", *PAIR, "ftr", "season", chunk=8192)
+    rated = elo_ratings(fx.matches(spark, d), "match_id", *PAIR, "ftr", "season", chunk=CHUNK_ROWS)
     return _rounded(rated, ["home_elo", "away_elo"], 4)
 
 
@@ -595,14 +621,17 @@ QUERIES = {
     "text_coerce": text_coerce,
     "outer_merge": outer_merge,
     "coalesce_merge": coalesce_merge,
+    "supplements_csv": supplements_csv,
     "target_vector": target_vector,
     "submission_join": submission_join,
     "global_mean_fill": global_mean_fill,
     "median_fill": median_fill_query,
     "rolling_mean": rolling_mean,
+    "rolling_sliced": rolling_sliced,
     "rolling_form": rolling_form,
     "elo": elo,
     "elo_chunked": elo_chunked,
+    "elo_expectation": elo_expectation,
     "elo_single_pool": elo_single_pool,
     "latest_or_mean": latest_or_mean_query,
     "stall_stop": stall_stop_query,
