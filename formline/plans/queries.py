@@ -162,11 +162,11 @@ def pair_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def team_union(spark: SparkSession, d: str) -> DataFrame:
-    return shaping.distinct_values(fx.unordered_matches(spark, d), PAIR, "team")
+    return shaping.distinct_values(fx.matches(spark, d), PAIR, "team")
 
 
 def team_list(spark: SparkSession, d: str) -> DataFrame:
-    return scorelines.team_list(fx.unordered_matches(spark, d), PAIR)
+    return scorelines.team_list(fx.matches(spark, d), PAIR)
 
 
 def text_coerce(spark: SparkSession, d: str) -> DataFrame:
@@ -302,29 +302,29 @@ def stall_stop_query(spark: SparkSession, d: str) -> DataFrame:
 
 
 def request_split(spark: SparkSession, d: str) -> DataFrame:
-    valid, rejected = scorelines.split_requests(fx.requests(spark, d), fx.unordered_matches(spark, d), *PAIR)
-    return shaping.stack_tables([valid.withColumn("reason", F.lit("valid")), rejected])
+    checked = scorelines.check_requests(fx.requests(spark, d), fx.matches(spark, d), *PAIR)
+    return checked.withColumn("reason", F.coalesce("reason", F.lit("valid")))
 
 
 def scoreline_counts(spark: SparkSession, d: str) -> DataFrame:
-    return scorelines.outcome_counts(fx.unordered_matches(spark, d), SCORE)
+    return scorelines.outcome_counts(fx.matches(spark, d), SCORE)
 
 
 def scoreline_share(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(scorelines.outcome_shares(fx.unordered_matches(spark, d), SCORE, PAIR), ["prob"])
+    return _rounded(scorelines.outcome_shares(fx.matches(spark, d), SCORE, PAIR), ["prob"])
 
 
 def head_to_head(spark: SparkSession, d: str) -> DataFrame:
-    return scorelines.head_to_head(fx.unordered_matches(spark, d), fx.requests(spark, d), PAIR)
+    return scorelines.head_to_head(fx.matches(spark, d), fx.requests(spark, d), PAIR)
 
 
 def top3_scorelines(spark: SparkSession, d: str) -> DataFrame:
-    top = scorelines.top_outcomes(fx.unordered_matches(spark, d), fx.requests(spark, d), PAIR, SCORE)
+    top = scorelines.top_outcomes(fx.matches(spark, d), fx.requests(spark, d), PAIR, SCORE)
     return _rounded(_long(top, "rank"), ["prob"])
 
 
 def likely_scoreline(spark: SparkSession, d: str) -> DataFrame:
-    likely = scorelines.likely_outcome(fx.unordered_matches(spark, d), fx.requests(spark, d), PAIR, SCORE)
+    likely = scorelines.likely_outcome(fx.matches(spark, d), fx.requests(spark, d), PAIR, SCORE)
     return likely.select("req_id", scorelines.score_text(F.col("fthg"), F.col("ftag")).alias("scoreline"), _r("prob").alias("prob"))
 
 
