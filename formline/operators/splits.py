@@ -84,10 +84,10 @@ def hash_split(
     )
     last = edges.agg(F.map_from_entries(F.collect_list(F.struct("_cut", "_edge"))).alias("_edges")).scalar()
     place = F.struct(digest(key, seed).alias("_digest"), F.col(key).alias("_key"))
-    label = F
-    for i, (text, _) in enumerate(cuts):
-        label = label.when(place <= F.try_element_at("_edges", F.lit(i)), text)
-    return df.withColumn("_edges", last).withColumn(name, label.otherwise(rest)).drop("_edges")
+    label = F.lit(rest)
+    for i, (text, _) in reversed(list(enumerate(cuts))):
+        label = F.when(place <= F.try_element_at("_edges", F.lit(i)), text).otherwise(label)
+    return df.withColumn("_edges", last).withColumn(name, label).drop("_edges")
 
 
 def split_80_20(df: DataFrame, key: str, seed: int = 42, name: str = "split") -> DataFrame:

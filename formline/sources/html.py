@@ -85,11 +85,8 @@ def html_tables(
     """
     tr = F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>")
     rows = F.transform(F.regexp_extract_all(F.col("_table"), tr, F.lit(1)), _cells)
-    parsed = (
-        pages.select(*ids, _table_text(F.col(html), table_id).alias("_table"))
-        .where(F.col("_table") != "")
-        .select(*ids, rows.alias("_rows"))
-    )
+    # A page without the table has no rows to explode, so it needs no filter of its own.
+    parsed = pages.select(*ids, _table_text(F.col(html), table_id).alias("_table")).select(*ids, rows.alias("_rows"))
     names = F.get("_rows", F.lit(0))
     if header_rows == 2:
         names = flat_names(names, F.get("_rows", F.lit(1)))
