@@ -167,13 +167,13 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     verdicts = line_quality(docs, **options).where("kept")
     key = options.get("doc_id", "doc_id"), options.get("host", "source")
     verdicts = verdicts.select(
-        F.col(key[0]).alias("_vid"), F.col(key[1]).alias("_vhost"), F.col("text_hash").alias("_vkey")
+        F.col(key[0]).alias("_line_id"), F.col(key[1]).alias("_line_host"), F.col("text_hash").alias("_line_key")
     )
     text = F.coalesce(F.col(options.get("text", "text")), F.lit(""))
     return docs.join(
         verdicts,
-        F.col(key[0]).eqNullSafe(F.col("_vid"))
-        & F.col(key[1]).eqNullSafe(F.col("_vhost"))
-        & (F.xxhash64(text) == F.col("_vkey")),
+        F.col(key[0]).eqNullSafe(F.col("_line_id"))
+        & F.col(key[1]).eqNullSafe(F.col("_line_host"))
+        & (F.xxhash64(text) == F.col("_line_key")),
         "left_semi",
     )

@@ -45,25 +45,24 @@ def poisson_count(mean: Column, unit: Column) -> Column:
 def source_rates(
     docs: DataFrame, targets: DataFrame | None = None, text: str = "text", source: str = "source"
 ) -> DataFrame:
-    """``_source, _rate`` per source. ``targets`` has the columns source and weight."""
-    mass = (
-        docs.groupBy(F.col(source).alias("_source"))
-        .agg(F.sum(F.length(F.coalesce(F.col(text), F.lit(""))).cast("double")).alias("_mass"))
+    """``_mix_source, _mix_rate`` per source. ``targets`` has the columns ``source`` and ``weight``."""
+    mass = docs.groupBy(F.col(source).alias("_mix_source")).agg(
+        F.sum(F.length(F.coalesce(F.col(text), F.lit(""))).cast("double")).alias("_mass")
     )
     if targets is None:
         weighted = mass.withColumn("_weight", F.pow("_mass", F.lit(SMOOTHING)))
     else:
-        given = targets.groupBy(F.col(source).alias("_target")).agg(F.sum("weight").alias("_weight"))
-        weighted = mass.join(given, F.col("_source").eqNullSafe(F.col("_target")), "left").drop("_target")
+        given = targets.groupBy(F.col("source").alias("_target")).agg(F.sum("weight").alias("_weight"))
+        weighted = mass.join(given, F.col("_mix_source").eqNullSafe(F.col("_target")), "left").drop("_target")
     totals = weighted.agg(F.sum("_mass").alias("_all"), F.sum("_weight").alias("_weights"))
     share = F.coalesce("_weight", F.lit(0.0)) / F.col("_weights") * F.col("_all")
     # One row of totals: the broadcast side has a fixed size.
     return weighted.join(F.broadcast(totals)).select(
-        "_source", F.when(F.col("_mass") > 0, share / F.col("_mass")).otherwise(1.0).alias("_rate")
+        "_mix_source", F.when(F.col("_mass") > 0, share / F.col("_mass")).otherwise(1.0).alias("_mix_rate")
     )
 
 
-def mix_sources(
+def replicate(
     docs: DataFrame,
     targets: DataFrame | None = None,
     doc_id: str = "doc_id",
@@ -71,19 +70,25 @@ def mix_sources(
     source: str = "source",
     seed: str = SEED,
 ) -> DataFrame:
-    """The replicated rows in global shuffled order, with ``rate``, ``copy`` (from 0) and ``shuffle_key``."""
+    """The columns of ``docs`` for every copy, in global shuffled order, and ``_mix_rate, _mix_copy, _mix_key``."""
     rates = store(source_rates(docs, targets, text, source), "mix-rates")
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    counted = (
-        docs.drop("rate", "copy", "shuffle_key")
-        .join(rates, F.col(source).eqNullSafe(F.col("_source")))
-        .withColumn("_n", poisson_count(F.col("_rate"), hashed_unit(seed, key)))
-    )
+    count = poisson_count(F.col("_mix_rate"), hashed_unit(seed, key))
     copies = (
-        counted.where(F.col("_n") > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), key, F.col("copy").cast("string"))))
+        docs.join(rates, F.col(source).eqNullSafe(F.col("_mix_source")))
+        .withColumn("_mix_count", count)
+        .where(F.col("_mix_count") > 0)
+        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(0), F.col("_mix_count") - 1)))
+        .withColumn("_mix_key", F.md5(F.concat_ws(":", F.lit(seed), key, F.col("_mix_copy").cast("string"))))
+    )
+    return (
+        copies.select(*docs.columns, "_mix_rate", "_mix_copy", "_mix_key")
+        .repartitionByRange("_mix_key")
+        .sortWithinPartitions("_mix_key")
     )
-    kept = [c for c in docs.columns if c not in ("rate", "copy", "shuffle_key")]
-    mixed = copies.select(*kept, F.col("_rate").alias("rate"), "copy", "shuffle_key")
-    return mixed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def mix_sources(docs: DataFrame, targets: DataFrame | None = None, **options: str) -> DataFrame:
+    """``replicate`` with the added columns named ``rate``, ``copy`` and ``shuffle_key``."""
+    named = {"_mix_rate": "rate", "_mix_copy": "copy", "_mix_key": "shuffle_key"}
+    return replicate(docs, targets, **options).drop(*named.values()).withColumnsRenamed(named)
