@@ -170,7 +170,8 @@ def fit(
     share = F.when(F.col("_label") == 1, sample / 2 / counts[1]).otherwise(sample / 2 / counts[0])
     picked = known.where(unit < share)
     bodies = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_own"), F.col(text).alias("_text"))
-    chosen = bodies.join(picked, F.col("_own") == F.col("_key")).select("_label", "_text")
+    # About ``sample`` keys are broadcast, so no text is shuffled.
+    chosen = bodies.join(F.broadcast(picked), F.col("_own") == F.col("_key")).select("_label", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _kinds()
