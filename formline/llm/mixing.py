@@ -54,10 +54,12 @@ def source_rates(
     else:
         given = targets.groupBy(F.col("source").alias("_target")).agg(F.sum("weight").alias("_weight"))
         weighted = mass.join(given, F.col("_mix_source").eqNullSafe(F.col("_target")), "left").drop("_target")
-    totals = weighted.agg(F.sum("_mass").alias("_all"), F.sum("_weight").alias("_weights"))
-    share = F.coalesce("_weight", F.lit(0.0)) / F.col("_weights") * F.col("_all")
-    # One row of totals: the broadcast side has a fixed size.
-    return weighted.join(F.broadcast(totals)).select(
+    weighted = store(weighted, "mix-sources")
+    everything, weights = weighted.agg(F.sum("_mass"), F.sum("_weight")).first()
+    if not everything or not weights:
+        return weighted.select("_mix_source", F.lit(1.0).alias("_mix_rate"))
+    share = F.coalesce("_weight", F.lit(0.0)) / F.lit(float(weights)) * F.lit(float(everything))
+    return weighted.select(
         "_mix_source", F.when(F.col("_mass") > 0, share / F.col("_mass")).otherwise(1.0).alias("_mix_rate")
     )
 
@@ -71,7 +73,7 @@ def replicate(
     seed: str = SEED,
 ) -> DataFrame:
     """The columns of ``docs`` for every copy, in global shuffled order, and ``_mix_rate, _mix_copy, _mix_key``."""
-    rates = store(source_rates(docs, targets, text, source), "mix-rates")
+    rates = source_rates(docs, targets, text, source)
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     count = poisson_count(F.col("_mix_rate"), hashed_unit(seed, key))
     copies = (
