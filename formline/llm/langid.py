@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from formline.llm.common import slices
+from formline.session import store
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -30,6 +31,7 @@ CENTROIDS = 4
 SAMPLE = 1000
 ROUNDS = 8
 MIN_COSINE = 0.2
+LANGUAGES = 10_000
 UNKNOWN = "und"
 
 
@@ -174,7 +176,10 @@ def _sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int) -> Da
     unit = F.pmod(F.xxhash64(F.lit("langid"), F.col(key), F.xxhash64(text)), F.lit(1 << 30)) / float(1 << 30)
     known = rows.select(F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text"), unit.alias("_unit"))
     shares = known.groupBy("_lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_share"))
-    return known.join(shares, "_lang").where(F.col("_unit") < F.col("_share")).select("_lang", "_text")
+    shares = store(shares, "languages")
+    # Languages are few; only a checked number of rows is broadcast, else texts are shuffled to the join.
+    side = F.broadcast(shares) if shares.count() <= LANGUAGES else shares
+    return known.join(side, "_lang").where(F.col("_unit") < F.col("_share")).select("_lang", "_text")
 
 
 def predict(
