@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from formline.operators.sequence import assign_sequence
 from formline.operators.shaping import distinct_values
@@ -12,9 +12,8 @@ from formline.operators.shaping import distinct_values
 # Special tokens of an encoded text, in id order.
 PAD, UNKNOWN, START, END = 0, 1, 2, 3
 FIRST_TOKEN_ID = 4
-# Sequence length and vocabulary size of the text model.
+# Fixed value: sequence length of the text model.
 MAX_LENGTH = 512
-VOCABULARY_SIZE = 30_522
 
 
 def label_index(df: DataFrame, columns: Sequence[str], name: str = "label") -> DataFrame:
@@ -57,19 +56,19 @@ def pad_mask(ids: Column, length: int = MAX_LENGTH) -> Column:
     return F.concat(F.array_repeat(F.lit(1), used), F.array_repeat(F.lit(0), F.lit(length) - used))
 
 
-def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY_SIZE) -> DataFrame:
-    """The ``size`` most frequent words of all texts: ``token, token_id``.
+def vocabulary(docs: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
+    """All words of all texts, or the most frequent that fit ``size`` ids: ``token, token_id``.
 
-    Counting is map-side combined; only the chosen words are ranked.
+    Counting is map-side combined, and the words are numbered in sorted partitions, most frequent first.
     """
     counted = (
         docs.select(F.explode(words(text_or_nan(text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    top = counted.orderBy(F.col("n").desc(), "token").limit(size - FIRST_TOKEN_ID)
-    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "token"))
-    return top.select("token", (rank - 1 + FIRST_TOKEN_ID).cast("int").alias("token_id"))
+    ranked = assign_sequence(counted.withColumn("_fewer", -F.col("n")), ["_fewer", "token"], "_id", FIRST_TOKEN_ID)
+    chosen = ranked.where(F.col("_id") < size) if size else ranked
+    return chosen.select("token", F.col("_id").cast("int").alias("token_id"))
 
 
 def encode_texts(
@@ -77,15 +76,15 @@ def encode_texts(
 ) -> DataFrame:
     """Fixed-length token ids with start and end marks, and their mask, per unique ``key``.
 
-    The words are spread by ``key`` once, as one text; the look-up is a broadcast
-    of the size-limited vocabulary, so the words of a text never move again.
+    The words are spread by ``key`` once, as one text. How they meet the vocabulary is
+    left to Spark, which broadcasts a small one and splits very frequent words otherwise.
     """
     first = F.slice(words(text_or_nan(text)), 1, length - 2)
     spread = docs.select(key, F.array_join(first, " ").alias("_words")).repartition(key)
     listed = F.when(F.col("_words") != "", F.split("_words", " "))
     found = (
         spread.select(key, F.posexplode_outer(listed).alias("_pos", "token"))
-        .join(F.broadcast(vocab), "token", "left")
+        .join(vocab, "token", "left")
         .groupBy(key)
         .agg(
             F.array_sort(

@@ -10,10 +10,11 @@ chunks instead, and all chunks are folded at the same time:
 3. Fold again only the chunks whose start moved by more than ``tolerance``,
    until none moves.
 
-Chunk ``n`` is exact after ``n`` passes at the latest. In practice the passes
-are few: a game pulls the two ratings together, so an error in the start of a
-chunk fades with each game a player has in it. No group ever holds more than
-one chunk, and all state between passes is a stored table.
+Pools are folded apart, so pools run side by side. Within a pool, chunk ``n`` is
+exact after ``n`` passes at the latest, and many passes may be needed: an error
+in a start fades only slowly with the games of a player. A pool of one chunk
+takes one pass. No group ever holds more than one chunk of one pool, and all
+state between passes is a stored table.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def elo_ratings(
     base: float = BASE,
     k: float = K,
     chunk: int | None = None,
-    tolerance: float = 1e-10,
+    tolerance: float = 0.0,
     starts: DataFrame | None = None,
 ) -> DataFrame:
     """Pre-game ratings of both sides: ``order, home_elo, away_elo``.
@@ -60,7 +61,8 @@ def elo_ratings(
     ``order`` must be unique and integral over the whole table (see
     ``assign_sequence``). Players are rated within ``pool``; without one, all
     games share a pool. ``starts`` (``_pool, _player, _rating``) continues from
-    earlier ratings.
+    earlier ratings. A game without one of its sides is rated null. The default
+    ``tolerance`` gives the ratings of a plain loop exactly.
     """
     return _play(df, order, home, away, outcome, pool, base, k, chunk, tolerance, starts)[0]
 
@@ -75,7 +77,7 @@ def elo_with_final(
     base: float = BASE,
     k: float = K,
     chunk: int | None = None,
-    tolerance: float = 1e-10,
+    tolerance: float = 0.0,
     starts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """As ``elo_ratings``, and the final rating of each player that played."""
@@ -94,20 +96,15 @@ def _play(df, order, home, away, outcome, pool, base, k, chunk, tolerance, start
         F.col(away).cast("string").alias("_away"),
         home_score(outcome).alias("_score"),
     )
-    single = slicing.high - slicing.low < slicing.width
-    if not single:
-        games = store(games, "elo-games")
-    if single and starts is None:
-        begins = df.sparkSession.createDataFrame([], _STATE)
-        ends = _fold_ends(games, begins, base, k)
-    else:
-        begins = store(_seats(games, starts, base), "elo-begins")
-        if single:
-            ends = _fold_ends(games, begins, base, k)
-        else:
-            begins, ends = _settle(games, begins, base, k, tolerance)
-    rated = _fold_games(games, begins, base, k)
-    return rated.withColumnRenamed("_order", order), ends
+    games = store(games, "elo-games")
+    begins, ends = _settle(games, store(_seats(games, starts, base), "elo-begins"), base, k, tolerance)
+    rated = _fold_games(games, begins, base, k).withColumnRenamed("_order", order)
+    unplayed = df.where(F.col(home).isNull() | F.col(away).isNull()).select(
+        F.col(order).cast("long").alias(order),
+        F.lit(None).cast("double").alias("home_elo"),
+        F.lit(None).cast("double").alias("away_elo"),
+    )
+    return rated.unionByName(unplayed), ends
 
 
 def _chunks(df: DataFrame, order: str, chunk: int | None) -> Slicing:
@@ -137,12 +134,12 @@ def _settle(games: DataFrame, begins: DataFrame, base: float, k: float, toleranc
         moved = store(_next_begins(begins, ends, tolerance), "elo-begins")
         if not moved.where("_again").limit(1).count():
             return begins, ends
-        again = moved.where("_again").select("_chunk").distinct()
+        again = moved.where("_again").select("_pool", "_chunk").distinct()
         begins = moved.select("_chunk", "_pool", "_player", "_rating")
         replayed = _fold_ends(
-            games.join(again, "_chunk", "left_semi"), begins.join(again, "_chunk", "left_semi"), base, k
+            games.join(again, ["_pool", "_chunk"], "left_semi"), begins.join(again, ["_pool", "_chunk"], "left_semi"), base, k
         )
-        ends = store(ends.join(again, "_chunk", "left_anti").unionByName(replayed), "elo-ends")
+        ends = store(ends.join(again, ["_pool", "_chunk"], "left_anti").unionByName(replayed), "elo-ends")
 
 
 def _next_begins(begins: DataFrame, ends: DataFrame, tolerance: float) -> DataFrame:
@@ -154,7 +151,7 @@ def _next_begins(begins: DataFrame, ends: DataFrame, tolerance: float) -> DataFr
         .withColumn("_rating", F.coalesce(F.lag("_rating").over(career), F.col("_used")))
         .withColumn(
             "_again",
-            F.max(F.abs(F.col("_rating") - F.col("_used")) > tolerance).over(Window.partitionBy("_chunk")),
+            F.max(F.abs(F.col("_rating") - F.col("_used")) > tolerance).over(Window.partitionBy("_pool", "_chunk")),
         )
         # An unmoved chunk keeps the start it was folded from.
         .withColumn("_rating", F.when(F.col("_again"), F.col("_rating")).otherwise(F.col("_used")))
@@ -170,11 +167,11 @@ def _fold_ends(games: DataFrame, begins: DataFrame, base: float, k: float) -> Da
         for _ in rate(played, start, ratings):
             pass
         return pd.DataFrame(
-            [(group[0], p, t, r) for (p, t), r in ratings.items()],
+            [(group[1], p, t, r) for (p, t), r in ratings.items()],
             columns=["_chunk", "_pool", "_player", "_rating"],
         )
 
-    return games.groupBy("_chunk").cogroup(begins.groupBy("_chunk")).applyInPandas(ends, _STATE)
+    return games.groupBy("_pool", "_chunk").cogroup(begins.groupBy("_pool", "_chunk")).applyInPandas(ends, _STATE)
 
 
 def _fold_games(games: DataFrame, begins: DataFrame, base: float, k: float) -> DataFrame:
@@ -183,7 +180,7 @@ def _fold_games(games: DataFrame, begins: DataFrame, base: float, k: float) -> D
     def rated(played: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(rate(played, start, {})), columns=["_order", "home_elo", "away_elo"])
 
-    return games.groupBy("_chunk").cogroup(begins.groupBy("_chunk")).applyInPandas(
+    return games.groupBy("_pool", "_chunk").cogroup(begins.groupBy("_pool", "_chunk")).applyInPandas(
         rated, "_order long, home_elo double, away_elo double"
     )
 

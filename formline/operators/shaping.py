@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 
@@ -25,6 +25,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floats}) if floats else df
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """The column with NaN read as missing."""
+    floating = isinstance(df.schema[column].dataType, (DoubleType, FloatType))
+    return F.nanvl(F.col(column), F.lit(None)) if floating else F.col(column)
+
+
 def rename_present(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename the columns that exist; others in the map are ignored."""
     return df.withColumnsRenamed(dict(names))

@@ -10,6 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from formline.operators.graphs import degrees, mean_pool
+from formline.operators.shaping import present
 
 
 def graph_inputs(nodes: DataFrame, edges: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -22,7 +23,7 @@ def fit_targets(
 ) -> dict[str, Model | None]:
     """A model per target on its labelled rows; None for a target without labels."""
     ready = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(samples)
-    ready = ready.select("features", *targets).persist()
+    ready = ready.select("features", *[present(samples, t).alias(t) for t in targets]).persist()
     try:
         labelled = ready.agg(*[F.count(t).alias(t) for t in targets]).first()
         return {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from formline.operators.encode import FIRST_TOKEN_ID, MAX_LENGTH, VOCABULARY_SIZE
+from formline.operators.encode import FIRST_TOKEN_ID, MAX_LENGTH
 from formline.plans.fixtures import CLASSES, STATS
 from formline.plans.match_model import FEATURES
 from formline.sources.html import AGAINST_TABLE, FOR_TABLE, SEASON_URL
@@ -279,7 +279,7 @@ ORACLE = {
     "token_ids": f"""WITH w AS MATERIALIZED (SELECT doc_id, {WORDS} AS words FROM documents),
         counted AS (SELECT token, count(*) AS n FROM (SELECT unnest(words) AS token FROM w) GROUP BY token),
         vocab AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY n DESC, token) + {FIRST_TOKEN_ID - 1} AS id
-          FROM counted ORDER BY n DESC, token LIMIT {VOCABULARY_SIZE - FIRST_TOKEN_ID}),
+          FROM counted),
         seq AS (SELECT doc_id, unnest(words[1:{_N - 2}]) AS token, generate_subscripts(words[1:{_N - 2}], 1) AS pos FROM w),
         ids AS (SELECT doc_id, list(coalesce(id, 1) ORDER BY pos) AS ids FROM seq LEFT JOIN vocab USING (token) GROUP BY doc_id),
         marked AS (SELECT w.doc_id, list_concat(list_concat([2], coalesce(ids, [])), [3]) AS ids FROM w LEFT JOIN ids USING (doc_id))

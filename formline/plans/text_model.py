@@ -9,16 +9,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from formline.functions.outcomes import TEXT_LABELS, mapped
-from formline.operators.encode import MAX_LENGTH, text_or_nan, words
+from formline.operators.encode import text_or_nan, words
 from formline.operators.metrics import argmax
-from formline.session import spread
 
 HASH_FEATURES = 1 << 18
 
 
-def with_words(df: DataFrame, text: str = "text", length: int = MAX_LENGTH) -> DataFrame:
-    """The words the model sees: its input length is part of the model."""
-    return df.withColumn("words", F.slice(words(text_or_nan(text)), 1, length))
+def with_words(df: DataFrame, text: str = "text", length: int | None = None) -> DataFrame:
+    """The words the model sees: all of them, or the first ``length``."""
+    listed = words(text_or_nan(text))
+    return df.withColumn("words", F.slice(listed, 1, length) if length else listed)
 
 
 def fit_text_model(train: DataFrame, text: str = "text", label: str = "label", rounds: int = 50) -> PipelineModel:
@@ -27,7 +27,7 @@ def fit_text_model(train: DataFrame, text: str = "text", label: str = "label", r
         IDF(inputCol="counts", outputCol="features"),
         LogisticRegression(labelCol=label, maxIter=rounds, regParam=0.01),
     ]
-    seen = spread(with_words(train, text).select("words", label)).persist()
+    seen = with_words(train, text).select("words", label).persist()
     try:
         return Pipeline(stages=stages).fit(seen)
     finally:

@@ -152,3 +152,13 @@ def test_stall_equals_the_loop(spark, width):
     got = {r.run: (r.stop, r.best_step, r.best) for r in stall_stop(df, "run", "epoch", "loss", width=width).collect()}
     assert got == {r: brute_stall(v, 5) for r, v in runs.items()}
     assert got[1] == (9, 4, 0.8)
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", nan), (3, "a", 3.0), (4, "a", 5.0)], "ord long, k string, v double")
+    rolled = lagged_rolling(df, "ord", {"k": [Lagged("v", "m")]})
+    assert [r.m for r in rolled.orderBy("ord").collect()] == [3.0, 1.0, 1.0, 2.0]
+    holes = spark.createDataFrame([(1.0,), (3.0,), (nan,), (None,)], "v double")
+    assert sorted(r.v for r in mean_fill(holes, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
+    assert sorted(r.v for r in median_fill(holes, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]

@@ -83,3 +83,9 @@ def test_stream_continues_ratings_over_batches(spark):
     close(collected(rated), want)
     final = {r.player: r.rating for r in final_ratings(spark, out).collect()}
     assert final == pytest.approx({t: r for (_, t), r in ratings.items()})
+
+
+def test_a_game_without_a_side_is_kept_unrated(spark):
+    df = spark.createDataFrame([(1, "a", "b", "H"), (2, "a", None, "H"), (3, "a", "b", "A")], "ord long, home string, away string, ftr string")
+    got = {r.ord: (r.home_elo, r.away_elo) for r in elo_ratings(df, "ord", "home", "away", "ftr").collect()}
+    assert got[2] == (None, None) and got[1] == (1500.0, 1500.0) and got[3] == (1510.0, 1490.0)
