@@ -323,14 +323,18 @@ def round_trip(spark: SparkSession, pages: DataFrame, page_id: str = "page_id",
         ),
         "warc-records",
     )
-    held = records.where(F.col("record_type") == "response").select(
-        F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")
-    ).dropDuplicates(["_page"])
-    # A revisit's payload is that of the record it refers to.
-    return records.join(held, F.col("refers_to") == F.col("_page"), "left").select(
-        "page_id",
-        F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
-        F.coalesce(F.when(F.col("record_type") == "revisit", F.col("_digest")), "payload_digest").alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    responses = records.where(F.col("record_type") == "response")
+    held = store(
+        responses.groupBy(F.col("page_id").alias("_page")).agg(
+            F.min(F.struct("payload_bytes", "payload_digest")).alias("_held")
+        ),
+        "warc-held",
+    )
+    # A revisit's payload is that of the record it refers to; only revisits have a key to join on.
+    revisits = (
+        records.where(F.col("record_type") == "revisit")
+        .drop("payload_bytes", "payload_digest")
+        .join(held, F.col("refers_to") == F.col("_page"), "left")
     )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return responses.select(*columns).unionByName(revisits.select("page_id", "_held.*", "record_type", "refers_to"))
