@@ -1,20 +1,21 @@
 """Pairwise (Elo) ratings over an ordered table of games.
 
 A rating depends on every earlier game of both sides, so no window frame can
-express it and a single group would run in one task. The order is cut into
-chunks instead, and all chunks are folded at the same time:
-
-1. Fold every chunk from the ratings known at its start (at first: the base).
-2. The ratings at a chunk's end become the start of the next chunk in which
-   that player appears.
-3. Fold again only the chunks whose start moved by more than ``tolerance``,
-   until none moves.
-
-Pools are folded apart, so pools run side by side. Within a pool, chunk ``n`` is
-exact after ``n`` passes at the latest, and many passes may be needed: an error
-in a start fades only slowly with the games of a player. A pool of one chunk
-takes one pass. No group ever holds more than one chunk of one pool, and all
-state between passes is a stored table.
+express it and a single group would run in one task. The games of each pool are
+numbered in order and cut into chunks of ``chunk`` games. Pass ``n`` plays chunk
+``n`` of every pool at once, from the ratings the earlier chunks left behind:
+
+1. Per chunk and player in it (a seat), the chunk in which that player appears
+   next is found beforehand.
+2. A pass writes the rated games and, for each seat, the rating at the chunk's
+   end under the number of the chunk that will read it.
+3. The next pass reads its own games, its own seats and what is addressed to it.
+
+Every game is played once, so the work is linear in the games and the result is
+that of a plain loop. Pools run side by side; one pool is sequential by its
+nature, so the passes are those of the longest pool (its games / ``chunk``). No
+group ever holds more than one chunk of one pool, and all state between passes
+is a stored table.
 """
 
 from __future__ import annotations
@@ -22,15 +23,15 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from formline.operators.slices import Slicing
-from formline.session import store
+from formline.operators.sequence import sequence_within
+from formline.session import scratch_path
 
 BASE = 1500.0
 K = 20.0
-MIN_CHUNK = 1_048_576
-MAX_CHUNK = 4_194_304
+CHUNK = 262_144
 
-_STATE = "_chunk long, _pool string, _player string, _rating double"
+_PLAYED, _LAST = -1, -2  # what a pass writes besides ratings for a later chunk: games, and final ratings
+_OUT = "_order long, home_elo double, away_elo double, _pool string, _player string, _rating double, _next long"
 
 
 def home_score(outcome: str) -> Column:
@@ -52,19 +53,18 @@ def elo_ratings(
     pool: str | None = None,
     base: float = BASE,
     k: float = K,
-    chunk: int | None = None,
-    tolerance: float = 0.0,
+    chunk: int = CHUNK,
     starts: DataFrame | None = None,
 ) -> DataFrame:
     """Pre-game ratings of both sides: ``order, home_elo, away_elo``.
 
-    ``order`` must be unique and integral over the whole table (see
-    ``assign_sequence``). Players are rated within ``pool``; without one, all
-    games share a pool. ``starts`` (``_pool, _player, _rating``) continues from
-    earlier ratings. A game without one of its sides is rated null. The default
-    ``tolerance`` gives the ratings of a plain loop exactly.
+    ``order`` must be unique and integral (see ``assign_sequence``); gaps of any
+    size are fine. Players are rated within ``pool``; without one, all games
+    share a pool, and games without a pool value form one of their own.
+    ``starts`` (``_pool, _player, _rating``) continues from earlier ratings. A
+    game without one of its sides is rated null.
     """
-    return _play(df, order, home, away, outcome, pool, base, k, chunk, tolerance, starts)[0]
+    return elo_with_final(df, order, home, away, outcome, pool, base, k, chunk, starts)[0]
 
 
 def elo_with_final(
@@ -76,131 +76,106 @@ def elo_with_final(
     pool: str | None = None,
     base: float = BASE,
     k: float = K,
-    chunk: int | None = None,
-    tolerance: float = 0.0,
+    chunk: int = CHUNK,
     starts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """As ``elo_ratings``, and the final rating of each player that played."""
-    games, ends = _play(df, order, home, away, outcome, pool, base, k, chunk, tolerance, starts)
-    final = ends.groupBy("_pool", "_player").agg(F.max_by("_rating", "_chunk").alias("_rating"))
-    return games, final
-
-
-def _play(df, order, home, away, outcome, pool, base, k, chunk, tolerance, starts):
-    slicing = _chunks(df, order, chunk)
-    games = df.where(F.col(home).isNotNull() & F.col(away).isNotNull()).select(
-        slicing.number(order).alias("_chunk"),
+    """As ``elo_ratings``, and the final rating of each player that played: ``_pool, _player, _rating``."""
+    sides = F.col(home).isNotNull() & F.col(away).isNotNull()
+    games = df.where(sides).select(
         F.col(order).cast("long").alias("_order"),
         (F.col(pool) if pool else F.lit("")).cast("string").alias("_pool"),
         F.col(home).cast("string").alias("_home"),
         F.col(away).cast("string").alias("_away"),
         home_score(outcome).alias("_score"),
     )
-    games = store(games, "elo-games")
-    begins, ends = _settle(games, store(_seats(games, starts, base), "elo-begins"), base, k, tolerance)
-    rated = _fold_games(games, begins, base, k).withColumnRenamed("_order", order)
-    unplayed = df.where(F.col(home).isNull() | F.col(away).isNull()).select(
+    numbered = sequence_within(games, "_pool", ["_order"], "_rank")
+    games = _store_by(
+        numbered.withColumn("_chunk", F.floor((F.col("_rank") - 1) / chunk).cast("long")).drop("_rank"), "_chunk", "elo-games"
+    )
+    results = _passes(games, _store_by(_seats(games, starts, base), "_chunk", "elo-seats"), k)
+    rated = results.where(F.col("_next") == _PLAYED).select(F.col("_order").alias(order), "home_elo", "away_elo")
+    final = results.where(F.col("_next") == _LAST).select("_pool", "_player", "_rating")
+    unplayed = df.where(~sides).select(
         F.col(order).cast("long").alias(order),
         F.lit(None).cast("double").alias("home_elo"),
         F.lit(None).cast("double").alias("away_elo"),
     )
-    return rated.unionByName(unplayed), ends
+    return rated.unionByName(unplayed), final
 
 
-def _chunks(df: DataFrame, order: str, chunk: int | None) -> Slicing:
-    low, high, rows = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    if not rows:
-        return Slicing(0, 0, 0, chunk or MIN_CHUNK)
-    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
-    even = (int(high) - int(low) + 1) // tasks
-    return Slicing(int(low), int(high), rows, chunk or max(MIN_CHUNK, min(MAX_CHUNK, even)))
+def _store_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Stored with a folder per value of ``key``, so that a pass reads its own chunk only."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.partitionBy(key).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _seats(games: DataFrame, starts: DataFrame | None, base: float) -> DataFrame:
-    """One row per chunk and player in it, with the rating known before any chunk is played."""
-    seats = games.select("_chunk", "_pool", F.explode(F.array("_home", "_away")).alias("_player")).distinct()
-    if starts is None:
-        return seats.withColumn("_rating", F.lit(base))
-    known = starts.select("_pool", "_player", F.col("_rating").alias("_given"))
-    return seats.join(known, ["_pool", "_player"], "left").select(
-        "_chunk", "_pool", "_player", F.coalesce("_given", F.lit(base)).alias("_rating")
-    )
-
-
-def _settle(games: DataFrame, begins: DataFrame, base: float, k: float, tolerance: float):
-    """Fold chunks until every start equals the end it continues."""
-    ends = store(_fold_ends(games, begins, base, k), "elo-ends")
-    while True:
-        moved = store(_next_begins(begins, ends, tolerance), "elo-begins")
-        if not moved.where("_again").limit(1).count():
-            return begins, ends
-        again = moved.where("_again").select("_pool", "_chunk").distinct()
-        begins = moved.select("_chunk", "_pool", "_player", "_rating")
-        replayed = _fold_ends(
-            games.join(again, ["_pool", "_chunk"], "left_semi"), begins.join(again, ["_pool", "_chunk"], "left_semi"), base, k
-        )
-        ends = store(ends.join(again, ["_pool", "_chunk"], "left_anti").unionByName(replayed), "elo-ends")
-
-
-def _next_begins(begins: DataFrame, ends: DataFrame, tolerance: float) -> DataFrame:
-    """Each start as the player's previous end; ``_again`` marks chunks with a moved start."""
+    """One row per chunk and player in it: the chunk that needs the rating next, and a first seat's rating."""
     career = Window.partitionBy("_pool", "_player").orderBy("_chunk")
-    return (
-        begins.withColumnRenamed("_rating", "_used")
-        .join(ends, ["_chunk", "_pool", "_player"])
-        .withColumn("_rating", F.coalesce(F.lag("_rating").over(career), F.col("_used")))
-        .withColumn(
-            "_again",
-            F.max(F.abs(F.col("_rating") - F.col("_used")) > tolerance).over(Window.partitionBy("_pool", "_chunk")),
-        )
-        # An unmoved chunk keeps the start it was folded from.
-        .withColumn("_rating", F.when(F.col("_again"), F.col("_rating")).otherwise(F.col("_used")))
-        .select("_chunk", "_pool", "_player", "_rating", "_again")
+    seats = (
+        games.select("_chunk", "_pool", F.explode(F.array("_home", "_away")).alias("_player"))
+        .distinct()
+        .withColumn("_first", F.lag("_chunk").over(career).isNull())
+        .withColumn("_next", F.coalesce(F.lead("_chunk").over(career), F.lit(_LAST)).cast("long"))
     )
+    given = F.lit(base)
+    if starts is not None:
+        seats = _with_ratings(seats, starts, "_given")
+        given = F.coalesce("_given", given)
+    return seats.select("_chunk", "_pool", "_player", "_next", F.when(F.col("_first"), given).alias("_rating"))
 
 
-def _fold_ends(games: DataFrame, begins: DataFrame, base: float, k: float) -> DataFrame:
-    rate = _rater(base, k)
-
-    def ends(group: tuple, played: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        ratings: dict = {}
-        for _ in rate(played, start, ratings):
-            pass
-        return pd.DataFrame(
-            [(group[1], p, t, r) for (p, t), r in ratings.items()],
-            columns=["_chunk", "_pool", "_player", "_rating"],
-        )
-
-    return games.groupBy("_pool", "_chunk").cogroup(begins.groupBy("_pool", "_chunk")).applyInPandas(ends, _STATE)
-
-
-def _fold_games(games: DataFrame, begins: DataFrame, base: float, k: float) -> DataFrame:
-    rate = _rater(base, k)
-
-    def rated(played: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(rate(played, start, {})), columns=["_order", "home_elo", "away_elo"])
-
-    return games.groupBy("_pool", "_chunk").cogroup(begins.groupBy("_pool", "_chunk")).applyInPandas(
-        rated, "_order long, home_elo double, away_elo double"
+def _with_ratings(seats: DataFrame, ratings: DataFrame, name: str) -> DataFrame:
+    known = ratings.select(
+        F.col("_pool").alias("_of_pool"), F.col("_player").alias("_of_player"), F.col("_rating").alias(name)
     )
-
-
-def _rater(base: float, k: float):
+    same = F.col("_pool").eqNullSafe(F.col("_of_pool")) & (F.col("_player") == F.col("_of_player"))
+    return seats.join(known, same, "left").drop("_of_pool", "_of_player")
+
+
+def _passes(games: DataFrame, seats: DataFrame, k: float) -> DataFrame:
+    """Play the chunks in turn; what all passes wrote."""
+    spark = games.sparkSession
+    last = games.agg(F.max("_chunk")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], _OUT)
+    path = scratch_path(spark, "elo-passes")
+    written = lambda: spark.read.schema(_OUT).parquet(path)
+    fold = _fold(k)
+    for n in range(last + 1):
+        begins = seats.where(F.col("_chunk") == n)
+        if n:
+            carried = written().where(F.col("_next") == n)
+            begins = _with_ratings(begins, carried, "_carried").withColumn("_rating", F.coalesce("_carried", "_rating"))
+        begins = begins.select("_pool", "_player", "_next", "_rating")
+        chunk = games.where(F.col("_chunk") == n)
+        played = chunk.groupBy("_pool").cogroup(begins.groupBy("_pool")).applyInPandas(fold, _OUT)
+        played.write.partitionBy("_next").parquet(f"{path}/pass={n}")
+    return written()
+
+
+def _fold(k: float):
     """A fold that travels to the workers by value, so they need no copy of this package."""
+    mark = _PLAYED
 
-    def rate(played: pd.DataFrame, start: pd.DataFrame, ratings: dict):
-        """Play one chunk in order; yields the ratings before each game."""
-        if len(played) == 0:
-            return
-        ratings.update(zip(zip(start["_pool"], start["_player"]), start["_rating"]))
+    def fold(key: tuple, played: pd.DataFrame, begins: pd.DataFrame) -> pd.DataFrame:
+        """The games of one chunk with the ratings before each, then the ratings at its end."""
+        ratings = dict(zip(begins["_player"], begins["_rating"]))
         games = played.sort_values("_order")
-        columns = (games[c].tolist() for c in ("_order", "_pool", "_home", "_away", "_score"))
-        for order, pool, home, away, score in zip(*columns):
-            h, a = (pool, home), (pool, away)
-            before_h, before_a = ratings.setdefault(h, base), ratings.setdefault(a, base)
-            yield order, before_h, before_a
-            expect = 1.0 / (1.0 + 10.0 ** ((before_a - before_h) / 400.0))
-            ratings[h] += k * (score - expect)
-            ratings[a] += k * ((1.0 - score) - (1.0 - expect))
-
-    return rate
+        before = []
+        for home, away, score in zip(*(games[c].tolist() for c in ("_home", "_away", "_score"))):
+            h, a = ratings[home], ratings[away]
+            before.append((h, a))
+            expect = 1.0 / (1.0 + 10.0 ** ((a - h) / 400.0))
+            ratings[home] += k * (score - expect)
+            ratings[away] += k * ((1.0 - score) - (1.0 - expect))
+        rated = pd.DataFrame(before, columns=["home_elo", "away_elo"])
+        rated.insert(0, "_order", games["_order"].to_numpy())
+        rated["_next"] = mark
+        ends = begins[["_player", "_next"]].assign(_pool=key[0], _rating=[ratings[p] for p in begins["_player"]])
+        both = pd.concat([rated, ends], ignore_index=True)
+        both["_order"] = both["_order"].astype("Int64")
+        return both[["_order", "home_elo", "away_elo", "_pool", "_player", "_rating", "_next"]]
+
+    return fold

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from formline.operators.ratings import BASE, K, elo_with_final
+from formline.operators.ratings import BASE, CHUNK, K, elo_with_final
 
 _STATE = "_pool string, _player string, _rating double"
 
@@ -26,7 +26,7 @@ def rate_stream(
     pool: str | None = None,
     base: float = BASE,
     k: float = K,
-    chunk: int | None = None,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Rate all games that are there; returns ``order, home_elo, away_elo`` of every batch."""
     spark = games.sparkSession

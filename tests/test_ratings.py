@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from formline.operators.ratings import elo_ratings, elo_with_final
+from formline.operators import ratings
+from formline.operators.ratings import CHUNK, elo_ratings, elo_with_final
 from formline.session import scratch_path
 from formline.streaming.ratings import final_ratings, rate_stream
 from tests.test_ordered import games
@@ -31,16 +32,16 @@ def close(got, want, tolerance=1e-8):
     assert max(abs(g - w) for key in want for g, w in zip(got[key], want[key])) <= tolerance
 
 
-@pytest.mark.parametrize("chunk", [None, 100, 29])
+@pytest.mark.parametrize("chunk", [CHUNK, 100, 29])
 def test_chunked_equals_loop_single_pool(spark, chunk):
     pdf = games()
     df = spark.createDataFrame(pdf.sample(frac=1, random_state=4))
     close(collected(elo_ratings(df, "ord", "home", "away", "ftr", chunk=chunk)), loop(pdf)[0])
 
 
-def test_zero_tolerance_is_exact(spark):
+def test_chunks_give_exactly_the_loop(spark):
     pdf = games(120)
-    got = elo_ratings(spark.createDataFrame(pdf), "ord", "home", "away", "ftr", chunk=30, tolerance=0.0)
+    got = elo_ratings(spark.createDataFrame(pdf), "ord", "home", "away", "ftr", chunk=30)
     assert collected(got) == loop(pdf)[0]
 
 
@@ -57,6 +58,25 @@ def test_many_players_with_few_games_each(spark):
     close(collected(elo_ratings(df, "ord", "home", "away", "ftr", chunk=50)), loop(pdf)[0])
 
 
+def test_gaps_in_the_order_add_no_passes_and_each_game_is_played_once(spark, monkeypatch):
+    paths = []
+    monkeypatch.setattr(ratings, "scratch_path", lambda *a: paths.append(scratch_path(*a)) or paths[-1])
+    pdf = games(60)
+    pdf["ord"] *= 5_000_000_000
+    df = spark.createDataFrame(pdf)
+    close(collected(elo_ratings(df, "ord", "home", "away", "ftr", chunk=20)), loop(pdf)[0])
+    written = spark.read.parquet(paths[-1])
+    assert written.agg(F.max("pass")).first()[0] == 2
+    assert written.where("_next = -1").count() == 60
+
+
+def test_games_without_a_pool_are_a_pool(spark):
+    pdf = games(90)
+    pdf["league"] = [None if i % 2 else "x" for i in pdf["ord"]]
+    df = spark.createDataFrame(pdf, "ord long, home string, away string, goals long, ftr string, league string")
+    close(collected(elo_ratings(df, "ord", "home", "away", "ftr", "league", chunk=16)), loop(pdf, "league")[0])
+
+
 def test_first_game_is_at_the_base_and_ratings_sum_to_it(spark):
     pdf = games(200)
     rated, final = elo_with_final(spark.createDataFrame(pdf), "ord", "home", "away", "ftr", chunk=40)
