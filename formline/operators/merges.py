@@ -12,10 +12,11 @@ from formline.session import store
 SUFFIX = "_supp"
 
 
-def outer_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer merge; null keys match each other and duplicates multiply.
+def outer_merge(left: DataFrame, right: DataFrame, key: str, null_keys: str = "keep") -> DataFrame:
+    """Full outer merge; duplicates multiply.
 
-    Clashing columns of ``right`` get the suffix ``_supp``. A full outer join
+    Rows with a null key are kept unmatched, or with ``null_keys="match"`` match
+    each other, which multiplies them: only for few such rows. Clashing columns of ``right`` get the suffix ``_supp``. A full outer join
     cannot be split when one key is hot, so it is put together from an inner
     join and two anti joins against distinct keys, each of which adaptive
     execution can split on the side that is skewed.
@@ -23,7 +24,9 @@ def outer_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     other = right.withColumnsRenamed(
         {c: c + SUFFIX for c in right.columns if c != key and c in left.columns}
     ).withColumnRenamed(key, "_key")
-    same = F.col(key).eqNullSafe(F.col("_key"))
+    if null_keys not in ("keep", "match"):
+        raise ValueError(f"unknown null_keys {null_keys!r}")
+    same = F.col(key).eqNullSafe(F.col("_key")) if null_keys == "match" else F.col(key) == F.col("_key")
     both = left.join(other, same).drop("_key")
     only_left = left.join(other.select("_key").distinct(), same, "left_anti")
     only_right = other.join(left.select(key).distinct(), same, "left_anti").withColumnRenamed("_key", key)
@@ -41,10 +44,12 @@ def fill_from_supplement(merged: DataFrame, columns: Iterable[str]) -> DataFrame
 
 
 def null_safe_merge(
-    base: DataFrame, supplements: Sequence[DataFrame], key: str, rename: Mapping[str, str]
+    base: DataFrame, supplements: Sequence[DataFrame], key: str, rename: Mapping[str, str], null_keys: str = "keep"
 ) -> DataFrame:
     """Merge supplements in order; mapped columns fill the base, others are added.
 
+    ``null_keys`` as in ``outer_merge``.
+
     A merge reads its left side three times, so each result but the last is
     stored before the next merge instead of being planned anew.
     """
@@ -52,7 +57,7 @@ def null_safe_merge(
     for step, supplement in enumerate(supplements):
         if step:
             out = store(out, "merged")
-        out = outer_merge(out, rename_present(supplement, rename), key)
+        out = outer_merge(out, rename_present(supplement, rename), key, null_keys)
         out = fill_from_supplement(out, dict.fromkeys(rename.values()))
     return out
 

@@ -129,22 +129,38 @@ def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def base_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sparse target per key; the last customer of each nation has no key (null)."""
-    c = table(spark, sf_dir, "customer")
-    return c.where(F.col("c_custkey") % 3 != 0).select(
-        F.when(F.col("c_custkey") % 500 != 1, F.col("c_name")).alias("k"),
+def _targets(customers: DataFrame) -> DataFrame:
+    """A sparse target per key; three customers have no key (null)."""
+    return customers.select(
+        F.when(~F.col("c_custkey").isin(1, 501, 1001), F.col("c_name")).alias("k"),
         F.when(F.col("c_custkey") % 2 == 0, F.col("c_acctbal")).alias("tg"),
     )
 
 
+def all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sparse target of every customer."""
+    return _targets(table(spark, sf_dir, "customer"))
+
+
+def gappy_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target of every customer; of the missing ones, some are NaN and the rest null."""
+    c = table(spark, sf_dir, "customer")
+    target = F.when(F.col("c_custkey") % 2 == 0, F.col("c_acctbal")).when(F.col("c_custkey") % 11 == 0, float("nan"))
+    return c.select(F.col("c_name").alias("k"), target.alias("tg"))
+
+
+def base_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets of two thirds of the keys, so that a merge has keys without a match on either side."""
+    return _targets(table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 != 0))
+
+
 def supp_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A supplement under another column name, with repeated keys and a null key."""
+    """A supplement under another column name, with repeated keys and two null keys."""
     c = table(spark, sf_dir, "customer")
     name, balance = F.col("c_name"), F.col("c_acctbal")
     once = c.where(F.col("c_custkey") % 3 != 1).select(name.alias("k"), (balance + 1).alias("tg_src"))
     again = c.where(F.col("c_custkey") % 50 == 0).select(
-        F.when(F.col("c_custkey") % 750 != 0, name).alias("k"), (balance + 2).alias("tg_src")
+        F.when(~F.col("c_custkey").isin(750, 1500), name).alias("k"), (balance + 2).alias("tg_src")
     )
     return once.unionAll(again)
 

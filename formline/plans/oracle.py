@@ -47,10 +47,12 @@ weighted AS (SELECT *, (1.0::DOUBLE / value_range) * CASE WHEN total = 0 THEN 1.
   SELECT *, sum(root) OVER () AS total, count(*) OVER () AS k FROM (
     SELECT *, CASE WHEN n_labelled > 0 THEN sqrt(1.0::DOUBLE / n_labelled) ELSE 0.0::DOUBLE END AS root FROM stats)))"""
 
-BASE = """base AS (SELECT CASE WHEN c_custkey % 500 <> 1 THEN c_name END AS k, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS tg
-FROM customer WHERE c_custkey % 3 <> 0)"""
+_TARGETS = """SELECT CASE WHEN c_custkey NOT IN (1, 501, 1001) THEN c_name END AS k, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS tg
+FROM customer"""
+BASE = f"base AS ({_TARGETS} WHERE c_custkey % 3 <> 0)"
+GAPPY = "base AS (SELECT c_name AS k, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS tg FROM customer)"
 SUPP = """supp AS (SELECT c_name AS k, c_acctbal + 1 AS tg FROM customer WHERE c_custkey % 3 <> 1
-UNION ALL SELECT CASE WHEN c_custkey % 750 <> 0 THEN c_name END, c_acctbal + 2 FROM customer WHERE c_custkey % 50 = 0)"""
+UNION ALL SELECT CASE WHEN c_custkey NOT IN (750, 1500) THEN c_name END, c_acctbal + 2 FROM customer WHERE c_custkey % 50 = 0)"""
 
 CLASS_SCORED = """scored AS (SELECT l_returnflag AS y,
   CASE WHEN l_linenumber % 3 = 0 THEN 'A' WHEN l_linenumber % 5 = 0 THEN 'N' ELSE l_returnflag END AS y_hat FROM lineitem)"""
@@ -192,8 +194,8 @@ ORACLE = {
     "table_summary": """SELECT lang, source, count(*) AS n_rows, CAST(5 AS INT) AS n_columns,
         'doc_id, text, lang, source, n_chars' AS column_names FROM documents GROUP BY lang, source""",
     "select_existing": "SELECT l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem",
-    "drop_nulls": f"WITH {BASE} SELECT * FROM base WHERE k IS NOT NULL AND tg IS NOT NULL",
-    "rename_map": f"WITH {SUPP} SELECT * FROM supp",
+    "drop_nulls": f"SELECT * FROM ({_TARGETS}) WHERE k IS NOT NULL AND tg IS NOT NULL",
+    "rename_map": "SELECT c_name AS k, c_acctbal AS tg FROM customer",
     "label_union": """SELECT doc_id, lang, CASE WHEN quality = 1 THEN toxic END AS toxic,
         CAST(CASE WHEN quality = 1 THEN 0 ELSE 1 END AS INT) AS label FROM documents JOIN labels USING (doc_id)""",
     "result_map": f"""WITH {MATCHES} SELECT match_id, CAST(CASE ftr WHEN 'H' THEN 0 WHEN 'D' THEN 1 ELSE 2 END AS INT) AS ftr_enc,
@@ -218,8 +220,8 @@ ORACLE = {
         NULL::DOUBLE AS t3, CAST(4 AS INT) AS n FROM orders""",
     "submission_join": """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 <> 1 THEN round(o_totalprice * 2 / 2, 2) END AS p0,
         CASE WHEN o_orderkey % 4 <> 1 THEN round(o_totalprice * 2, 2) END AS p1 FROM orders""",
-    "global_mean_fill": f"WITH {BASE} SELECT k, round(coalesce(tg, (SELECT avg(tg) FROM base)), 6) AS tg FROM base",
-    "median_fill": f"WITH {BASE} SELECT k, round(coalesce(tg, (SELECT median(tg) FROM base)), 6) AS tg FROM base",
+    "global_mean_fill": f"WITH {GAPPY} SELECT k, round(coalesce(tg, (SELECT avg(tg) FROM base)), 6) AS tg FROM base",
+    "median_fill": f"WITH {GAPPY} SELECT k, round(coalesce(tg, (SELECT median(tg) FROM base)), 6) AS tg FROM base",
     "rolling_mean": f"""WITH {MATCHES} SELECT match_id,
         {', '.join(_mean(s, side) for side in ('home', 'away') for s in STATS)} FROM matches""",
     "rolling_sliced": f"""WITH {MATCHES} SELECT match_id, {_mean('fthg', 'home')}, {_mean('aws', 'away')} FROM matches""",
@@ -256,6 +258,17 @@ ORACLE = {
         FROM requests r LEFT JOIN matches m ON r.home = m.home AND r.away = m.away GROUP BY ALL""",
     "top3_scorelines": f"""WITH {MATCHES}, {REQUESTS}, {TOP.format(k=3)}
         SELECT req_id, home, away, pair_met, rank, fthg, ftag, n, round(prob, 6) AS prob FROM answers""",
+    "request_sheet": f"""WITH {MATCHES}, {REQUESTS}, {TEAMS}, {TOP.format(k=3)},
+        lists AS (SELECT req_id, any_value(pair_met) AS pair_met, max(CASE WHEN rank = 1 THEN fthg || '-' || ftag END) AS scoreline,
+          {', '.join(f"max(CASE WHEN rank = {i} THEN fthg || '-' || ftag END) AS score_{i}, max(CASE WHEN rank = {i} THEN round(prob, 6) END) AS share_{i}" for i in (1, 2, 3))}
+          FROM answers GROUP BY req_id),
+        met AS (SELECT home, away, count(*) AS games, count(*) FILTER (ftr = 'H') AS home_wins, count(*) FILTER (ftr = 'D') AS draws,
+          count(*) FILTER (ftr = 'A') AS away_wins FROM matches GROUP BY ALL),
+        checked AS (SELECT *, CASE WHEN home NOT IN (SELECT team FROM teams) THEN 'unknown home team'
+          WHEN away NOT IN (SELECT team FROM teams) THEN 'unknown away team' END AS reason FROM requests)
+        SELECT c.req_id, c.home, c.away, reason, {', '.join(f"CASE WHEN reason IS NULL THEN {c} END AS {c}" for c in ("scoreline", "score_1", "share_1", "score_2", "share_2", "score_3", "share_3"))},
+          {', '.join(f"CASE WHEN reason IS NULL THEN coalesce({c}, 0) END AS {c}" for c in ("games", "home_wins", "draws", "away_wins"))}
+        FROM checked c JOIN lists l ON c.req_id = l.req_id LEFT JOIN met ON met.home = c.home AND met.away = c.away""",
     "likely_scoreline": f"""WITH {MATCHES}, {REQUESTS}, {TOP.format(k=1)}
         SELECT req_id, fthg || '-' || ftag AS scoreline, round(prob, 6) AS prob FROM answers""",
     "team_index": f"""WITH {MATCHES}, {TEAM_IDS} SELECT match_id, {_index('home')}, {_index('away')} FROM matches""",

@@ -130,11 +130,12 @@ def select_existing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def drop_nulls(spark: SparkSession, d: str) -> DataFrame:
-    return shaping.drop_incomplete(fx.base_targets(spark, d))
+    return shaping.drop_incomplete(fx.all_targets(spark, d))
 
 
 def rename_map(spark: SparkSession, d: str) -> DataFrame:
-    return shaping.rename_present(fx.supp_targets(spark, d), {"tg_src": "tg", "absent": "other"})
+    source = fx.table(spark, d, "customer").select(F.col("c_name").alias("k"), F.col("c_acctbal").alias("tg_src"))
+    return shaping.rename_present(source, {"tg_src": "tg", "absent": "other"})
 
 
 def label_union(spark: SparkSession, d: str) -> DataFrame:
@@ -179,7 +180,7 @@ def text_coerce(spark: SparkSession, d: str) -> DataFrame:
 
 def outer_merge(spark: SparkSession, d: str) -> DataFrame:
     base, supplement = fx.base_targets(spark, d), fx.supp_targets(spark, d)
-    return merges.outer_merge(base, shaping.rename_present(supplement, {"tg_src": "tg"}), "k")
+    return merges.outer_merge(base, shaping.rename_present(supplement, {"tg_src": "tg"}), "k", "match")
 
 
 def coalesce_merge(spark: SparkSession, d: str) -> DataFrame:
@@ -187,7 +188,7 @@ def coalesce_merge(spark: SparkSession, d: str) -> DataFrame:
     extra = fx.table(spark, d, "supplier").select(
         F.replace("s_name", F.lit("Supplier"), F.lit("Customer")).alias("k"), F.col("s_acctbal").alias("rg")
     )
-    return merges.null_safe_merge(base, [supplement, extra], "k", {"tg_src": "tg"})
+    return merges.null_safe_merge(base, [supplement, extra], "k", {"tg_src": "tg"}, "match")
 
 
 def supplements_csv(spark: SparkSession, d: str) -> DataFrame:
@@ -197,7 +198,7 @@ def supplements_csv(spark: SparkSession, d: str) -> DataFrame:
     loaded, skipped = files.read_supplements(
         spark, [(f"{folder}/one", "k string, tg_src double"), (f"{folder}/two", "k string, rg double")]
     )
-    merged = merges.null_safe_merge(fx.base_targets(spark, d), loaded, "k", {"tg_src": "tg"})
+    merged = merges.null_safe_merge(fx.base_targets(spark, d), loaded, "k", {"tg_src": "tg"}, "match")
     return merged.withColumn("n_skipped", F.lit(len(skipped)))
 
 
@@ -216,11 +217,11 @@ def submission_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def global_mean_fill(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(mean_fill(fx.base_targets(spark, d), ["tg"]), ["tg"])
+    return _rounded(mean_fill(fx.gappy_targets(spark, d), ["tg"]), ["tg"])
 
 
 def median_fill_query(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(median_fill(fx.base_targets(spark, d), ["tg"]), ["tg"])
+    return _rounded(median_fill(fx.gappy_targets(spark, d), ["tg"]), ["tg"])
 
 
 # --- ordered features and ratings -------------------------------------------
@@ -322,6 +323,21 @@ def top3_scorelines(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_long(top, "rank"), ["prob"])
 
 
+def request_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """What a request's answer says without a model, or why it has none."""
+    games = fx.matches(spark, d)
+    sheet = match_model.describe_requests(fx.requests(spark, d), games, match_model.team_index(games))
+    listed = {
+        name: value
+        for i in (1, 2, 3)
+        for name, value in (
+            (f"score_{i}", F.get("top", F.lit(i - 1))["score"]),
+            (f"share_{i}", F.round(F.get("top", F.lit(i - 1))["share"], 6)),
+        )
+    }
+    return sheet.withColumns(listed).drop("top")
+
+
 def likely_scoreline(spark: SparkSession, d: str) -> DataFrame:
     likely = scorelines.likely_outcome(fx.matches(spark, d), fx.requests(spark, d), PAIR, SCORE)
     return likely.select("req_id", scorelines.score_text(F.col("fthg"), F.col("ftag")).alias("scoreline"), _r("prob").alias("prob"))
@@ -558,7 +574,7 @@ def goal_models(spark: SparkSession, d: str) -> DataFrame:
 def request_answers(spark: SparkSession, d: str) -> DataFrame:
     history = _features(spark, d)
     train, _ = _split_features(spark, d)
-    models = match_model.fit_models(train)
+    models = match_model.fit_models(train, match_model.team_index(history))
     return match_model.answer_requests(fx.requests(spark, d), history, models)
 
 
@@ -639,6 +655,7 @@ QUERIES = {
     "scoreline_share": scoreline_share,
     "head_to_head": head_to_head,
     "top3_scorelines": top3_scorelines,
+    "request_sheet": request_sheet,
     "likely_scoreline": likely_scoreline,
     "team_index": team_index,
     "match_features": match_features,

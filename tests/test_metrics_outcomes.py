@@ -121,10 +121,19 @@ def test_team_list_and_texts(spark, history):
 def test_outer_merge_matches_null_keys_and_multiplies_duplicates(spark):
     left = spark.createDataFrame([("a", 1.0), (None, 2.0)], "k string, v double")
     right = spark.createDataFrame([(None, 5.0), ("b", 6.0), ("b", 7.0)], "k string, v double")
-    got = {(r.k, r.v, r.v_supp) for r in merges.outer_merge(left, right, "k").collect()}
+    got = {(r.k, r.v, r.v_supp) for r in merges.outer_merge(left, right, "k", "match").collect()}
     assert got == {("a", 1.0, None), (None, 2.0, 5.0), ("b", None, 6.0), ("b", None, 7.0)}
 
 
+def test_outer_merge_keeps_null_keys_unmatched_by_default(spark):
+    left = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, 3.0)], "k string, v double")
+    right = spark.createDataFrame([(None, 5.0), ("a", 6.0)], "k string, v double")
+    got = {(r.k, r.v, r.v_supp) for r in merges.outer_merge(left, right, "k").collect()}
+    assert got == {("a", 1.0, 6.0), (None, 2.0, None), (None, 3.0, None), (None, None, 5.0)}
+    with pytest.raises(ValueError):
+        merges.outer_merge(left, right, "k", "drop")
+
+
 def test_merge_chain_fills_gaps_and_keeps_originals(spark):
     base = spark.createDataFrame([("a", 1.0, None), ("b", None, 2.0)], "k string, tg double, tc double")
     one = spark.createDataFrame([("a", 9.0), ("c", 3.0)], "k string, TC_mean double")

@@ -56,6 +56,27 @@ def test_rolling_matches_shifted_rolling_whole_and_sliced(spark, width):
             assert row.away_avg == pytest.approx(away[row.ord])
 
 
+@pytest.mark.parametrize("width", [None, 20])
+def test_an_order_with_wide_gaps_gives_the_same_and_is_still_cut(spark, width):
+    df = spark.createDataFrame(games())
+    wide = df.withColumn("ord", F.col("ord") * 10**9)
+    want = {r.ord: (r.home_avg, r.home_sum, r.away_avg) for r in lagged_rolling(df, "ord", ROLES, width=width).collect()}
+    got = {r.ord // 10**9: (r.home_avg, r.home_sum, r.away_avg) for r in lagged_rolling(wide, "ord", ROLES, width=width).collect()}
+    assert got == want
+    assert plan_slices(wide, "ord", 5, width).sparse == bool(width)
+    assert not plan_slices(df, "ord", 5, width).sparse
+
+
+@pytest.mark.parametrize("width", [None, 20])
+def test_rows_without_a_key_are_in_no_window(spark, width):
+    df = spark.createDataFrame(games()).withColumn("home", F.when(F.col("ord") % 10 == 0, F.col("home")))
+    roles = {"home": [Lagged("goals", "avg", fill=None)]}
+    out = lagged_rolling(df, "ord", roles, width=width)
+    assert out.count() == 600 and out.where("home IS NULL AND avg IS NOT NULL").isEmpty()
+    want = lagged_rolling(df.where("home IS NOT NULL"), "ord", roles)
+    assert {(r.ord, r.avg) for r in out.where("home IS NOT NULL").collect()} == {(r.ord, r.avg) for r in want.collect()}
+
+
 def test_first_row_takes_the_mean_of_all_rows_or_of_the_training_rows(spark):
     df = spark.createDataFrame([(1, "A", "B", 2), (2, "B", "A", 4)], "ord long, home string, away string, goals int")
     roles = {"home": [Lagged("goals", "avg")]}

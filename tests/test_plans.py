@@ -51,7 +51,8 @@ def test_away_form_counts_the_hosts_points_and_own_form_the_away_sides(games):
 
 def test_models_learn_and_answer_requests(spark, featured):
     parts = match_model.assemble(splits.split_80_20(featured, "match_id"))
-    models = match_model.fit_models(parts.where("split = 'train'"), trees=10, boosting=3, depth=4)
+    teams = match_model.team_index(featured)
+    models = match_model.fit_models(parts.where("split = 'train'"), teams, trees=10, boosting=3, depth=4)
     scored = match_model.score_outcome(models.outcome, parts.where("split = 'test'"))
     assert scored.count() == 80
     assert metrics.accuracy(scored, "ftr_enc", "y_hat").first().accuracy > 0.5
@@ -62,12 +63,22 @@ def test_models_learn_and_answer_requests(spark, featured):
         "req_id int, home string, away string",
     )
     rows = {r.req_id: r for r in match_model.answer_requests(requests, featured, models).collect()}
-    assert set(rows) == {1, 2, 3}
-    for row in rows.values():
+    assert set(rows) == {1, 2, 3, 4}
+    assert rows[4].reason == "unknown away team" and rows[4].p_home is None and rows[4].top is None
+    for row in (rows[i] for i in (1, 2, 3)):
+        assert row.reason is None and len(row.top) == 3 and row.top[0].score == row.scoreline
+        assert row.top[0].share >= row.top[1].share >= row.top[2].share > 0
         assert row.p_home + row.p_draw + row.p_away == pytest.approx(1.0)
     assert rows[1].games > 0 and rows[3].games == 0
     assert rows[1].answer == rows[2].answer and rows[1].answer.startswith("Home Win: ")
     assert rows[1].pred_fthg > rows[1].pred_ftag
+    # A team that joins later moves no number of the fitted ones and is not known to the models.
+    newer = featured.withColumn("home", F.when(F.col("match_id") == 400, "Aaa").otherwise(F.col("home")))
+    asked = requests.unionAll(spark.createDataFrame([(5, "Aaa", "Ash")], requests.schema))
+    again = {r.req_id: r for r in match_model.answer_requests(asked, newer, models).collect()}
+    inputs = match_model.request_features(requests.where("req_id = 1"), newer, models.teams).first()
+    assert (inputs.home_enc, inputs.away_enc) == (0, 3)
+    assert again[5].reason == "unknown home team"
 
 
 def test_text_model_tells_two_vocabularies_apart(spark):
