@@ -252,7 +252,7 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of squad tables made from customers, twenty to a page.
 
     Every tenth row repeats the header, every fourth squad is missing from the
-    second table, and every seventh page lacks that table.
+    second table, and every seventh page lacks that table. Ampersands are named or numbered entities.
     """
     key = F.col("c_custkey")
     text = lambda c: c.cast("string")
@@ -262,7 +262,8 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeat = lambda second: F.when(
         key % 10 == 0, F.lit(f"<tr class='thead'><th>Rk</th><th>Squad</th><th>MP</th><th>{second}</th></tr>")
     ).otherwise("")
-    squad = F.concat(F.lit('<a href="/s">'), F.col("c_name"), F.lit(" &amp; Co</a>"))
+    ampersand = F.element_at(F.array(F.lit("&amp;"), F.lit("&#38;"), F.lit("&#x26;")), (key % 3 + 1).cast("int"))
+    squad = F.concat(F.lit('<a href="/s">'), F.col("c_name"), F.lit(" "), ampersand, F.lit(" Co</a>"))
     for_row = F.concat(repeat("Gls"), td(text(key % 20), squad, text(F.col("c_nationkey")), text(F.floor("c_acctbal").cast("long"))))
     against_row = F.concat(repeat("GA"), td(text(key % 20), squad, text(F.col("c_nationkey") + 1), text(key % 90)))
     packed = (

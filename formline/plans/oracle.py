@@ -175,8 +175,10 @@ ORACLE = {
         '{_URL_PARTS[0]}' || year(l_shipdate) || '-' || (year(l_shipdate) + 1) || '{_URL_PARTS[1]}' AS url FROM lineitem""",
     "html_table": f"""WITH {SQUADS} SELECT page_id, CAST(c_custkey % 20 AS VARCHAR) AS rk, squad,
         CAST(c_nationkey AS VARCHAR) AS mp, CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS gls FROM squads""",
-    "html_missing": f"""SELECT page_id, t AS table_id FROM pages CROSS JOIN (SELECT unnest(['{FOR_TABLE}', '{AGAINST_TABLE}']) AS t)
-        WHERE NOT regexp_matches(html, '<table[^>]* id="' || t || '"')""",
+    "html_missing": f"""WITH {SQUADS} SELECT 'squads' AS origin, page_id, '{AGAINST_TABLE}' AS table_id
+        FROM (SELECT DISTINCT page_id FROM squads WHERE page_id % 7 = 3)
+        UNION ALL SELECT 'pages' AS origin, page_id, t AS table_id FROM pages CROSS JOIN (SELECT unnest(['{FOR_TABLE}', '{AGAINST_TABLE}']) AS t)
+        WHERE NOT coalesce(regexp_matches(html, '<table[^>]* id="' || t || '"'), false)""",
     "header_flatten": f"""WITH {SQUADS} SELECT page_id, CAST(unnest([0, 1, 2, 3]) AS INT) AS col_no,
         unnest(['Defensive_Rk', 'Squad', 'Defensive_Performance_MP', 'Defensive_Performance_GA']) AS name
         FROM (SELECT DISTINCT page_id FROM squads WHERE page_id % 7 <> 3 AND c_custkey % 4 <> 0)""",

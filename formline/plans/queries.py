@@ -52,8 +52,10 @@ def html_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def html_missing(spark: SparkSession, d: str) -> DataFrame:
-    """Pages of the given table without a squad table: the reject list."""
-    return html.missing_tables(fx.table(spark, d, "pages"), ["page_id"], [html.FOR_TABLE, html.AGAINST_TABLE])
+    """The reject list of the given pages, which have no squad table, and of the squad pages, some of which lack one."""
+    pages = [("pages", fx.table(spark, d, "pages")), ("squads", fx.stat_pages(spark, d))]
+    mixed = [p.select(F.lit(name).alias("origin"), "page_id", "html") for name, p in pages]
+    return html.missing_tables(mixed[0].unionByName(mixed[1]), ["origin", "page_id"], [html.FOR_TABLE, html.AGAINST_TABLE])
 
 
 def header_flatten(spark: SparkSession, d: str) -> DataFrame:

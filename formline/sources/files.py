@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from formline.operators.sequence import assign_sequence
 
@@ -58,18 +58,30 @@ def find_file(spark: SparkSession, folder: str, file_name: str, schema: StructTy
 
 
 def read_supplements(
-    spark: SparkSession, paths: Sequence[tuple[str, StructType | str]]
+    spark: SparkSession, paths: Sequence[tuple[str, StructType | str]], bad_row: str | None = None
 ) -> tuple[list[DataFrame], list[tuple[str, str]]]:
     """Load each supplement that exists; the others come back as ``(path, reason)``.
 
-    Rows that do not fit their schema are kept with nulls in place of bad cells.
+    Rows that do not fit their schema are kept with nulls in place of bad cells; the column ``bad_row``, if
+    named, has their line as it stands in the file and is null for all others.
     """
     loaded, skipped = [], []
     for path, schema in paths:
+        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        if bad_row:
+            known = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            schema = StructType([*known.fields, StructField(bad_row, StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", bad_row)
         try:
-            loaded.append(spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path))
+            rows = reader.schema(schema).csv(path)
         except AnalysisException as problem:
             skipped.append((path, problem.getCondition() or str(problem)))
+            continue
+        if bad_row:
+            # A row is found to be bad only by the columns that are read, so the report always needs all of them.
+            every = F.xxhash64(*[f.name for f in known.fields]) >= -(2**63)
+            rows = rows.withColumn(bad_row, F.when(every, F.col(bad_row)))
+        loaded.append(rows)
     return loaded, skipped
 
 

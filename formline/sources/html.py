@@ -19,7 +19,7 @@ KEY_COLUMN = "Squad"
 FIRST_SEASON, LAST_SEASON = 2017, 2024
 SEASON_URL = "https://fbref.com/en/comps/9/{year}-{next_year}/Premier-League-Stats"
 
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 
 
 def season_urls(years: DataFrame, year: str = "year", template: str = SEASON_URL) -> DataFrame:
@@ -41,8 +41,23 @@ def _table_text(html: Column, table_id: str) -> Column:
     return F.regexp_extract(visible, pattern, 0)
 
 
+def _numbered(plain: Column) -> Column:
+    """``&#65;`` and ``&#x41;`` as their characters; a number that is no character becomes U+FFFD."""
+    found = F.array_distinct(F.regexp_extract_all(plain, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
+
+    def char(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, r"([0-9a-fA-F]+);", 1)
+        code = F.when(F.lower(entity).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+        known = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        safe = F.when(known, code).otherwise(0xFFFD)
+        # An ampersand is named again, so that what follows it is not read as an entity of its own.
+        return F.when(code == 38, "&amp;").otherwise(F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32"))
+
+    return F.aggregate(found, plain, lambda text, entity: F.replace(text, entity, char(entity)))
+
+
 def _text(cell: Column) -> Column:
-    plain = F.regexp_replace(cell, r"(?s)<[^>]*>", "")
+    plain = _numbered(F.regexp_replace(cell, r"(?s)<[^>]*>", ""))
     for entity, char in _ENTITIES:
         plain = F.replace(plain, F.lit(entity), F.lit(char))
     return F.trim(F.regexp_replace(plain, r"\s+", " "))
@@ -115,8 +130,9 @@ def drop_repeated_headers(rows: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
 
 
 def missing_tables(pages: DataFrame, ids: Sequence[str], table_ids: Sequence[str], html: str = "html") -> DataFrame:
-    """The reject list: one row per page and table that the page does not have."""
-    checks = [F.struct(F.lit(t).alias("table_id"), (_table_text(F.col(html), t) != "").alias("found")) for t in table_ids]
+    """The reject list: one row per page and table that the page does not have; a null page has none."""
+    found = lambda t: F.coalesce(_table_text(F.col(html), t) != "", F.lit(False))
+    checks = [F.struct(F.lit(t).alias("table_id"), found(t).alias("found")) for t in table_ids]
     return pages.select(*ids, F.inline(F.array(*checks))).where(~F.col("found")).drop("found")
 
 

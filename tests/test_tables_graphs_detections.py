@@ -40,7 +40,18 @@ def test_html_single_header_row_and_missing_tables(pages):
     one = html.html_tables(pages, ["page_id"], "tt", header_rows=1).collect()
     assert one == []  # the only row is the header
     missing = {(r.page_id, r.table_id) for r in html.missing_tables(pages, ["page_id"], ["t", "zz"]).collect()}
-    assert missing >= {(1, "zz"), (2, "t"), (2, "zz")} and (1, "t") not in missing
+    assert missing == {(1, "zz"), (2, "t"), (2, "zz"), (3, "t"), (3, "zz")}
+
+
+def test_html_entities(spark):
+    cells = {
+        "&#65;&#x42;&#X63;": "ABc", "caf&#233; &#x1F600;": "café \U0001F600", "&amp;#65;": "&#65;", "&#38;lt;": "&lt;",
+        "&lt;&gt;&quot;&apos;&#39;&nbsp;x": "<>\"'' x", "&#0;&#xD800;&#9999999;": "\ufffd\ufffd\ufffd", "&#;&#x;&#65": "&#;&#x;&#65",
+    }
+    body = "".join(f"<tr><td>{raw}</td></tr>" for raw in cells)
+    page = spark.createDataFrame([(1, f"<table id=t><tr><th>c</th></tr>{body}</table>")], "page_id int, html string")
+    rows = html.html_tables(page, ["page_id"], "t", header_rows=1).orderBy("row_no").collect()
+    assert [r.cells[0] for r in rows] == list(cells.values())
 
 
 def test_season_urls(spark):
@@ -75,6 +86,14 @@ def test_supplements_skip_missing_files_and_keep_bad_rows(spark, tmp_path):
     assert skipped == [(f"{tmp_path}/none.csv", "PATH_NOT_FOUND")]
 
 
+def test_supplements_report_bad_rows(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("k,v\na,1.5\nb,oops\nc\nd,\n")
+    (loaded,), _ = files.read_supplements(spark, [(f"{tmp_path}/s.csv", "k string, v double")], bad_row="line")
+    got = {r.k: (r.v, r.line) for r in loaded.collect()}
+    assert got == {"a": (1.5, None), "b": (None, "b,oops"), "c": (None, "c"), "d": (None, None)}
+    assert {r.k for r in loaded.where("line is not null").select("k", "line").collect()} == {"b", "c"}
+
+
 def test_season_and_prediction_files(spark, tmp_path):
     df = spark.createDataFrame([(2017, "a"), (2018, "b")], "season int, team string")
     files.write_seasons(df, f"{tmp_path}/s")
