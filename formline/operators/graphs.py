@@ -53,12 +53,16 @@ def graph_noise(
     node: str = "node_id",
     seed: int = 42,
     scale: float = 0.01,
+    training: Column | None = None,
 ) -> DataFrame:
     """For half of the graphs add normal noise to every node feature.
 
+    ``training`` tells which rows may be changed (all, if it is not given); the others stay as they are.
     Coin and noise come from hashes of the ids, so a retried task repeats them.
     """
     coin = _uniform(F.lit(f"coin{seed}"), F.col(graph).cast("string")) < 0.5
+    if training is not None:
+        coin = coin & F.coalesce(training, F.lit(False))
     out = {}
     for c in features:
         place = (F.lit(f"{c}{seed}"), F.col(graph).cast("string"), F.col(node).cast("string"))

@@ -329,7 +329,7 @@ ORACLE = {
         SELECT graph_id, node_id, coalesce(degree, 0) AS degree FROM nodes LEFT JOIN d USING (graph_id, node_id)""",
     "graph_undirected": f"""WITH {EDGES} SELECT graph_id, src, dst, attr FROM edges
         UNION ALL SELECT graph_id, dst, src, attr FROM edges""",
-    "graph_noise": f"""WITH {NODES}, n AS (SELECT *, {_uniform("'coin42'", _GN[0])} < 0.5 AS noisy FROM nodes)
+    "graph_noise": f"""WITH {NODES}, n AS (SELECT *, {_uniform("'coin42'", _GN[0])} < 0.5 AND graph_id % 5 <> 0 AS noisy FROM nodes)
         SELECT graph_id, node_id, noisy, round(CASE WHEN noisy THEN f0 + {_NORMAL} * 0.01 ELSE f0 END, 6) AS f0 FROM n""",
     "conf_filter": f"WITH {DETECTIONS} SELECT det_id, conf FROM det WHERE conf > 0.5",
     "box_trunc": f"WITH {DETECTIONS} SELECT det_id, {', '.join(f'{_cut(c)} AS {c}' for c in ('x1', 'y1', 'x2', 'y2'))} FROM det",

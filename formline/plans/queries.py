@@ -473,7 +473,9 @@ def graph_undirected(spark: SparkSession, d: str) -> DataFrame:
 
 
 def graph_noise(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(graphs.graph_noise(fx.graph_nodes(spark, d), ["f0"]), ["f0"])
+    """Noise on the training graphs only; every fifth graph is held out."""
+    training = F.col("graph_id") % 5 != 0
+    return _rounded(graphs.graph_noise(fx.graph_nodes(spark, d), ["f0"], training=training), ["f0"])
 
 
 # --- detections -------------------------------------------------------------

@@ -127,6 +127,10 @@ def test_noise_is_per_graph_repeatable_and_small(spark):
     assert stats[0] == pytest.approx(1.0, abs=0.001) and stats[1] == pytest.approx(0.01, rel=0.1)
     assert noisy.where("not noisy and f <> 1.0").count() == 0
     assert noisy.exceptAll(graphs.graph_noise(nodes.repartition(7), ["f"])).count() == 0
+    held = F.when(F.col("graph_id") % 4 != 1, F.col("graph_id") % 4 != 0)  # null for some, which counts as held out
+    part = graphs.graph_noise(nodes, ["f"], training=held)
+    assert part.where("graph_id % 4 < 2 and (noisy or f <> 1.0)").count() == 0
+    assert part.where("graph_id % 4 > 1").exceptAll(noisy.where("graph_id % 4 > 1")).count() == 0
 
 
 FRAMES = [
