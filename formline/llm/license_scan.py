@@ -2,7 +2,7 @@
 
 A template is cut into windows of ``WINDOW`` words at every offset, a document into windows of the same size
 at every ``STRIDE``-th offset; a template shorter than that is one window of its own length, and documents are
-then cut at that length and every offset. The MinHash of a window's five-word shingles is banded. A document
+then cut at that length and every offset (a window of one shingle has one band, as it matches whole or not at all). The MinHash of a window's five-word shingles is banded. A document
 window with Jaccard similarity s to a template window shares a band with probability 1 - (1 - s^ROWS)^BANDS,
 which is 1 for a verbatim passage of WINDOW + STRIDE words and above 0.99 from s = 0.6. Retrieved pairs are
 verified exactly: the share of the template's different shingles that the whole document holds must reach
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,10 @@ THRESHOLD = 0.8
 TEMPLATES = 2000
 TEMPLATE_WORDS = 20_000
 
-# Short public license notices.
+# Short public license notices, and the whole license texts of the folder ``licenses`` by file name.
 NOTICES = {
+    "gpl-3-line": "This work is licensed under the GNU General Public License, version 3.",
+    "all-rights-reserved": "All rights reserved.",
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "mit-line": "Released under the MIT License.",
     "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
@@ -54,6 +57,11 @@ NOTICES = {
     " that the following conditions are met:",
     "apache-2.0-notice": "Unless required by applicable law or agreed to in writing, software distributed under the License"
     ' is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    **{
+        f"{part.name.removesuffix('.txt')}-text": part.read_text("utf-8")
+        for part in sorted((files(__package__) / "licenses").iterdir(), key=lambda part: part.name)
+        if part.name.endswith(".txt")
+    },
 }
 
 
@@ -78,14 +86,14 @@ def _text_keys(text: str) -> np.ndarray:
 _NOISE = np.random.default_rng(3).integers(1, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def band_keys(marks: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Bands of the windows [begin, end) of shingles: windows x BANDS."""
-    out = np.empty((len(begin), BANDS), np.uint64)
+def band_keys(marks: np.ndarray, begin: np.ndarray, end: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """Bands of the windows [begin, end) of shingles: windows x bands."""
+    out = np.empty((len(begin), bands), np.uint64)
     if not len(begin):
         return out
     ends = np.stack([begin, end], 1).ravel()
     with np.errstate(over="ignore"):
-        for band in range(BANDS):
+        for band in range(bands):
             key = np.full(len(begin), band, np.uint64)
             for row in range(ROWS):
                 values = np.append(_mixed(marks * _NOISE[band * ROWS + row]), np.uint64(0))
@@ -94,6 +102,11 @@ def band_keys(marks: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
+def _bands(words: int) -> int:
+    """Windows of one shingle are equal or have nothing in common, which one band decides."""
+    return BANDS if words > SHINGLE else 1
+
+
 def windows(counts: np.ndarray, first: np.ndarray, words: int, size: int, step: int):
     """Begin and end (in shingles) and text of the windows of ``words`` words; the last one ends at the text's end.
 
@@ -122,15 +135,15 @@ class Retriever:
             if len(own):
                 words, size = min(len(own), WINDOW), self.sizes[at]
                 begin, end, _ = windows(np.array([len(own)]), np.array([0]), words, size, 1)
-                bands = np.unique(band_keys(shingles(own), begin, end))
+                bands = np.unique(band_keys(shingles(own), begin, end, _bands(words)))
                 found.setdefault(words, []).append((bands, np.full(len(bands), at)))
         self.tables = {}
         for words, parts in found.items():
             bands = np.concatenate([b for b, _ in parts])
             owners = np.concatenate([o for _, o in parts])
             order = np.argsort(bands, kind="stable")
-            near = np.zeros(1 << 20, bool)  # rules out most keys before the search
-            near[bands >> np.uint64(44)] = True
+            near = np.zeros(1 << 22, bool)  # rules out most keys before the search
+            near[bands >> np.uint64(42)] = True
             self.tables[words] = bands[order], owners[order], near
 
     def matches(self, data: np.ndarray, starts: np.ndarray, threshold: float) -> list[tuple[int, str, float, int]]:
@@ -143,8 +156,8 @@ class Retriever:
         for words, (bands, owners, near) in self.tables.items():
             size = min(words, SHINGLE)
             begin, end, owner = windows(counts, first, words, size, STRIDE if words == WINDOW else 1)
-            own = band_keys(marks[size], begin, end)
-            window, band = np.nonzero(near[own >> np.uint64(44)])
+            own = band_keys(marks[size], begin, end, _bands(words))
+            window, band = np.nonzero(near[own >> np.uint64(42)])
             asked = own[window, band]
             low, high = np.searchsorted(bands, asked, "left"), np.searchsorted(bands, asked, "right")
             for k in np.flatnonzero(high > low).tolist():

@@ -298,6 +298,36 @@ def test_license_scan_odd_input(spark, odd):
     assert [(r.doc_id, r.template_id) for r in license_scan.scan(odd, templates).collect()] == [(8, "mit-line")]
 
 
+def test_license_scan_finds_all_planted_lines(spark):
+    planted = {
+        "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
+        "mit-line": "Released under the MIT License.",
+        "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
+        "gpl-3-line": "This work is licensed under the GNU General Public License, version 3.",
+        "all-rights-reserved": "All rights reserved.",
+    }
+    rows = read(spark, MIDDLE).collect()
+    want = {(r.doc_id, name) for r in rows for name, line in planted.items() if line in (r.text or "").split("\n")}
+    found = {(r.doc_id, r.template_id) for r in QUERIES["op6_license_scan"](spark, MIDDLE).collect()}
+    assert {name for _, name in want} == set(planted) and want <= found
+
+    def short(text, size):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+    key = tuple(b"all rights reserved.".split())
+    assert {i for i, name in found if name == "all-rights-reserved"} == {r.doc_id for r in rows if key in short(r.text, 3)}
+
+
+def test_whole_license_texts_are_templates(spark):
+    texts = {name: text for name, text in license_scan.NOTICES.items() if name.endswith("-text")}
+    assert len(texts) >= 8
+    docs = spark.createDataFrame([(n, f"Some words before.\n{t}\nand after.") for n, t in texts.items()], "doc_id string, text string")
+    templates = spark.createDataFrame(list(license_scan.NOTICES.items()), "template_id string, text string")
+    found = {(r.doc_id, r.template_id): r.containment for r in license_scan.scan(docs, templates).collect()}
+    assert all(found[n, n] == 1.0 for n in texts)
+
+
 # Hidden Markov model
 
 
