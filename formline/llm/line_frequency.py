@@ -135,8 +135,12 @@ def line_quality(
         .agg(F.sum(F.col("_n") * F.col("_times")).alias("_gone"))
         .withColumnsRenamed({"_id": "_rid", "_host": "_rhost", "_key": "_rkey"})
     )
-    own = measured.drop("_text", "_lines").dropDuplicates(["_id", "_host", "_key"])
-    left = F.col("n_words") - F.coalesce("_gone", F.lit(0))
+    # Equal rows have equal lines, so the words gone from all of them are a multiple of their number.
+    kinds = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    own = measured.groupBy("_id", "_host", "_key").agg(
+        *[F.first(kind).alias(kind) for kind in kinds], F.count(F.lit(1)).alias("_rows")
+    )
+    left = F.col("n_words") - F.coalesce(F.col("_gone") / F.col("_rows"), F.lit(0))
     return (
         own.join(
             removed,

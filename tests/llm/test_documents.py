@@ -233,6 +233,15 @@ def test_frequent_lines_are_taken_from_all_but_the_first(spark):
     assert all(out[i].kept for i in range(0, 60, 2)) and all(out[i].kept for i in (100, 101, 102, 200))
 
 
+def test_repeated_rows_count_a_frequent_line_once_each(spark):
+    shared = "one line of eight words that all have"
+    rows = [(i, f"{shared}\nown {'x' * (i + 1)} words b c d e f g h i j k", "h") for i in range(30)]
+    docs = spark.createDataFrame(rows + rows[20:] * 2, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in line_frequency.line_quality(docs).collect()}
+    assert out[0].n_left == 21 and all(out[i].n_left == 13 and out[i].kept for i in range(1, 30))
+    assert line_frequency.keep_good(docs).count() == 50
+
+
 # Mixing
 
 
