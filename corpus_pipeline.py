@@ -11,7 +11,7 @@ from formline.session import store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the rest stay whole."""
+    """Rejected documents go; the rest lose the lines that too many documents of their host share."""
     return line_frequency.keep_good(docs)
 
 

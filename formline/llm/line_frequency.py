@@ -3,11 +3,13 @@
 Everything runs as DataFrame expressions. Lines are normalised and hashed; for every host (``source``) the
 *different texts* that hold a line are counted, so exact copies of one document count once. A line held by
 more than ``max_documents`` texts of its host is taken out of all documents of that host but the one with
-the smallest id, and a document that keeps less than ``min_left`` of its words is rejected.
+the smallest id, and a document that keeps less than ``min_left`` of its words is rejected. ``line_quality``
+measures and judges; ``keep_good`` returns the kept documents without the lines taken out.
 
 Defined results: a null text has no words, so it fails the base rules; null hosts form one host; documents
 with equal id and text get one verdict (returned once); an empty table gives an empty result. Columns
-other than id, text and host are ignored by ``line_quality`` and kept by ``keep_good``.
+other than id, text and host are ignored by ``line_quality`` and kept as they are by ``keep_good`` (a stored length is
+that of the text before).
 """
 
 from __future__ import annotations
@@ -96,7 +98,11 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
     )
 
 
-def line_quality(
+def line_hash(line: Column) -> Column:
+    return F.xxhash64(normal_line(line))
+
+
+def _judged(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -104,7 +110,7 @@ def line_quality(
     max_documents: int = MAX_DOCUMENTS,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """One row per different (id, text, host): the base measures, ``n_left`` words after the removal, ``kept``.
+    """One row per different (id, text, host): ``_id, _host, _key``, the measures, ``kept``, ``_gone_lines`` (hashes).
 
     Only hashes and counts are shuffled, never texts. Counts are combined before each shuffle; the join that
     marks frequent lines has one row per host and line on its small side, so adaptive execution can split
@@ -112,7 +118,7 @@ def line_quality(
     """
     measured = base_measures(docs, doc_id, text, host).withColumn("_key", F.xxhash64("_text"))
     lines = F.transform(
-        "_lines", lambda x: F.struct(F.xxhash64(normal_line(x)).alias("line"), F.size(words(x)).alias("n"))
+        "_lines", lambda x: F.struct(line_hash(x).alias("line"), F.size(words(x)).alias("n"))
     )
     owned = (
         measured.select("_id", "_host", "_key", F.explode(lines).alias("_line"))
@@ -132,7 +138,7 @@ def line_quality(
         owned.join(frequent, F.col("_host").eqNullSafe(F.col("_fhost")) & (F.col("_line") == F.col("_fline")))
         .where(~F.col("_id").eqNullSafe(F.col("_first")))
         .groupBy("_id", "_host", "_key")
-        .agg(F.sum(F.col("_n") * F.col("_times")).alias("_gone"))
+        .agg(F.sum(F.col("_n") * F.col("_times")).alias("_gone"), F.collect_list("_line").alias("_gone_lines"))
         .withColumnsRenamed({"_id": "_rid", "_host": "_rhost", "_key": "_rkey"})
     )
     # Equal rows have equal lines, so the words gone from all of them are a multiple of their number.
@@ -150,34 +156,45 @@ def line_quality(
             "left",
         )
         .withColumn("n_left", left.cast("long"))
-        .select(
-            F.col("_id").alias(doc_id),
-            F.col("_host").alias(host),
-            F.col("_key").alias("text_hash"),
-            "n_words",
-            "word_chars",
-            "n_symbols",
-            "n_dup_lines",
-            "n_repeat_words",
-            "n_left",
-            "base_failed",
-            (~F.col("base_failed") & (F.col("n_left") >= min_left * F.col("n_words"))).alias("kept"),
-        )
+        .withColumn("kept", ~F.col("base_failed") & (F.col("n_left") >= min_left * F.col("n_words")))
+    )
+
+
+def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
+    """One row per different (id, text, host): the base measures, ``n_left`` words after the removal, ``kept``."""
+    return _judged(docs, doc_id, text, host, **limits).select(
+        F.col("_id").alias(doc_id),
+        F.col("_host").alias(host),
+        F.col("_key").alias("text_hash"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_left",
+        "base_failed",
+        "kept",
     )
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept; all columns and repeated rows stay as they are."""
-    verdicts = line_quality(docs, **options).where("kept")
-    key = options.get("doc_id", "doc_id"), options.get("host", "source")
-    verdicts = verdicts.select(
-        F.col(key[0]).alias("_line_id"), F.col(key[1]).alias("_line_host"), F.col("text_hash").alias("_line_key")
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines whose hash is in ``gone``; the other lines stay byte for byte."""
+    left = F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(gone, line_hash(line)))
+    return F.when(gone.isNull(), text).otherwise(F.array_join(left, "\n"))
+
+
+def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` whose document is kept, without their frequent lines; repeated rows stay."""
+    verdicts = _judged(docs, doc_id, text, host, **limits).where("kept").select(
+        F.col("_id").alias("_line_id"), F.col("_host").alias("_line_host"), F.col("_key").alias("_line_key"), "_gone_lines"
     )
-    text = F.coalesce(F.col(options.get("text", "text")), F.lit(""))
-    return docs.join(
-        verdicts,
-        F.col(key[0]).eqNullSafe(F.col("_line_id"))
-        & F.col(key[1]).eqNullSafe(F.col("_line_host"))
-        & (F.xxhash64(text) == F.col("_line_key")),
-        "left_semi",
+    return (
+        docs.join(
+            verdicts,
+            F.col(doc_id).eqNullSafe(F.col("_line_id"))
+            & F.col(host).eqNullSafe(F.col("_line_host"))
+            & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_line_key")),
+        )
+        .withColumn(text, without_lines(F.col(text), F.col("_gone_lines")))
+        .select(*docs.columns)
     )

@@ -242,6 +242,28 @@ def test_repeated_rows_count_a_frequent_line_once_each(spark):
     assert line_frequency.keep_good(docs).count() == 50
 
 
+def test_kept_documents_lose_their_frequent_lines(spark):
+    shared = "This LINE  stands 7 times"
+    own = lambda i: f"words of {'x' * (i + 1)} own a b c d\n\n e f g h i j k  l{'y' * i}\n"
+    rows = [(i, f"{shared}\n{own(i)}this line stands {i % 10} times\nend", "h", i) for i in range(30)]
+    rows += [(40, f"{shared}\n{own(40)}", "other", 40), (41, f"{own(41)}\n", "h", 41)]
+    docs = spark.createDataFrame(rows + rows[7:8], "doc_id long, text string, source string, n long")
+    out = line_frequency.keep_good(docs)
+    assert out.columns == docs.columns
+    want = [(i, rows[0][1] if not i else f"{own(i)}end", "h", i) for i in [*range(30), 7]] + rows[30:]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_no_line_stays_over_the_limit(spark):
+    docs = spark.createDataFrame(
+        [(i, f"Shared by all.\na b c d e f g h i j k {i}x{'y' * i}", "en", "s", 1) for i in range(40)],
+        "doc_id long, text string, lang string, source string, n_chars int",
+    )
+    import corpus_pipeline
+
+    assert corpus_pipeline.quality_rules(spark, docs, "").where(F.col("text").contains("Shared")).count() == 1
+
+
 # Mixing
 
 
