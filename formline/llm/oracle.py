@@ -53,19 +53,20 @@ FROM (SELECT drawn.*, unnest(range(0, n)) AS copy FROM drawn JOIN counts USING (
 _TEMPLATES = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in NOTICES.items())
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHINGLES = (
-    "SELECT DISTINCT id, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] || ' ' || ws[i+3] || ' ' || ws[i+4] AS g"
-    " FROM (SELECT id, ws, unnest(range(1, len(ws) - 3)) AS i FROM {} WHERE len(ws) >= 5)"
+    "SELECT DISTINCT id, size, array_to_string(ws[i:i + size - 1], ' ') AS g"
+    " FROM (SELECT id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM {} WHERE len(ws) >= size)"
 )
 
 LICENSE_SCAN = f"""
 WITH templates(id, t) AS (VALUES {_TEMPLATES}),
-tw AS (SELECT id, {_WORDS.format(_LOWER.format("t"))} AS ws FROM templates),
-dw AS (SELECT doc_id AS id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+tw AS (SELECT id, ws, least(5, len(ws)) AS size FROM (SELECT id, {_WORDS.format(_LOWER.format("t"))} AS ws FROM templates)),
+dw AS (SELECT id, ws, size FROM (SELECT doc_id AS id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+       (SELECT DISTINCT size FROM tw)),
 ts AS ({_SHINGLES.format("tw")}),
 ds AS ({_SHINGLES.format("dw")}),
 sizes AS (SELECT id, count(*) AS n FROM ts GROUP BY id)
 SELECT ds.id AS doc_id, ts.id AS template_id, count(*)::DOUBLE / any_value(sizes.n) AS containment
-FROM ds JOIN ts USING (g) JOIN sizes ON ts.id = sizes.id
+FROM ds JOIN ts USING (g, size) JOIN sizes ON ts.id = sizes.id
 GROUP BY ds.id, ts.id HAVING count(*) >= 0.8 * any_value(sizes.n)
 """
 
