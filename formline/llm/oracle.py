@@ -94,10 +94,53 @@ SELECT p.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, p.vec_id = com
 FROM parts p LEFT JOIN degrees USING (vec_id)
 """
 
+SUFFIX_SORT = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+            FROM (SELECT doc_id, h, unnest(range(0, (len(h) // 2 - 49)::BIGINT)) AS i FROM d WHERE len(h) >= 100)),
+repeated AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY w) AS first_id FROM windows) WHERE first_id < doc_id),
+edges AS (SELECT doc_id, i, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM repeated),
+runs AS (SELECT *, sum((before IS NULL OR i > before + 50)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges),
+spans AS (SELECT doc_id, run, min(i) AS b, max(i) + 50 AS e FROM runs GROUP BY doc_id, run),
+listed AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans,
+                  list_concat([0], list(e ORDER BY b)) AS froms, list(b ORDER BY b) AS tos FROM spans GROUP BY doc_id),
+cut AS (SELECT d.doc_id, h, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               coalesce(froms, [0]) AS froms, list_append(coalesce(tos, []), len(h) // 2) AS tos
+        FROM d LEFT JOIN listed USING (doc_id))
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, n_removed, n_spans,
+       sha256(unhex(array_to_string(list_transform(range(1, len(froms) + 1), lambda k: substr(h, 2 * froms[k] + 1, 2 * (tos[k] - froms[k]))), ''))) AS kept_sha256
+FROM cut
+"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 5) r(k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 30),
+cuts AS (SELECT lang, k, phrase, a, j, array_to_string(ws[1:j], ' ') AS p1, array_to_string(ws[j + 1:], ' ') AS p2
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+scored AS (SELECT cuts.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+           FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = p1 JOIN f y ON y.lang = cuts.lang AND y.phrase = p2),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT lang, ws, a, m, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 4) q(m) WHERE m < k)),
+nested AS (SELECT DISTINCT best.lang, best.phrase FROM best JOIN inner_phrases USING (lang, phrase) WHERE 100 * longer >= 80 * a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+           FROM best ANTI JOIN nested USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op4_line_frequency": LINE_FREQUENCY,
     "op5_poisson_mix": POISSON_MIX,
     "op6_license_scan": LICENSE_SCAN,
     "op8_projection_collisions": PROJECTION_COLLISIONS,
     "op10_capture_index": CAPTURE_INDEX,
+    "op12_suffix_sort": SUFFIX_SORT,
+    "op13_collocations": COLLOCATIONS,
 }
