@@ -109,11 +109,11 @@ def grams_of(chunk: ch.Chunk, longest: int) -> Grams:
     for n in range(1, longest + 1):
         if len(keys) < n:
             break
-        whole = np.flatnonzero(piece[n - 1 :] == piece[: len(piece) - n + 1])
+        whole = np.flatnonzero(piece[n - 1 :] == piece[: len(piece) - n + 1]).astype(np.int32)
         prints.append(_mixed(_mixed(ch.window_hashes(prefix, n)[whole] + np.uint64(n)) ^ salt[whole]))
         first.append(whole)
         size.append(np.full(len(whole), n, np.int8))
-    joined = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((prints, np.uint64), (first, np.int64), (size, np.int8)))
+    joined = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((prints, np.uint64), (first, np.int32), (size, np.int8)))
     return Grams(*joined, data, begin, end, owner, keys)
 
 
@@ -166,45 +166,55 @@ def ask_phrases(chunk: ch.Chunk, bits: int, longest: int) -> Iterator[tuple[int,
     """Per bucket the phrases that may reach the limit and their counts here; an empty phrase counts a language's words."""
     grams = grams_of(chunk, longest)
     langs = chunk.carried[0]
-    body = grams.data.tobytes()
-    found: dict[int, list[tuple[bytes, int]]] = {}
-    spoken = np.bincount(grams.owner, minlength=len(langs)).tolist()
     words: dict[str, int] = {}
-    for lang, n in zip(langs, spoken):
+    for lang, n in zip(langs, np.bincount(grams.owner, minlength=len(langs)).tolist()):
         words[lang] = words.get(lang, 0) + n
     for lang, n in words.items():
-        found.setdefault(zlib.crc32(lang.encode()) % (1 << bits), []).append((b"\n" + lang.encode(), n))
-    parts = [np.frombuffer(ch.plain(blob), np.uint8) for _, blob in sorted(chunk.replies[0].items())]
-    if parts:
-        distinct, model, own, counts = np.unique(grams.prints, return_index=True, return_inverse=True, return_counts=True)
-        often = np.concatenate(parts) == 1
-        numbers = np.append(word_numbers(grams), np.zeros(longest, np.int64))
-        langs_of = {lang: i for i, lang in enumerate(words)}
-        spoken_in = np.array([langs_of[lang] for lang in langs], np.int64)[grams.owner]
-        rows = np.flatnonzero(often[own])
-        like = model[own[rows]]
-        same = (grams.size[rows] == grams.size[like]) & (spoken_in[grams.first[rows]] == spoken_in[grams.first[like]])
-        for k in range(longest):
-            beyond = grams.size[rows] <= k
-            same &= beyond | (numbers[grams.first[rows] + k] == numbers[grams.first[like] + k])
-
-        def phrase(row: int) -> bytes:
-            low = grams.first[row]
-            spans = ((grams.begin[i], grams.end[i]) for i in range(low, low + grams.size[row]))
-            return b" ".join([body[a:b] for a, b in spans]) + b"\n" + langs[grams.owner[low]].encode()
-
-        apart = own[rows[~same]]
-        counts = counts - np.bincount(apart, minlength=len(counts))
-        bucket = (distinct >> np.uint64(64 - bits)).astype(np.int64)
-        for i in np.flatnonzero(often).tolist():
-            found.setdefault(int(bucket[i]), []).append((phrase(model[i]), int(counts[i])))
-        for row in rows[~same].tolist():  # equal fingerprints of different phrases
-            found.setdefault(int(bucket[own[row]]), []).append((phrase(row), 1))
-    for number, held in found.items():
-        n = np.array([len(held)], np.int64)
-        sizes = np.array([len(p) for p, _ in held], np.int64)
-        times = np.array([t for _, t in held], np.int64)
-        yield number, ch.compressed(b"".join([n.tobytes(), sizes.tobytes(), times.tobytes(), *(p for p, _ in held)]))
+        yield zlib.crc32(lang.encode()) % (1 << bits), _listed([b"\n" + lang.encode()], [n])
+    if not chunk.replies[0]:
+        return
+    keys, rows, model, counts = often_rows(chunk, grams)
+    numbers = np.append(word_numbers(grams), np.zeros(longest, np.int64))
+    langs_of = {lang: i for i, lang in enumerate(words)}
+    spoken = np.array([langs_of[lang] for lang in langs], np.int64)[grams.owner]
+    like = np.repeat(model, counts)
+    same = (grams.size[rows] == grams.size[like]) & (spoken[grams.first[rows]] == spoken[grams.first[like]])
+    for k in range(longest):
+        same &= (grams.size[rows] <= k) | (numbers[grams.first[rows] + k] == numbers[grams.first[like] + k])
+    own = np.repeat(np.arange(len(model)), counts)
+    counts = counts - np.bincount(own[~same], minlength=len(counts))
+    apart: dict[int, list[int]] = {}
+    for i, row in zip(own[~same].tolist(), rows[~same].tolist()):  # equal fingerprints of different phrases
+        apart.setdefault(i, []).append(row)
+    body = grams.data.tobytes()
+
+    def phrase(row: int) -> bytes:
+        low = int(grams.first[row])
+        high = low + int(grams.size[row])
+        spans = zip(grams.begin[low:high].tolist(), grams.end[low:high].tolist())
+        return b" ".join([body[a:b] for a, b in spans]) + b"\n" + langs[grams.owner[low]].encode()
+
+    for bucket, at in by_bucket(keys, bits):
+        phrases, times = [phrase(row) for row in model[at].tolist()], counts[at].tolist()
+        for i in apart.keys() & range(at.start, at.stop):
+            phrases += [phrase(row) for row in apart[i]]
+            times += [1] * len(apart[i])
+        yield bucket, _listed(phrases, times)
+
+
+def _listed(phrases: list[bytes], times: list[int]) -> bytes:
+    sizes = np.array([len(phrases), *map(len, phrases)], np.int64)
+    return ch.compressed(b"".join([sizes.tobytes(), np.array(times, np.int64).tobytes(), *phrases]))
+
+
+def often_rows(chunk: ch.Chunk, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The fingerprints that may reach the limit, sorted; their n-grams, one of each, and how many there are."""
+    order = np.argsort(grams.prints)
+    ranked = grams.prints[order]
+    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    size = np.diff(first, append=len(order))
+    often = np.concatenate([np.frombuffer(ch.plain(blob), np.uint8) for _, blob in sorted(chunk.replies[0].items())]) == 1
+    return ranked[first[often]], order[np.repeat(often, size)], order[first[often]], size[often]
 
 
 def phrase_counts(
