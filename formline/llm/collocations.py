@@ -42,6 +42,7 @@ TOP = 2000
 NESTED_PERCENT = 80
 SCALE = 2_000_000
 UNKNOWN = "und"
+LANGUAGES = 10_000
 SEGMENT = 1 << 20
 
 _BLANK = np.zeros(256, bool)
@@ -299,10 +300,11 @@ def collocations(
     left = without_nested(store(scored_candidates(phrases), "phrase-scores"))
     order = F.struct((-F.col("score")).alias("s"), (-F.col("a")).alias("a"), "phrase").alias("_key")
     numbered = assign_sequence(store(left.select("lang", order, "l", "r"), "phrase-order"), ["lang", "_key"], "_place")
-    # One row per language.
     first = numbered.groupBy("lang").agg(F.min("_place").alias("_zero"))
     totals = phrases.where("words = 0").select("lang", F.col("f").alias("n"))
-    heads = first.join(totals, "lang")
+    # One row per language; only a checked number of rows is broadcast.
+    heads = store(first.join(totals, "lang"), "phrase-languages")
+    heads = F.broadcast(heads) if heads.count() <= LANGUAGES else heads
     return (
         numbered.join(heads, "lang")
         .withColumn("rank", F.col("_place") - F.col("_zero") + 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from formline.llm import collocations, crf, hmm, langid, license_scan, line_frequency, mixing, packing, projections, simhash, suffix_sort, warc
+from formline.llm import collocations, crf, hmm, langid, license_scan, line_frequency, mixing, packing, projections, simhash, suffix_sort, warc, whitening
 from formline.llm.common import fold, read_table
 
 
@@ -72,6 +72,10 @@ def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_sort.remove_repeats(read_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
@@ -99,6 +103,6 @@ QUERIES = {
     for f in (
         op1_line_crf, op2_sum_of_squares, op3_simhash_mih, op4_line_frequency, op5_poisson_mix, op6_license_scan,
         op7_hidden_markov, op8_projection_collisions, op9_nearest_centroid, op10_capture_index,
-        op12_suffix_sort, op13_collocations, pipeline,
+        op11_bit_sliced_whitening, op12_suffix_sort, op13_collocations, pipeline,
     )
 }

@@ -98,7 +98,7 @@ def ask_digits(chunk: ch.Chunk, bits: int) -> Iterator[tuple[int, bytes]]:
     order = np.lexsort((owner, digits))
     digits, owner = digits[order], owner[order]
     first = np.flatnonzero(np.concatenate(([True], digits[1:] != digits[:-1]))) if len(digits) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(digits)) - 1
+    last = np.append(first[1:], len(digits))[: len(first)] - 1
     digits, many = digits[first], owner[first] != owner[last]
     rest = (digits << np.uint64(bits)) >> np.uint64(64 - REST)
     entries = ((rest << np.uint64(1)) | many.astype(np.uint64)).astype(np.uint32)
