@@ -23,6 +23,11 @@ def fold(key: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that columns of any name pass a step untouched; ``_row.*`` unpacks it."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -6,16 +6,21 @@ bytes; hidden states emit classes, and a class emits its words by their training
     P(text) = sum over state paths of  start(z1) emit(c1 | z1) move(z2 | z1) ...  x  product of P(word | class)
 
 A word never seen in training takes the share T / (N + T) of its class, N being the class's tokens and T one
-more than its words seen once. Word counts cover all training texts. Baum-Welch starts from a bounded sample
-of training documents (``SEED_DOCUMENTS``, only the starting point); its expected counts are then gathered
-from *all* training texts, cut into runs of ``RUN`` tokens, summed per task and over the tasks. Scores come
-from the scaled forward recursion over whole texts.
+more than its words seen once. Word counts cover all training texts. The classes of all training texts are
+stored once; every Baum-Welch pass sums the expected counts of all of them, per task and over the tasks, and
+passes go on until the log-likelihood gains less than ``TOLERANCE`` a token. A sample of texts
+(``SEED_DOCUMENTS``) only serves to find where to start. Scores come from the scaled forward recursion.
+
+Counts are those of whole texts: a text is cut into runs of ``RUN`` tokens whose transfer matrices carry the
+forward and backward messages from run to run, so that long texts take few steps and nothing is lost at the
+cuts; the text's start is counted once.
 
 The vocabulary grows with the corpus, so it is never whole in one place: the ``HEAD`` most frequent words at
 most travel with the tasks, the rarer words of each text are joined with the stored counts by their hash.
 Words are told apart by 64-bit keys.
 
-Defined results: a null or blank text is one end token; repeated rows are scored each; without training rows
+Defined results: a null or blank text is one end token; texts of any length are read whole; words tied at the
+limit of ``HEAD`` are joined; repeated rows are scored each, and are one text of the sample; without training rows
 every token is unknown and every state alike; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -36,7 +41,7 @@ CLASS_BITS = 13
 CLASSES = 1 << CLASS_BITS
 RUN = 64
 HEAD = 1 << 18
-PASSES = 2
+TOLERANCE = 0.002
 SEED_DOCUMENTS = 1500
 SEED_ROUNDS = 25
 PRIOR = 0.02
@@ -101,103 +106,201 @@ def _normal(start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> Chain:
     return Chain(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def runs_of(tokens: np.ndarray, starts: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all tokens and the starts of runs of at most ``run`` tokens that do not cross texts."""
+def classes_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & _MASK).astype(np.int64)
+
+
+@dataclass
+class Runs:
+    """Runs of at most ``RUN`` tokens that do not cross texts, longest first; ``after`` is the run's next one or -1."""
+
+    begin: np.ndarray
+    size: np.ndarray
+    place: np.ndarray
+    after: np.ndarray
+
+
+def runs_of(starts: np.ndarray, run: int) -> Runs:
     lengths = np.diff(starts)
     pieces = -(-lengths // run)
     owner = np.repeat(np.arange(len(lengths)), pieces)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    return (tokens & _MASK).astype(np.int64), np.append(starts[owner] + place * run, starts[-1])
+    size = np.minimum(lengths[owner] - place * run, run)
+    order = np.argsort(-size, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    follows = np.append(place[1:] > 0, False) if len(place) else np.zeros(0, bool)
+    after = np.where(follows, np.append(rank[1:], -1), -1) if len(place) else rank
+    return Runs((starts[owner] + place * run)[order], size[order], place[order], after[order])
 
 
-def expected_counts(chain: Chain, classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Baum-Welch expected counts of starts, moves and emissions over the runs."""
+def _messages(chain: Chain, emit: np.ndarray, classes: np.ndarray, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """For every run the state distribution before its first token, and the weight of all tokens behind it."""
     states = len(chain.start)
-    lengths = np.diff(bounds)
-    order = np.argsort(-lengths, kind="stable")
-    begin, lengths = bounds[:-1][order], lengths[order]
-    steps = int(lengths[0]) if len(lengths) else 0
-    active = [int(np.searchsorted(-lengths, -t, "left")) for t in range(steps)]
+    before, behind = np.tile(chain.start, (len(runs.size), 1)), np.ones((len(runs.size), states))
+    long = np.flatnonzero((runs.after >= 0) | (runs.place > 0))
+    if not len(long):
+        return before, behind
+    own = np.full(len(runs.size), -1)
+    own[long] = np.arange(len(long))
+    begin, size = runs.begin[long], runs.size[long]  # still longest first
+    through = np.eye(states) * emit[classes[begin]][:, None, :]
+    for t in range(1, int(size[0])):
+        n = int(np.searchsorted(-size, -t, "left"))
+        now = (through[:n].reshape(-1, states) @ chain.move).reshape(n, states, states)
+        now *= emit[classes[begin[:n] + t]][:, None, :]
+        if t % 8 == 0:
+            now /= now.max((1, 2), keepdims=True)
+        through[:n] = now
+    through /= through.max((1, 2), keepdims=True)
+    order = np.argsort(runs.place[long], kind="stable")
+    steps = np.split(long[order], np.flatnonzero(np.diff(runs.place[long][order])) + 1)
+    for rows in steps:
+        rows = rows[runs.after[rows] >= 0]
+        ended = np.einsum("ri,rij->rj", before[rows], through[own[rows]])
+        before[runs.after[rows]] = (ended / ended.sum(1, keepdims=True)) @ chain.move
+    for rows in reversed(steps):
+        rows = rows[runs.after[rows] >= 0]
+        next_rows = runs.after[rows]
+        ahead = np.einsum("rij,rj->ri", through[own[next_rows]], behind[next_rows])
+        behind[rows] = (ahead / ahead.sum(1, keepdims=True)) @ chain.move.T
+    return before, behind
+
+
+def expected_counts(
+    chain: Chain, classes: np.ndarray, starts: np.ndarray, run: int = RUN
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Baum-Welch expected counts of starts, moves and emissions of whole texts, and their log-likelihood."""
+    states = len(chain.start)
+    runs = runs_of(starts, run)
+    steps = int(runs.size[0]) if len(runs.size) else 0
+    active = [int(np.searchsorted(-runs.size, -t, "left")) for t in range(steps)]
     emit = np.ascontiguousarray(chain.emit.T)
-    forward, scale, node = [], [], []
+    before, behind = _messages(chain, emit, classes, runs)
+    forward, node, likelihood = [], [], 0.0
+    last = np.empty_like(before)
     for t in range(steps):
-        seen = emit[classes[begin[: active[t]] + t]]
-        now = (chain.start if t == 0 else forward[-1][: active[t]] @ chain.move) * seen
+        n = active[t]
+        seen = emit[classes[runs.begin[:n] + t]]
+        now = (before if t == 0 else forward[-1][:n] @ chain.move) * seen
         total = now.sum(1, keepdims=True)
-        forward.append(now / total)
-        scale.append(total)
+        now /= total
+        likelihood += float(np.log(total).sum())
+        forward.append(now)
         node.append(seen)
-    start, move = np.zeros(states), np.zeros((states, states))
+        last[:n] = now
+    move = np.zeros((states, states))
     emitted = np.zeros((CLASSES, states))
-    backward = None
+    start, back, ahead = np.zeros(states), behind, behind
     for t in range(steps - 1, -1, -1):
-        back = np.ones((active[t], states))
-        if backward is not None:
-            ahead = node[t + 1] * backward / scale[t + 1]
-            back[: active[t + 1]] = ahead @ chain.move.T
-            move += (forward[t][: active[t + 1]].T @ ahead) * chain.move
-        backward = back
+        n, more = active[t], active[t + 1] if t + 1 < steps else 0
+        pulled = behind[:n].copy()
+        if more:
+            pulled[:more] = ahead @ chain.move.T
+        scale = (forward[t] * pulled).sum(1, keepdims=True)
+        if more:
+            move += (forward[t][:more].T @ (ahead / scale[:more])) * chain.move
+        back = pulled / scale
         inside = forward[t] * back
-        inside /= inside.sum(1, keepdims=True)
-        kind = classes[begin[: active[t]] + t]
+        kind = classes[runs.begin[:n] + t]
         for z in range(states):
             emitted[:, z] += np.bincount(kind, inside[:, z], CLASSES)
+        ahead = node[t] * back
         if t == 0:
-            start = inside.sum(0)
-    return start, move, emitted.T
+            start = inside[runs.place == 0].sum(0)
+            rows = np.flatnonzero(runs.after >= 0)  # moves from a run's last token to the next run's first
+            into = ahead[runs.after[rows]]
+            total = (last[rows] * (into @ chain.move.T)).sum(1, keepdims=True)
+            move += (last[rows].T @ (into / total)) * chain.move
+    return start, move, emitted.T, likelihood
 
 
-def seed_chain(classes: np.ndarray, bounds: np.ndarray, states: int, rounds: int = SEED_ROUNDS) -> Chain:
-    """A starting point: noisy emissions, improved by Baum-Welch on a small set of runs."""
+def seed_chain(classes: np.ndarray, starts: np.ndarray, states: int, rounds: int = SEED_ROUNDS) -> Chain:
+    """A starting point: noisy emissions, improved by Baum-Welch on a small set of texts."""
     noise = np.random.default_rng(11)
     base = np.bincount(classes, minlength=CLASSES) + 0.1
     emit = base * noise.gamma(1.0, 1.0, (states, CLASSES))
     sticky = np.full((states, states), 1.0) + np.eye(states) * 20 * states
     chain = Chain(np.full(states, 1 / states), sticky / sticky.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
     for _ in range(rounds if len(classes) else 0):
-        chain = _normal(*expected_counts(chain, classes, bounds))
+        chain = _normal(*expected_counts(chain, classes, starts)[:3])
     return chain
 
 
-def train_chain(
-    texts: DataFrame, key: str, text: str, total: int, states: int = STATES, passes: int = PASSES
-) -> Chain:
-    """Baum-Welch: each pass sums the expected counts of every training text (``total`` rows)."""
-    unit = F.pmod(F.xxhash64(F.lit("hmm"), F.col(key), F.xxhash64(text)), F.lit(1 << 30)) / float(1 << 30)
-    bodies = texts.select(F.col(text).alias("_text"))
+def class_rows(texts: DataFrame, text: str) -> DataFrame:
+    """The classes of all texts, a slice of texts to a row: ``_kinds`` (two bytes each) and ``_lengths``."""
 
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            kinds, bounds = runs_of(*token_keys(*text_bytes(batch.column(0))))
-            runs = np.split(kinds.astype(np.int16), bounds[1:-1])
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in runs], pa.binary())], ["_run"])
-
-    sampled = texts.where(unit < SEED_DOCUMENTS / max(total, 1)).select(F.col(text).alias("_text"))
-    runs = sorted(bytes(r["_run"]) for r in sampled.mapInArrow(classed, "_run binary").collect())  # bounded
-    runs = [np.frombuffer(r, np.int16).astype(np.int64) for r in runs]
-    bounds = np.concatenate(([0], np.cumsum([len(r) for r in runs]))).astype(np.int64)
-    chain = seed_chain(np.concatenate(runs) if runs else np.zeros(0, np.int64), bounds, states)
-    width = 1 + states + CLASSES
-    for _ in range(passes if runs else 0):
-        now = chain
-
-        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((width, states))
-            for batch in slices(batches, "_text"):
-                start, move, emit = expected_counts(now, *runs_of(*token_keys(*text_bytes(batch.column(0)))))
-                sums += np.vstack([start[None], move, emit.T])
+            tokens, starts = token_keys(*text_bytes(batch.column(0)))
+            ends = pa.array([0, batch.num_rows], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(width)), *(pa.array(sums[:, z]) for z in range(states))],
-                ["_at", *(f"_s{z}" for z in range(states))],
+                [
+                    pa.array([classes_of(tokens).astype(np.int16).tobytes()], pa.binary()),
+                    pa.ListArray.from_arrays(ends, pa.array(np.diff(starts))),
+                ],
+                ["_kinds", "_lengths"],
             )
 
-        schema = "_at bigint, " + ", ".join(f"_s{z} double" for z in range(states))
-        added = bodies.mapInArrow(gather, schema).groupBy("_at").agg(*[F.sum(f"_s{z}") for z in range(states)])
+    return texts.select(F.col(text).alias("_text")).mapInArrow(run, "_kinds binary, _lengths array<bigint>")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for kinds, lengths in zip(batch.column(0), batch.column(1)):
+            starts = np.concatenate(([0], np.cumsum(lengths.values.to_numpy(zero_copy_only=False))))
+            yield np.frombuffer(kinds.as_buffer(), np.int16).astype(np.int64), starts.astype(np.int64)
+
+
+def baum_welch(chain: Chain, rows: DataFrame) -> tuple[Chain, float, float]:
+    """One pass over all stored texts: the new chain, the old one's log-likelihood, and the number of tokens."""
+    states = len(chain.start)
+    width = 2 + states + CLASSES
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((width, states))
-        for row in added.collect():  # the size of the model, whatever the input
-            sums[row[0]] = row[1:]
-        chain = _normal(sums[0], sums[1 : 1 + states], sums[1 + states :].T)
-    return chain
+        for kinds, starts in _rows(batches):
+            start, move, emit, likelihood = expected_counts(chain, kinds, starts)
+            sums[0, :2] += likelihood, len(kinds)
+            sums[1:] += np.vstack([start[None], move, emit.T])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(width)), *(pa.array(sums[:, z]) for z in range(states))],
+            ["_at", *(f"_s{z}" for z in range(states))],
+        )
+
+    schema = "_at bigint, " + ", ".join(f"_s{z} double" for z in range(states))
+    added = rows.mapInArrow(gather, schema).groupBy("_at").agg(*[F.sum(f"_s{z}") for z in range(states)])
+    sums = np.zeros((width, states))
+    for row in added.collect():  # the size of the model, whatever the input
+        sums[row[0]] = row[1:]
+    return _normal(sums[1], sums[2 : 2 + states], sums[2 + states :].T), float(sums[0, 0]), float(sums[0, 1])
+
+
+def train_chain(
+    texts: DataFrame, key: str, text: str, total: int, states: int = STATES, tolerance: float = TOLERANCE
+) -> Chain:
+    """Baum-Welch over every training text (``total`` rows) until a pass gains less than ``tolerance`` a token."""
+    unit = F.pmod(F.xxhash64(F.lit("hmm"), F.col(key), F.xxhash64(text)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = texts.where(unit < SEED_DOCUMENTS / max(total, 1))
+    # Copies of a row are drawn together; they are combined before the shuffle, so they count once.
+    drawn = drawn.groupBy(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash")).agg(F.first(text).alias("_text"))
+    picked = class_rows(drawn.select("_text"), "_text").select("_kinds", "_lengths").collect()  # bounded by the sample
+    found = sorted(bytes(k) for r in picked for k in _texts(bytes(r["_kinds"]), r["_lengths"]))
+    starts = np.concatenate(([0], np.cumsum([len(k) // 2 for k in found]))).astype(np.int64)
+    chain = seed_chain(np.frombuffer(b"".join(found), np.int16).astype(np.int64), starts, states)
+    if not total:
+        return chain
+    rows, before = store(class_rows(texts, text), "hmm-classes"), -np.inf
+    while True:
+        chain, likelihood, tokens = baum_welch(chain, rows)
+        if likelihood - before < tolerance * tokens:
+            return chain
+        before = likelihood
+
+
+def _texts(kinds: bytes, lengths: list[int]) -> list[bytes]:
+    ends = 2 * np.cumsum(lengths)
+    return [kinds[b - 2 * n : b] for b, n in zip(ends.tolist(), lengths)]
 
 
 def forward_log10(chain: Chain, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -270,7 +373,7 @@ def score_texts(
         log_n, log_n1 = np.log10(np.maximum(top_counts, 1)), np.log10(top_counts + 1)
         for batch in slices(batches, "_text", SCORE_BYTES):
             keys, starts = token_keys(*text_bytes(batch.column(1)))
-            kinds = (keys & _MASK).astype(np.int64)
+            kinds = classes_of(keys)
             scores = forward_log10(chain, kinds, starts)
             place = np.minimum(np.searchsorted(top_words, keys), max(len(top_words) - 1, 0))
             top = top_words[place] == keys if len(top_words) else np.zeros(len(keys), bool)

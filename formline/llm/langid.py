@@ -4,12 +4,17 @@ A text becomes a vector of hashed character n-gram counts (1 to 3 characters, lo
 one break between words), dampened, weighted by inverse document frequency and scaled to length one. Document
 frequencies are counted over all training texts. Centroids come from spherical k-means inside each language,
 fitted on about ``sample`` texts per language (those with the smallest hashes), so one language's fit is
-bounded whatever its share. A text belongs to the language of the centroid with the highest cosine and is
-rejected if that cosine is below ``min_cosine``.
+bounded whatever its share. A text belongs to the language of the centroid with the highest cosine.
 
-Defined results: a text that is null or has no letter is ``und`` with score 0 and rejected; ties go to the
-language first in order; repeated rows are scored alike; without any training text every text is ``und``;
-an empty table gives an empty result; other columns are ignored by ``predict`` and kept by ``keep_known``.
+Rejection goes by distance (one less the cosine). A fifth of the sample is kept out of the centroids; the limit
+is ``MARGIN`` times the ``QUANTILE`` of its distances to the nearest centroid of its own language, all languages
+together. With fewer than ``CALIBRATION`` such texts the limit is ``RADIUS``. Texts of fewer than ``EVIDENCE``
+n-grams (a few words) lie far from every centroid whatever their language and are not rejected for it.
+
+Defined results: a text that is null or has no letter (of any plane of Unicode) is ``und`` with score 0 and
+rejected; ties go to the language first in order; repeated rows are scored alike and are one text of the sample;
+texts of any length are read whole; without any training text every text is ``und``; an empty table gives an empty
+result; other columns are ignored by ``predict`` and kept, under any name, by ``keep_known``.
 """
 
 from __future__ import annotations
@@ -20,9 +25,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from formline.llm.common import slices
+from formline.llm.common import slices, whole_row
 from formline.session import store
 
 DIMENSIONS = 4096
@@ -30,20 +35,27 @@ ORDERS = (1, 2, 3)
 CENTROIDS = 4
 SAMPLE = 1000
 ROUNDS = 8
-MIN_COSINE = 0.2
+QUANTILE = 0.999
+MARGIN = 1.08
+CALIBRATION = 50
+RADIUS = 0.8
+EVIDENCE = 128
 LANGUAGES = 10_000
 UNKNOWN = "und"
 
 
+def _letter(code: int) -> int:
+    """The lower-case code point of a letter, 0 for all else."""
+    char = chr(code)
+    if not char.isalpha():
+        return 0
+    low = char.lower()
+    return ord(low) if len(low) == 1 else code
+
+
 def _letters() -> np.ndarray:
-    """The lower-case code point of each letter of the first plane, 0 for all else."""
-    table = np.zeros(0x10000, np.uint32)
-    for code in range(0x10000):
-        char = chr(code)
-        if char.isalpha():
-            low = char.lower()
-            table[code] = ord(low) if len(low) == 1 else code
-    return table
+    """``_letter`` of the first plane."""
+    return np.array([_letter(code) for code in range(0x10000)], np.uint32)
 
 
 class Grams:
@@ -56,8 +68,11 @@ class Grams:
     def codes(self, text: str) -> np.ndarray:
         """Lower-case letters with a 0 where anything else stands, runs of 0 as one; empty without letters."""
         points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        # Letters beyond the first plane have no case here and keep their code point.
-        codes = np.where(points < 0x10000, self.letters[np.minimum(points, 0xFFFF)], points)
+        codes = self.letters[np.minimum(points, 0xFFFF)]
+        far = np.flatnonzero(points >= 0x10000)
+        if len(far):
+            distinct, own = np.unique(points[far], return_inverse=True)
+            codes[far] = np.array([_letter(int(p)) for p in distinct], np.uint32)[own]
         padded = np.concatenate(([0], codes, [0])).astype(np.uint64)
         keep = (padded != 0) | np.concatenate(([True], padded[:-1] != 0))
         padded = padded[keep]
@@ -106,11 +121,12 @@ def document_frequencies(texts: DataFrame, text: str, dimensions: int = DIMENSIO
 
 @dataclass
 class Model:
-    """``centroids`` has a row per centroid, ``languages`` the language of each."""
+    """``centroids`` has a row per centroid, ``languages`` the language of each; texts beyond ``radius`` are rejected."""
 
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
+    radius: float = RADIUS
 
 
 def _scaled(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -157,68 +173,73 @@ def fit(
 
     def centres(group: tuple, part: pd.DataFrame) -> pd.DataFrame:
         grams = Grams(dimensions)
-        vectors = [_scaled(*grams.counts(body), idf) for body in part["_text"]]
-        vectors = np.array([v for v in vectors if v.any()], np.float32)
-        means = spherical_means(vectors, centroids) if len(vectors) else vectors
-        return pd.DataFrame({"_lang": [group[0]] * len(means), "_mean": [m.tolist() for m in means]})
-
-    found = sorted(
-        (row["_lang"], row["_mean"])
-        for row in picked.groupBy("_lang").applyInPandas(centres, "_lang string, _mean array<float>").collect()
-    )
-    return Model(
-        idf, np.array([m for _, m in found], np.float32).reshape(-1, dimensions), [language for language, _ in found]
-    )
+        vectors = [_scaled(*grams.counts(body), idf) for body in sorted(part["_text"])]
+        vectors = np.array([v for v in vectors if v.any()], np.float32).reshape(-1, dimensions)
+        apart = np.arange(len(vectors)) % 5 == 4
+        means = spherical_means(vectors[~apart], centroids) if len(vectors) else vectors
+        far = 1 - (vectors[apart] @ means.T).max(1) if apart.any() else np.zeros(0)
+        values = [m.tolist() for m in means] + [far.tolist()]
+        return pd.DataFrame({"_lang": group[0], "_mean": [True] * len(means) + [False], "_values": values})
+
+    fitted = picked.groupBy("_lang").applyInPandas(centres, "_lang string, _mean boolean, _values array<float>").collect()
+    found = sorted((row["_lang"], row["_values"]) for row in fitted if row["_mean"])
+    far = np.array([v for row in fitted if not row["_mean"] for v in row["_values"]])
+    radius = min(MARGIN * float(np.quantile(far, QUANTILE)), 1.0) if len(far) >= CALIBRATION else RADIUS
+    vectors = np.array([m for _, m in found], np.float32).reshape(-1, dimensions)
+    return Model(idf, vectors, [language for language, _ in found], radius)
 
 
 def _sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int) -> DataFrame:
     """About ``sample`` rows per language, all if there are fewer: rows whose hash lies below sample / rows."""
     unit = F.pmod(F.xxhash64(F.lit("langid"), F.col(key), F.xxhash64(text)), F.lit(1 << 30)) / float(1 << 30)
-    known = rows.select(F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text"), unit.alias("_unit"))
+    known = rows.select(
+        F.col(lang).cast("string").alias("_lang"),
+        F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash")).alias("_own"),
+        F.col(text).alias("_text"),
+        unit.alias("_unit"),
+    )
     shares = known.groupBy("_lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_share"))
     shares = store(shares, "languages")
     # Languages are few; only a checked number of rows is broadcast, else texts are shuffled to the join.
     side = F.broadcast(shares) if shares.count() <= LANGUAGES else shares
-    return known.join(side, "_lang").where(F.col("_unit") < F.col("_share")).select("_lang", "_text")
+    drawn = known.join(side, "_lang").where(F.col("_unit") < F.col("_share"))
+    # Copies of a row are drawn together; they are combined before the shuffle, so they count once.
+    return drawn.groupBy("_lang", "_own").agg(F.first("_text").alias("_text")).select("_lang", "_text")
 
 
-def predict(
-    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", min_cosine: float = MIN_COSINE
-) -> DataFrame:
+def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, lang_pred, score, rejected`` of every row; reads nothing but the text."""
-    kind = docs.schema[key].dataType.simpleString()
+    schema = T.StructType([T.StructField("_key", docs.schema[key].dataType)])
+    schema = schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, idf, order = Grams(len(model.idf)), model.idf, np.ascontiguousarray(model.centroids.T)
         for batch in slices(batches, "_text"):
-            names, scores = [], []
+            names, scores, rejected = [], [], []
             for body in batch.column(1).to_pylist():
                 at, counts = grams.counts(body)
                 if not len(at) or not model.languages:
                     names.append(UNKNOWN)
                     scores.append(0.0)
+                    rejected.append(True)
                     continue
                 weights = np.log1p(counts) * idf[at]
                 cosines = weights @ order[at] / np.linalg.norm(weights)
                 best = int(cosines.argmax())
                 names.append(model.languages[best])
                 scores.append(float(min(max(cosines[best], 0.0), 1.0)))
-            rejected = [n == UNKNOWN or s < min_cosine for n, s in zip(names, scores)]
+                rejected.append(bool(counts.sum() >= EVIDENCE and 1 - scores[-1] > model.radius))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["_key", "lang_pred", "score", "rejected"],
             )
 
-    scored = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
-        run, f"_key {kind}, lang_pred string, score double, rejected boolean"
-    )
+    scored = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(run, schema)
     return scored.withColumnRenamed("_key", key)
 
 
-def keep_known(
-    docs: DataFrame, model: Model, text: str = "text", min_cosine: float = MIN_COSINE
-) -> DataFrame:
+def keep_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col(text).alias("_body"))
-    scored = predict(whole, model, "_row", "_body", min_cosine)
-    return scored.where(~F.col("rejected")).select("_row.*")
+    whole = docs.select(whole_row(docs).alias("_row"), F.col(text).alias("_body"))
+    scored = predict(whole, model, "_row", "_body")
+    return scored.where(~F.col("rejected")).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

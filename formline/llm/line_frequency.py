@@ -7,16 +7,17 @@ the smallest id, and a document that keeps less than ``min_left`` of its words i
 measures and judges; ``keep_good`` returns the kept documents without the lines taken out.
 
 Defined results: a null text has no words, so it fails the base rules; null hosts form one host; documents
-with equal id and text get one verdict (returned once); an empty table gives an empty result. Columns
-other than id, text and host are ignored by ``line_quality`` and kept as they are by ``keep_good`` (a stored length is
-that of the text before).
+with equal id and text get one verdict (returned once); a line in exactly ``max_documents`` texts stays, a document
+with exactly ``min_left`` of its words too; very long texts are rows like others; an empty table gives an empty
+result. Columns other than id, text and host, of any name, are ignored by ``line_quality`` and kept as they are by
+``keep_good`` (a stored length is that of the text before).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formline.llm.common import let
+from formline.llm.common import let, whole_row
 
 MAX_DOCUMENTS = 20
 MIN_LEFT = 0.3
@@ -185,16 +186,19 @@ def without_lines(text: Column, gone: Column) -> Column:
 
 def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
     """The rows of ``docs`` whose document is kept, without their frequent lines; repeated rows stay."""
-    verdicts = _judged(docs, doc_id, text, host, **limits).where("kept").select(
-        F.col("_id").alias("_line_id"), F.col("_host").alias("_line_host"), F.col("_key").alias("_line_key"), "_gone_lines"
+    verdicts = _judged(docs, doc_id, text, host, **limits).where("kept").select("_id", "_host", "_key", "_gone_lines")
+    whole = docs.select(
+        whole_row(docs).alias("_row"),
+        F.col(doc_id).alias("_row_id"),
+        F.col(host).alias("_row_host"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_row_key"),
     )
-    return (
-        docs.join(
-            verdicts,
-            F.col(doc_id).eqNullSafe(F.col("_line_id"))
-            & F.col(host).eqNullSafe(F.col("_line_host"))
-            & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_line_key")),
-        )
-        .withColumn(text, without_lines(F.col(text), F.col("_gone_lines")))
-        .select(*docs.columns)
+    kept = whole.join(
+        verdicts,
+        F.col("_row_id").eqNullSafe(F.col("_id"))
+        & F.col("_row_host").eqNullSafe(F.col("_host"))
+        & (F.col("_row_key") == F.col("_key")),
     )
+    own = F.col("_row")
+    left = without_lines(own[text], F.col("_gone_lines"))
+    return kept.select(*[(left if c == text else own[c]).alias(c) for c in docs.columns])

@@ -8,14 +8,16 @@ shuffled globally by a hash of seed, id and copy.
 Defined results: a null source is a source of its own; null and empty texts have no characters but are drawn
 like the others of their source; a source without characters has rate 1; rows with equal ids draw alike; an
 empty table gives an empty result. Target weights need not sum to one. Without targets a source's weight is
-the square root of its share, which lifts small sources. Other columns are kept; the added ones replace
-columns of the same name.
+the square root of its share, which lifts small sources. Copies with equal shuffle keys (of rows with equal ids) come in
+any order; very long texts are rows like others. Other columns, of any name, are kept; the added ones replace columns of
+the same name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from formline.llm.common import whole_row
 from formline.session import store
 
 SEED = "mix-1"
@@ -64,7 +66,7 @@ def source_rates(
     )
 
 
-def replicate(
+def _copies(
     docs: DataFrame,
     targets: DataFrame | None = None,
     doc_id: str = "doc_id",
@@ -72,25 +74,32 @@ def replicate(
     source: str = "source",
     seed: str = SEED,
 ) -> DataFrame:
-    """The columns of ``docs`` for every copy, in global shuffled order, and ``_mix_rate, _mix_copy, _mix_key``."""
+    """``_row, rate, copy, shuffle_key`` of every copy, in global shuffled order."""
     rates = source_rates(docs, targets, text, source)
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    count = poisson_count(F.col("_mix_rate"), hashed_unit(seed, key))
-    copies = (
-        docs.join(rates, F.col(source).eqNullSafe(F.col("_mix_source")))
-        .withColumn("_mix_count", count)
-        .where(F.col("_mix_count") > 0)
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(0), F.col("_mix_count") - 1)))
-        .withColumn("_mix_key", F.md5(F.concat_ws(":", F.lit(seed), key, F.col("_mix_copy").cast("string"))))
+    whole = docs.select(
+        whole_row(docs).alias("_row"),
+        F.col(source).alias("_source"),
+        F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_draw"),
     )
-    return (
-        copies.select(*docs.columns, "_mix_rate", "_mix_copy", "_mix_key")
-        .repartitionByRange("_mix_key")
-        .sortWithinPartitions("_mix_key")
+    count = poisson_count(F.col("_mix_rate"), hashed_unit(seed, F.col("_draw")))
+    copies = (
+        whole.join(rates, F.col("_source").eqNullSafe(F.col("_mix_source")))
+        .withColumn("_count", count)
+        .where(F.col("_count") > 0)
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), "_draw", F.col("copy").cast("string"))))
+        .select("_row", F.col("_mix_rate").alias("rate"), "copy", "shuffle_key")
     )
+    return copies.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def replicate(docs: DataFrame, targets: DataFrame | None = None, **options: str) -> DataFrame:
+    """The columns of ``docs`` for every copy, in global shuffled order."""
+    return _copies(docs, targets, **options).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def mix_sources(docs: DataFrame, targets: DataFrame | None = None, **options: str) -> DataFrame:
-    """``replicate`` with the added columns named ``rate``, ``copy`` and ``shuffle_key``."""
-    named = {"_mix_rate": "rate", "_mix_copy": "copy", "_mix_key": "shuffle_key"}
-    return replicate(docs, targets, **options).drop(*named.values()).withColumnsRenamed(named)
+    """``replicate`` with the columns ``rate``, ``copy`` and ``shuffle_key``, which replace columns of those names."""
+    added = ("rate", "copy", "shuffle_key")
+    kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in added]
+    return _copies(docs, targets, **options).select(*kept, *added)

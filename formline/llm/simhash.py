@@ -8,8 +8,8 @@ verified on the whole fingerprint. Documents with equal fingerprints are one ent
 paired with each other.
 
 Defined results: a null, empty or blank text has fingerprint zero and is linked like any other; repeated ids
-are one document per row with the same component; an empty table gives an empty result; columns other than
-id and text are ignored.
+are one document per row with the same component; an empty table gives an empty result; texts of any length
+are hashed whole; columns other than id and text are ignored, and kept under any name by ``keep_first``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formline.llm.common import slices
+from formline.llm.common import slices, whole_row
 from formline.llm.components import connected
 from formline.session import store
 
@@ -104,9 +104,9 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     The row is picked by a combined minimum over small keys; texts are joined back once.
     """
-    numbered = store(docs.withColumn("_simhash_row", F.monotonically_increasing_id()), "simhash-docs")
-    rows = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_simhash_row").alias("row"))
-    keyed = numbered.select(rows.alias("_key"), text)
-    groups = simhash_groups(keyed.withColumnRenamed(text, "_body"), "_key", "_body")
-    kept = groups.where(F.col("_key") == F.col("component_id")).select(F.col("_key.row").alias("_simhash_row"))
-    return numbered.join(kept, "_simhash_row", "left_semi").select(*docs.columns)
+    numbered = store(docs.select(whole_row(docs).alias("_row"), F.monotonically_increasing_id().alias("_at")), "simhash-docs")
+    own = F.col("_row")
+    key = F.struct(own[doc_id].isNull().alias("none"), own[doc_id].alias("id"), F.col("_at").alias("at"))
+    groups = simhash_groups(numbered.select(key.alias("_key"), own[text].alias("_body")), "_key", "_body")
+    kept = groups.where(F.col("_key") == F.col("component_id")).select(F.col("_key.at").alias("_at"))
+    return numbered.join(kept, "_at", "left_semi").select(*[own[c].alias(c) for c in docs.columns])

@@ -12,7 +12,7 @@ from formline.llm import crf, hmm, langid, license_scan, line_frequency, mixing,
 from formline.llm.common import word_bounds, word_keys
 from formline.llm.queries import QUERIES
 
-SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SMALL, MIDDLE, LARGE = "/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, rate string, copy int, _row int, kept int"
 LONG = " ".join(f"wort{i % 977} und{i % 13}" for i in range(40_000))
 
@@ -384,7 +384,9 @@ def test_forward_equals_the_sum_over_paths():
 
 def test_expected_counts_equal_the_sum_over_paths():
     chain, kinds, starts = small_chain()
-    start, move, emit = hmm.expected_counts(chain, kinds, starts)
+    start, move, emit, likelihood = hmm.expected_counts(chain, kinds, starts)
+    log_z = sum(math.log(sum(p for _, p in paths(chain, kinds[a:b]))) for a, b in zip(starts, starts[1:]))
+    assert math.isclose(likelihood, log_z, rel_tol=1e-12)
     want_start, want_move, want_emit = np.zeros(2), np.zeros((2, 2)), np.zeros((2, hmm.CLASSES))
     for low, high in zip(starts, starts[1:]):
         z = sum(p for _, p in paths(chain, kinds[low:high]))
@@ -397,6 +399,43 @@ def test_expected_counts_equal_the_sum_over_paths():
     assert np.allclose(start, want_start) and np.allclose(move, want_move) and np.allclose(emit, want_emit)
 
 
+@pytest.mark.parametrize("run", [1, 2, 3, 5])
+def test_counts_of_cut_texts_are_those_of_whole_ones(run):
+    random = np.random.default_rng(8)
+    chain = hmm._normal(random.random(3), random.random((3, 3)) * 9, random.random((3, hmm.CLASSES)))
+    kinds, starts = random.integers(0, 30, 700), np.array([0, 1, 4, 300, 303, 303, 640, 700])
+    starts = np.unique(starts)  # every text has its end token
+    whole = hmm.expected_counts(chain, kinds, starts, 1000)
+    for a, b in zip(whole, hmm.expected_counts(chain, kinds, starts, run)):
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-9)
+    assert math.isclose(whole[0].sum(), len(starts) - 1) and math.isclose(whole[1].sum(), 700 - len(starts) + 1)
+
+
+def test_counts_of_a_text_longer_than_a_run_equal_path_enumeration():
+    chain, _, _ = small_chain()
+    kinds, starts = np.array([5, 9, 5, 5, 7, 9, 9, 7, 5, 0]), np.array([0, 10])
+    start, move, emit, _ = hmm.expected_counts(chain, kinds, starts, 3)
+    z = sum(p for _, p in paths(chain, kinds))
+    want = np.zeros((2, 2))
+    for path, p in paths(chain, kinds):
+        for a, b in zip(path, path[1:]):
+            want[a, b] += p / z
+    assert np.allclose(move, want) and math.isclose(start.sum(), 1) and math.isclose(emit.sum(), 10)
+
+
+def test_every_pass_raises_the_likelihood(spark):
+    docs = read(spark, SMALL)
+    rows = hmm.class_rows(docs, "text").cache()
+    random = np.random.default_rng(9)
+    chain = hmm._normal(random.random(3), random.random((3, 3)) * 9, random.random((3, hmm.CLASSES)))
+    gained = []
+    for _ in range(4):
+        chain, likelihood, tokens = hmm.baum_welch(chain, rows)
+        gained.append(likelihood / tokens)
+    assert gained == sorted(gained) and tokens == sum(len((r.text or "").encode().split()) + 1 for r in docs.collect())
+    rows.unpersist()
+
+
 @pytest.mark.parametrize("head", [hmm.HEAD, 20])
 def test_scores_and_base_scores(spark, head):
     docs = read(spark, SMALL)
@@ -452,6 +491,52 @@ def test_prediction_equals_a_dense_scan(spark):
         assert abs(row.score - cosines.max()) < 1e-5 and row.lang_pred == model.languages[int(cosines.argmax())]
 
 
+def test_letters_beyond_the_first_plane(spark):
+    model = langid.fit(read(spark, SMALL))
+    texts = ["😀😀😀", "😀 1 😀", "\U0001d538\U0001d539 \U0001d53b", "😀 the other words", "\U00010400\U00010401"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r for r in langid.predict(rows, model).collect()}
+    assert [found[i].lang_pred == "und" for i in range(5)] == [True, True, False, False, False]
+    assert found[0].score == found[1].score == 0.0 and found[0].rejected
+    codes = langid.Grams().codes
+    assert codes("\U00010400").tolist() == codes("\U00010428").tolist()  # upper and lower case
+
+
+def test_distant_texts_are_rejected_and_clean_ones_kept(spark):
+    import base64
+    import random
+
+    docs = read(spark, LARGE)
+    model = langid.fit(docs.where("doc_id % 2 = 0"))
+    draw = random.Random(1)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 10)))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem"
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki"
+    odd = [" ".join(word() for _ in range(n)) for n in (50, 300, 2000)]
+    odd += [base64.b64encode(draw.randbytes(3000)).decode(), polish, finnish]
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id int, text string")
+    assert all(r.rejected for r in langid.predict(rows, model).collect())
+    clean = langid.predict(docs.where("doc_id % 2 = 1"), model)
+    # One of 5,000 goes: the same two words of shouting over and over.
+    assert clean.where("rejected and lang_pred != 'und'").count() <= 1 and 0.5 < model.radius < 0.8
+
+
+def test_stages_keep_columns_named_like_their_own(spark, odd):
+    import corpus_pipeline
+
+    names = """_id _host _key _text _line _line_id _line_host _line_key _gone_lines _row _row_id _row_key _at _print _part _body
+        _simhash_row _mix_source _mix_rate _mix_count _mix_key _mix_copy _source _draw _count _lang _tokens _seq""".split()
+    names += ["a.b", "c d"]
+    wide = odd.select("*", *[F.lit(77 + i).alias(n) for i, n in enumerate(names) if n not in odd.columns])
+    kept = [f"`{n}`" for n in names if n not in odd.columns]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, "")
+        assert out.columns == wide.columns
+        assert {tuple(r) for r in out.select(*kept).collect()} <= {tuple(77 + i for i, n in enumerate(names) if n not in odd.columns)}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, wide, "")
+    assert pieces.where("piece = 0").count() == odd.count()
+
+
 def test_langid_odd_input(spark, odd):
     model = langid.fit(odd)
     rows = {r.doc_id: r for r in langid.predict(odd, model).collect()}
