@@ -5,33 +5,47 @@ express it and a single group would run in one task. The games of each pool are
 numbered in order and cut into chunks of ``chunk`` games. Pass ``n`` plays chunk
 ``n`` of every pool at once, from the ratings the earlier chunks left behind:
 
-1. Per chunk and player in it (a seat), the chunk in which that player appears
+1. Beforehand and for all chunks at once, the games of a chunk are put into
+   parts that share no player (connected players stay together, small groups
+   are dealt out evenly), and each game gets its wave: one more than the later
+   one of its sides' previous games in the chunk. Games of one wave have no
+   player in common.
+2. Per chunk and player in it (a seat), the chunk in which that player appears
    next is found beforehand.
-2. A pass writes the rated games and, for each seat, the rating at the chunk's
-   end under the number of the chunk that will read it.
-3. The next pass reads its own games, its own seats and what is addressed to it.
+3. A pass plays the parts of its chunk side by side, and a part wave by wave
+   where waves are wide. It writes the rated games, and one table of carried
+   ratings: each open seat's rating and the chunk that will read it.
+4. The next pass reads its own games, its own seats and that one table.
 
 Every game is played once, so the work is linear in the games and the result is
-that of a plain loop. Pools run side by side; one pool is sequential by its
-nature, so the passes are those of the longest pool (its games / ``chunk``). No
-group ever holds more than one chunk of one pool, and all state between passes
-is a stored table.
+that of a plain loop. Pools and unconnected players run side by side; players
+who all meet are sequential by nature, so the passes are those of the longest
+pool (its games / ``chunk``). No group ever holds more than one chunk of one
+pool, and all state between passes is a stored table.
 """
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from formline.operators.sequence import sequence_within
-from formline.session import scratch_path
+from formline.session import scratch_path, store
 
 BASE = 1500.0
 K = 20.0
 CHUNK = 262_144
 
-_PLAYED, _LAST = -1, -2  # what a pass writes besides ratings for a later chunk: games, and final ratings
-_OUT = "_order long, home_elo double, away_elo double, _pool string, _player string, _rating double, _next long"
+# A chunk is dealt into at most PARTS parts of about PART games; a wave is played at once from WIDE games on average.
+PARTS, PART, WIDE = 32, 4096, 24
+
+_LAST = -2  # no later chunk: a final rating
+_OUT = "_order long, home_elo double, away_elo double, _pool string, _player string, _rating double, _next long, _kind int"
+_GAMES = "_order long, _pool string, _home string, _away string, _score double, _part int, _wave int, _chunk long"
+_CARRIED = "_pool string, _player string, _rating double, _next long"
 
 
 def home_score(outcome: str) -> Column:
@@ -62,7 +76,7 @@ def elo_ratings(
     size are fine. Players are rated within ``pool``; without one, all games
     share a pool, and games without a pool value form one of their own.
     ``starts`` (``_pool, _player, _rating``) continues from earlier ratings. A
-    game without one of its sides is rated null.
+    game without one of its sides, or of a player against itself, is rated null.
     """
     return elo_with_final(df, order, home, away, outcome, pool, base, k, chunk, starts)[0]
 
@@ -80,7 +94,7 @@ def elo_with_final(
     starts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """As ``elo_ratings``, and the final rating of each player that played: ``_pool, _player, _rating``."""
-    sides = F.col(home).isNotNull() & F.col(away).isNotNull()
+    sides = F.coalesce(F.col(home).cast("string") != F.col(away).cast("string"), F.lit(False))
     games = df.where(sides).select(
         F.col(order).cast("long").alias("_order"),
         (F.col(pool) if pool else F.lit("")).cast("string").alias("_pool"),
@@ -89,12 +103,10 @@ def elo_with_final(
         home_score(outcome).alias("_score"),
     )
     numbered = sequence_within(games, "_pool", ["_order"], "_rank")
-    games = _store_by(
-        numbered.withColumn("_chunk", F.floor((F.col("_rank") - 1) / chunk).cast("long")).drop("_rank"), "_chunk", "elo-games"
-    )
-    results = _passes(games, _store_by(_seats(games, starts, base), "_chunk", "elo-seats"), k)
-    rated = results.where(F.col("_next") == _PLAYED).select(F.col("_order").alias(order), "home_elo", "away_elo")
-    final = results.where(F.col("_next") == _LAST).select("_pool", "_player", "_rating")
+    chunked = numbered.withColumn("_chunk", F.floor((F.col("_rank") - 1) / chunk).cast("long")).drop("_rank")
+    games = _store_by(chunked.groupBy("_pool", "_chunk").applyInPandas(_dealer(PARTS, PART), _GAMES), "_chunk", "elo-games")
+    played, final = _passes(games, _store_by(_seats(games, starts, base), "_chunk", "elo-seats"), k)
+    rated = played.select(F.col("_order").alias(order), "home_elo", "away_elo")
     unplayed = df.where(~sides).select(
         F.col(order).cast("long").alias(order),
         F.lit(None).cast("double").alias("home_elo"),
@@ -104,9 +116,12 @@ def elo_with_final(
 
 
 def _store_by(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Stored with a folder per value of ``key``, so that a pass reads its own chunk only."""
+    """Stored with a folder per value of ``key``, so that a pass reads its own chunk only.
+
+    Rows of one value are brought together first, in partitions of an even size, so a folder has few files.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.partitionBy(key).parquet(path)
+    df.hint("rebalance", key).write.partitionBy(key).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -114,7 +129,7 @@ def _seats(games: DataFrame, starts: DataFrame | None, base: float) -> DataFrame
     """One row per chunk and player in it: the chunk that needs the rating next, and a first seat's rating."""
     career = Window.partitionBy("_pool", "_player").orderBy("_chunk")
     seats = (
-        games.select("_chunk", "_pool", F.explode(F.array("_home", "_away")).alias("_player"))
+        games.select("_chunk", "_pool", "_part", F.explode(F.array("_home", "_away")).alias("_player"))
         .distinct()
         .withColumn("_first", F.lag("_chunk").over(career).isNull())
         .withColumn("_next", F.coalesce(F.lead("_chunk").over(career), F.lit(_LAST)).cast("long"))
@@ -123,7 +138,7 @@ def _seats(games: DataFrame, starts: DataFrame | None, base: float) -> DataFrame
     if starts is not None:
         seats = _with_ratings(seats, starts, "_given")
         given = F.coalesce("_given", given)
-    return seats.select("_chunk", "_pool", "_player", "_next", F.when(F.col("_first"), given).alias("_rating"))
+    return seats.select("_chunk", "_pool", "_part", "_player", "_next", F.when(F.col("_first"), given).alias("_rating"))
 
 
 def _with_ratings(seats: DataFrame, ratings: DataFrame, name: str) -> DataFrame:
@@ -134,48 +149,110 @@ def _with_ratings(seats: DataFrame, ratings: DataFrame, name: str) -> DataFrame:
     return seats.join(known, same, "left").drop("_of_pool", "_of_player")
 
 
-def _passes(games: DataFrame, seats: DataFrame, k: float) -> DataFrame:
-    """Play the chunks in turn; what all passes wrote."""
+def _passes(games: DataFrame, seats: DataFrame, k: float) -> tuple[DataFrame, DataFrame]:
+    """Play the chunks in turn: the rated games and the final ratings of all passes."""
     spark = games.sparkSession
     last = games.agg(F.max("_chunk")).first()[0]
     if last is None:
-        return spark.createDataFrame([], _OUT)
+        nothing = spark.createDataFrame([], _OUT)
+        return nothing, nothing.select("_pool", "_player", "_rating")
     path = scratch_path(spark, "elo-passes")
-    written = lambda: spark.read.schema(_OUT).parquet(path)
-    fold = _fold(k)
+    fold, carried = _fold(k, WIDE), None
     for n in range(last + 1):
         begins = seats.where(F.col("_chunk") == n)
-        if n:
-            carried = written().where(F.col("_next") == n)
-            begins = _with_ratings(begins, carried, "_carried").withColumn("_rating", F.coalesce("_carried", "_rating"))
-        begins = begins.select("_pool", "_player", "_next", "_rating")
+        if carried is not None:
+            begins = _with_ratings(begins, carried.where(F.col("_next") == n), "_carried")
+            begins = begins.withColumn("_rating", F.coalesce("_carried", "_rating"))
+        begins = begins.select("_pool", "_part", "_player", "_next", "_rating")
         chunk = games.where(F.col("_chunk") == n)
-        played = chunk.groupBy("_pool").cogroup(begins.groupBy("_pool")).applyInPandas(fold, _OUT)
-        played.write.partitionBy("_next").parquet(f"{path}/pass={n}")
-    return written()
+        both = ["_pool", "_part"]
+        played = chunk.groupBy(*both).cogroup(begins.groupBy(*both)).applyInPandas(fold, _OUT)
+        played.write.partitionBy("_kind").parquet(f"{path}/pass={n}")
+        if n < last:
+            ended = spark.read.schema(_OUT).parquet(f"{path}/pass={n}").where("_kind = 1")
+            held = ended.where(F.col("_next") > n).select("_pool", "_player", "_rating", "_next")
+            if carried is not None:
+                held = held.unionByName(carried.where(F.col("_next") > n))
+            carried = store(held, "elo-carried")
+    written = spark.read.schema(_OUT).parquet(path)
+    final = written.where((F.col("_kind") == 1) & (F.col("_next") == _LAST))
+    return written.where("_kind = 0"), final.select("_pool", "_player", "_rating")
+
+
+def _dealer(parts: int, size: int):
+    """Parts and waves of one chunk, by value as ``_fold``."""
+    columns = [c.split()[0] for c in _GAMES.split(", ")]
 
+    def deal(key: tuple, games: pd.DataFrame) -> pd.DataFrame:
+        games = games.sort_values("_order")
+        codes, players = pd.factorize(pd.concat([games["_home"], games["_away"]], ignore_index=True))
+        home, away = codes[: len(games)].tolist(), codes[len(games) :].tolist()
+        root, busy, waves = list(range(len(players))), [0] * len(players), []
 
-def _fold(k: float):
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for h, a in zip(home, away):
+            busy[h] = busy[a] = max(busy[h], busy[a]) + 1
+            waves.append(busy[h])
+            root[find(h)] = find(a)
+        groups = pd.Series([find(h) for h in home])
+        sizes = groups.value_counts().sort_index().sort_values(ascending=False, kind="stable")
+        heap = [(0, i) for i in range(max(1, min(parts, -(-len(games) // size))))]
+        part_of = {}
+        for group, n in sizes.items():  # the largest group goes to the emptiest part
+            held, part = heapq.heappop(heap)
+            part_of[group] = part
+            heapq.heappush(heap, (held + n, part))
+        return games.assign(_part=groups.map(part_of).to_numpy("int32"), _wave=np.array(waves, "int32"))[columns]
+
+    return deal
+
+
+def _fold(k: float, wide: int):
     """A fold that travels to the workers by value, so they need no copy of this package."""
-    mark = _PLAYED
+
+    def by_game(home: np.ndarray, away: np.ndarray, score: np.ndarray, ratings: np.ndarray) -> np.ndarray:
+        held, before = ratings.tolist(), []
+        for h, a, won in zip(home.tolist(), away.tolist(), score.tolist()):
+            x, y = held[h], held[a]
+            before.append((x, y))
+            expect = 1.0 / (1.0 + 10.0 ** ((y - x) / 400.0))
+            held[h] += k * (won - expect)
+            held[a] += k * ((1.0 - won) - (1.0 - expect))
+        ratings[:] = held
+        return np.array(before)
+
+    def by_wave(home: np.ndarray, away: np.ndarray, score: np.ndarray, ratings: np.ndarray, wave: np.ndarray) -> np.ndarray:
+        before = np.empty((len(home), 2))
+        order = np.argsort(wave, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(wave[order])) + 1):
+            h, a, won = home[rows], away[rows], score[rows]
+            x, y = ratings[h], ratings[a]
+            before[rows, 0], before[rows, 1] = x, y
+            expect = 1.0 / (1.0 + 10.0 ** ((y - x) / 400.0))
+            ratings[h] += k * (won - expect)  # no player twice in a wave
+            ratings[a] += k * ((1.0 - won) - (1.0 - expect))
+        return before
 
     def fold(key: tuple, played: pd.DataFrame, begins: pd.DataFrame) -> pd.DataFrame:
-        """The games of one chunk with the ratings before each, then the ratings at its end."""
-        ratings = dict(zip(begins["_player"], begins["_rating"]))
+        """The games of one part with the ratings before each, then the ratings at its end."""
         games = played.sort_values("_order")
-        before = []
-        for home, away, score in zip(*(games[c].tolist() for c in ("_home", "_away", "_score"))):
-            h, a = ratings[home], ratings[away]
-            before.append((h, a))
-            expect = 1.0 / (1.0 + 10.0 ** ((a - h) / 400.0))
-            ratings[home] += k * (score - expect)
-            ratings[away] += k * ((1.0 - score) - (1.0 - expect))
-        rated = pd.DataFrame(before, columns=["home_elo", "away_elo"])
-        rated.insert(0, "_order", games["_order"].to_numpy())
-        rated["_next"] = mark
-        ends = begins[["_player", "_next"]].assign(_pool=key[0], _rating=[ratings[p] for p in begins["_player"]])
+        seat = pd.Index(begins["_player"])
+        home, away = seat.get_indexer(games["_home"]), seat.get_indexer(games["_away"])
+        ratings, wave = begins["_rating"].to_numpy(float).copy(), games["_wave"].to_numpy()
+        score = games["_score"].to_numpy(float)
+        if len(games) >= wide * len(np.unique(wave)):
+            before = by_wave(home, away, score, ratings, wave)
+        else:
+            before = by_game(home, away, score, ratings)
+        rated = pd.DataFrame({"_order": games["_order"].to_numpy(), "home_elo": before[:, 0], "away_elo": before[:, 1]})
+        rated["_kind"] = 0
+        ends = begins[["_player", "_next"]].assign(_pool=key[0], _rating=ratings, _kind=1)
         both = pd.concat([rated, ends], ignore_index=True)
-        both["_order"] = both["_order"].astype("Int64")
-        return both[["_order", "home_elo", "away_elo", "_pool", "_player", "_rating", "_next"]]
+        both["_order"], both["_next"] = both["_order"].astype("Int64"), both["_next"].astype("Int64")
+        return both[["_order", "home_elo", "away_elo", "_pool", "_player", "_rating", "_next", "_kind"]]
 
     return fold

@@ -88,6 +88,27 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark, sf_dir, "matches", build)
 
 
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as games between customers and parts: one pool of very many players with few games each."""
+
+    def build() -> DataFrame:
+        t = lambda name: table(spark, sf_dir, name)
+        fthg, ftag = F.col("l_linenumber") % 5, F.floor("l_quantity").cast("int") % 4
+        played = (
+            t("lineitem")
+            .join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(
+                *MATCH_ORDER,
+                F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("home"),
+                F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("away"),
+                F.when(fthg > ftag, "H").when(fthg < ftag, "A").otherwise("D").alias("ftr"),
+            )
+        )
+        return assign_sequence(played, MATCH_ORDER, "trade_id").select("trade_id", "home", "away", "ftr")
+
+    return prepared(spark, sf_dir, "trades", build)
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match request per order; some name an unknown team, some a pair that never met."""
     t = lambda name: table(spark, sf_dir, name)

@@ -119,6 +119,31 @@ rated AS (
 ELO_QUERY = f"""WITH RECURSIVE {MATCHES}, {ELO}
 SELECT match_id, round(home_elo, 4) AS home_elo, round(away_elo, 4) AS away_elo FROM rated WHERE no > 0"""
 
+def _waves(games: str, key: str) -> str:
+    """Ratings of one pool: each round plays every game that is the next one of both its sides."""
+    return f"""turns AS (SELECT {key}, player, row_number() OVER (PARTITION BY player ORDER BY {key}) AS turn
+  FROM (SELECT {key}, home AS player FROM {games} UNION ALL SELECT {key}, away FROM {games})),
+due AS MATERIALIZED (SELECT t.*, h.turn AS h_turn, a.turn AS a_turn,
+  CASE ftr WHEN 'H' THEN 1.0::DOUBLE WHEN 'A' THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS won FROM {games} t
+  JOIN turns h ON h.{key} = t.{key} AND h.player = home JOIN turns a ON a.{key} = t.{key} AND a.player = away),
+state(kind, id, x, y) USING KEY (kind, id) AS (
+  SELECT 'player', player, 1::DOUBLE, 1500::DOUBLE FROM (SELECT DISTINCT player FROM turns)
+  UNION
+  SELECT kind, id, x, y FROM (
+    SELECT unnest([{{'kind': 'player', 'id': home, 'x': h_turn + 1.0, 'y': h + 20 * (won - e)}},
+                   {{'kind': 'player', 'id': away, 'x': a_turn + 1.0, 'y': a + 20 * ((1 - won) - (1 - e))}},
+                   {{'kind': 'game', 'id': {key}::VARCHAR, 'x': h, 'y': a}}], recursive := true)
+    FROM (SELECT g.*, p.y AS h, q.y AS a, 1 / (1 + pow(10::DOUBLE, (q.y - p.y) / 400)) AS e
+          FROM due g JOIN recurring.state p ON p.kind = 'player' AND p.id = g.home AND p.x = g.h_turn
+                     JOIN recurring.state q ON q.kind = 'player' AND q.id = g.away AND q.x = g.a_turn)))
+SELECT id::BIGINT AS {key}, round(x, 4) AS home_elo, round(y, 4) AS away_elo FROM state WHERE kind = 'game'"""
+
+
+TRADES = f"""trades AS MATERIALIZED (
+SELECT CAST(row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS trade_id,
+  'C' || o_custkey AS home, 'P' || l_partkey AS away, {_result(_FTHG, _FTAG)} AS ftr
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
 TEAMS = "teams AS (SELECT home AS team FROM matches UNION SELECT away FROM matches)"
 
 
@@ -232,6 +257,7 @@ ORACLE = {
     "elo": ELO_QUERY,
     "elo_chunked": ELO_QUERY,
     "stream_elo": ELO_QUERY,
+    "elo_waves": f"WITH RECURSIVE {TRADES}, {_waves('trades', 'trade_id')}",
     "elo_expectation": f"""WITH RECURSIVE {MATCHES}, {ELO}
         SELECT match_id, round(1 / (1 + pow(10::DOUBLE, (away_elo - home_elo) / 400)), 6) AS expected FROM rated WHERE no > 0""",
     "latest_or_mean": f"""WITH {MATCHES}, {REQUESTS}, feats AS MATERIALIZED (SELECT match_id, home, away,

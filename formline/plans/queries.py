@@ -278,6 +278,12 @@ def elo_single_pool(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(elo_ratings(fx.matches(spark, d), "match_id", *PAIR, "ftr"), ["home_elo", "away_elo"], 4)
 
 
+def elo_waves(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings of one pool of very many players, played in waves of games that share no player."""
+    rated = elo_ratings(fx.trades(spark, d), "trade_id", *PAIR, "ftr", chunk=CHUNK_ROWS)
+    return _rounded(rated, ["home_elo", "away_elo"], 4)
+
+
 def latest_or_mean_query(spark: SparkSession, d: str) -> DataFrame:
     games = fx.matches(spark, d)
     roles = {
@@ -652,6 +658,7 @@ QUERIES = {
     "elo_chunked": elo_chunked,
     "elo_expectation": elo_expectation,
     "elo_single_pool": elo_single_pool,
+    "elo_waves": elo_waves,
     "latest_or_mean": latest_or_mean_query,
     "stall_stop": stall_stop_query,
     "request_split": request_split,

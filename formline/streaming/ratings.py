@@ -1,18 +1,63 @@
-"""Ratings of a stream of games, continued from micro-batch to micro-batch.
+"""Ratings of a stream of games, kept as keyed state.
 
-Each batch is rated by the same chunked fold as a table, starting from the
-ratings the batch before it left behind. Both outputs are written under the
-batch's number, so a batch that is run again replaces its own files only.
-Games must arrive in order; within a batch any order will do.
+Every pool is a key of the state store, and its ratings are a map from player to rating, held in RocksDB. A
+batch reads and writes the entries of the players in it and no others; the rated games are appended by the
+stream's own file sink, so a batch that is run again after a failure is written once. Nothing is copied from
+batch to batch.
+
+Games must arrive in order; within a batch any order will do. The games of one pool in one batch are rated by one
+task, so a batch's size (files or records per trigger of the source) bounds what a task holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from formline.operators.ratings import BASE, K, home_score
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "ratings"
+
+
+def _rater(base: float, k: float) -> StatefulProcessor:
+    """The processor as a value, so that workers need no copy of this package."""
+    name = _STATE
+
+    class Rater(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.ratings = handle.getMapState(name, "player string", "rating double")
 
-from formline.operators.ratings import BASE, CHUNK, K, elo_with_final
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            games = pd.concat(list(rows)).sort_values("seq")
+            sides = games["home"].notna() & games["away"].notna() & (games["home"] != games["away"])
+            held = {}
+            for player in pd.unique(games.loc[sides, ["home", "away"]].to_numpy().ravel()):
+                held[player] = self.ratings.getValue((player,))[0] if self.ratings.containsKey((player,)) else base
+            before = []
+            for home, away, score, known in zip(games["home"], games["away"], games["score"], sides):
+                if not known:
+                    before.append((None, None))
+                    continue
+                h, a = held[home], held[away]
+                before.append((h, a))
+                expect = 1.0 / (1.0 + 10.0 ** ((a - h) / 400.0))
+                held[home] += k * (score - expect)
+                held[away] += k * ((1.0 - score) - (1.0 - expect))
+            for player, rating in held.items():
+                self.ratings.updateValue((player,), (float(rating),))
+            out = pd.DataFrame(before, columns=["home_elo", "away_elo"], dtype="float64")
+            out.insert(0, "seq", games["seq"].to_numpy())
+            yield out
 
-_STATE = "_pool string, _player string, _rating double"
+        def close(self) -> None:
+            pass
+
+    return Rater()
 
 
 def rate_stream(
@@ -26,50 +71,45 @@ def rate_stream(
     pool: str | None = None,
     base: float = BASE,
     k: float = K,
-    chunk: int = CHUNK,
 ) -> DataFrame:
-    """Rate all games that are there; returns ``order, home_elo, away_elo`` of every batch."""
-    spark = games.sparkSession
+    """Rate all games that are there; returns ``order, home_elo, away_elo`` of every batch so far.
 
-    def state_path(batch_id: int) -> str:
-        return f"{out_path}/state/batch={batch_id}"
-
-    def rate(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        before = session.read.schema(_STATE).parquet(state_path(batch_id - 1)) if batch_id else None
-        batch.persist()
-        try:
-            rated, final = elo_with_final(
-                batch, order, home, away, outcome, pool, base, k, chunk, starts=before
-            )
-            rated.write.mode("overwrite").parquet(f"{out_path}/games/batch={batch_id}")
-            if before is not None:
-                kept = before.join(final, ["_pool", "_player"], "left_anti")
-                final = kept.unionByName(final)
-            final.write.mode("overwrite").parquet(state_path(batch_id))
-        finally:
-            batch.unpersist()
-
-    query = (
-        games.writeStream.foreachBatch(rate)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    Games without a pool value form one pool. A game without one of its sides, or of a player against itself,
+    is rated null.
+    """
+    spark = games.sparkSession
+    text = lambda c: F.col(c).cast("string")
+    # The rows reach the processor as named tuples, in which a name must not begin with an underscore.
+    rows = games.select(
+        F.col(order).cast("long").alias("seq"),
+        (text(pool) if pool else F.lit("")).alias("pool"),
+        text(home).alias("home"),
+        text(away).alias("away"),
+        home_score(outcome).alias("score"),
     )
-    query.awaitTermination()
-    rated = f"{order} long, home_elo double, away_elo double"
-    return spark.read.schema(rated).parquet(*_batches(spark, f"{out_path}/games"))
-
-
-def _batches(spark, folder: str) -> list[str]:
-    """The batch folders, so that the batch number does not become a column."""
-    files = spark.read.schema("x int").option("recursiveFileLookup", True).parquet(folder).inputFiles()
-    return sorted({f.rsplit("/", 1)[0] for f in files})
+    rated = rows.groupBy("pool").transformWithStateInPandas(
+        _rater(base, k), "seq long, home_elo double, away_elo double", "Append", "None"
+    )
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        query = (
+            rated.withColumnRenamed("seq", order)
+            .writeStream.format("parquet")
+            .option("path", f"{out_path}/games")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set(_PROVIDER, before)
+    return spark.read.schema(f"{order} long, home_elo double, away_elo double").parquet(f"{out_path}/games")
 
 
-def final_ratings(spark, out_path: str) -> DataFrame:
-    """The ratings after the newest batch."""
-    newest = max(_batches(spark, f"{out_path}/state"), key=lambda p: int(p.rsplit("=", 1)[1]))
-    return spark.read.schema(_STATE).parquet(newest).select(
-        F.col("_pool").alias("pool"), F.col("_player").alias("player"), F.col("_rating").alias("rating")
+def final_ratings(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The ratings after the newest batch, read from the state store."""
+    state = spark.read.format("statestore").option("stateVarName", _STATE).load(checkpoint)
+    return state.select(
+        F.col("key.pool").alias("pool"), F.col("user_map_key.player").alias("player"), F.col("user_map_value.rating").alias("rating")
     )

@@ -1,5 +1,9 @@
 """Chunked ratings against a plain loop, and the stream against the table."""
 
+from pathlib import Path
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,7 +71,7 @@ def test_gaps_in_the_order_add_no_passes_and_each_game_is_played_once(spark, mon
     close(collected(elo_ratings(df, "ord", "home", "away", "ftr", chunk=20)), loop(pdf)[0])
     written = spark.read.parquet(paths[-1])
     assert written.agg(F.max("pass")).first()[0] == 2
-    assert written.where("_next = -1").count() == 60
+    assert written.where("_kind = 0").count() == 60
 
 
 def test_games_without_a_pool_are_a_pool(spark):
@@ -98,10 +102,10 @@ def test_stream_continues_ratings_over_batches(spark):
         part = pdf[(pdf.ord > low) & (pdf.ord <= low + 80)]
         spark.createDataFrame(part, schema).write.mode("append").parquet(arriving)
         stream = spark.readStream.schema(schema).parquet(arriving)
-        rated = rate_stream(stream, out, offsets, "ord", "home", "away", "ftr", chunk=33)
+        rated = rate_stream(stream, out, offsets, "ord", "home", "away", "ftr")
     want, ratings = loop(pdf)
     close(collected(rated), want)
-    final = {r.player: r.rating for r in final_ratings(spark, out).collect()}
+    final = {r.player: r.rating for r in final_ratings(spark, offsets).collect()}
     assert final == pytest.approx({t: r for (_, t), r in ratings.items()})
 
 
@@ -109,3 +113,79 @@ def test_a_game_without_a_side_is_kept_unrated(spark):
     df = spark.createDataFrame([(1, "a", "b", "H"), (2, "a", None, "H"), (3, "a", "b", "A")], "ord long, home string, away string, ftr string")
     got = {r.ord: (r.home_elo, r.away_elo) for r in elo_ratings(df, "ord", "home", "away", "ftr").collect()}
     assert got[2] == (None, None) and got[1] == (1500.0, 1500.0) and got[3] == (1510.0, 1490.0)
+
+
+def separate(teams=40, games_of_each=30):
+    """A pool of pairs of teams that only ever meet each other, in mixed order."""
+    random = np.random.default_rng(1)
+    pairs = [(f"a{i}", f"b{i}") for i in range(teams)] * games_of_each
+    random.shuffle(pairs)
+    rows = [(i, h, a, str(random.choice(list("HDA")))) for i, (h, a) in enumerate(pairs, 1)]
+    return pd.DataFrame(rows, columns=["ord", "home", "away", "ftr"])
+
+
+def test_unconnected_teams_of_one_pool_are_played_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(ratings, "PART", 100)
+    paths = []
+    monkeypatch.setattr(ratings, "scratch_path", lambda *a: paths.append(scratch_path(*a)) or paths[-1])
+    pdf = separate()
+    close(collected(elo_ratings(spark.createDataFrame(pdf), "ord", "home", "away", "ftr", chunk=500)), loop(pdf)[0])
+    dealt = spark.read.parquet(next(p for p in paths if "elo-games" in p))
+    parts = dealt.groupBy("_chunk", "_part").agg(F.count("*").alias("n"), F.collect_set("_home").alias("teams")).collect()
+    assert {r._chunk for r in parts} == {0, 1, 2}
+    for chunk in (0, 1, 2):
+        own = [r for r in parts if r._chunk == chunk]
+        assert len(own) == (5 if chunk < 2 else 2) and max(r.n for r in own) < 2 * min(r.n for r in own)
+        assert sum(len(r.teams) for r in own) == len({t for r in own for t in r.teams})
+
+
+@pytest.mark.parametrize("wide", [1, 10**9])
+def test_waves_equal_the_loop(spark, monkeypatch, wide):
+    monkeypatch.setattr(ratings, "WIDE", wide)
+    pdf = games(300)
+    close(collected(elo_ratings(spark.createDataFrame(pdf), "ord", "home", "away", "ftr", chunk=70)), loop(pdf)[0])
+
+
+def test_folders_grow_with_the_passes_only(spark, monkeypatch):
+    counts = {}
+    for chunk in (60, 15):
+        paths = []
+        monkeypatch.setattr(ratings, "scratch_path", lambda *a: paths.append(scratch_path(*a)) or paths[-1])
+        elo_ratings(spark.createDataFrame(games(300)), "ord", "home", "away", "ftr", chunk=chunk).count()
+        folder = Path(next(p for p in paths if "elo-passes" in p))
+        counts[chunk] = len([p for p in folder.rglob("*") if p.is_dir()])
+    assert counts == {60: 5 * 3, 15: 20 * 3}
+
+
+def test_a_team_against_itself_is_not_rated(spark):
+    df = spark.createDataFrame([(1, "a", "b", "H"), (2, "a", "a", "H"), (3, "a", "b", "A")], "ord long, home string, away string, ftr string")
+    got = {r.ord: (r.home_elo, r.away_elo) for r in elo_ratings(df, "ord", "home", "away", "ftr").collect()}
+    assert got[2] == (None, None) and got[3] == (1510.0, 1490.0)
+
+
+def test_stream_keeps_one_rating_per_player_of_a_null_pool(spark):
+    pdf = games(90)
+    pdf["league"] = [None if i % 3 else "x" for i in pdf["ord"]]
+    schema = "ord long, home string, away string, goals long, ftr string, league string"
+    arriving, out, offsets = (scratch_path(spark, n) for n in ("in", "out", "offsets"))
+    for low in (0, 30, 60):
+        part = pdf[(pdf.ord > low) & (pdf.ord <= low + 30)]
+        spark.createDataFrame(part, schema).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(schema).parquet(arriving)
+        rated = rate_stream(stream, out, offsets, "ord", "home", "away", "ftr", "league")
+    pdf["league"] = pdf["league"].astype(object).where(pdf["league"].notna(), None)
+    want, held = loop(pdf, "league")
+    close(collected(rated), want)
+    final = [(r.pool, r.player, r.rating) for r in final_ratings(spark, offsets).collect()]
+    assert len(final) == len({(p, t) for p, t, _ in final}) == len(held)
+    assert {(p, t): r for p, t, r in final} == pytest.approx(held)
+
+
+def test_a_stream_keeps_games_that_cannot_be_rated(spark):
+    rows = [(1, "a", "b", "H"), (2, "a", None, "H"), (3, "c", "c", "A")]
+    schema = "ord long, home string, away string, ftr string"
+    arriving, out, offsets = (scratch_path(spark, n) for n in ("in", "out", "offsets"))
+    spark.createDataFrame(rows, schema).write.parquet(arriving)
+    rated = rate_stream(spark.readStream.schema(schema).parquet(arriving), out, offsets, "ord", "home", "away", "ftr")
+    assert collected(rated) == {1: (1500.0, 1500.0), 2: (None, None), 3: (None, None)}
+    assert {r.player for r in final_ratings(spark, offsets).collect()} == {"a", "b"}
