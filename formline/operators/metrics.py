@@ -83,16 +83,19 @@ def batch_loss(
 
 
 def accuracy(df: DataFrame, y: str, y_hat: str) -> DataFrame:
-    return df.agg(F.avg((F.col(y) == F.col(y_hat)).cast("double")).alias("accuracy"))
+    """The share of right predictions among rows with a true class; a missing prediction is wrong."""
+    right = F.coalesce(F.col(y) == F.col(y_hat), F.lit(False))
+    return df.where(F.col(y).isNotNull()).agg(F.avg(right.cast("double")).alias("accuracy"))
 
 
 def class_report(df: DataFrame, y: str, y_hat: str, names: Mapping[object, str] | None = None) -> DataFrame:
     """Precision, recall, f1 and support per class, then accuracy, macro and weighted averages.
 
     A class list is the union of true and predicted classes; a zero denominator
-    gives 0. The table is reduced to its confusion counts first.
+    gives 0. Rows without a true class are left out, a missing prediction is wrong and no class of its own (as in
+    ``accuracy``). The table is reduced to its confusion counts first.
     """
-    pairs = df.groupBy(F.col(y).alias("y"), F.col(y_hat).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = df.where(F.col(y).isNotNull()).groupBy(F.col(y).alias("y"), F.col(y_hat).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     one = lambda cls, hit, seen, said: F.struct(
         F.col(cls).alias("cls"), hit.alias("hit"), seen.alias("seen"), said.alias("said")
     )
@@ -100,6 +103,7 @@ def class_report(df: DataFrame, y: str, y_hat: str, names: Mapping[object, str]
     right = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(none)
     classes = (
         pairs.select(F.inline(F.array(one("y", right, F.col("n"), none), one("p", none, none, F.col("n")))))
+        .where(F.col("cls").isNotNull())
         .groupBy("cls")
         .agg(F.sum("hit").alias("hit"), F.sum("seen").alias("support"), F.sum("said").alias("said"))
     )

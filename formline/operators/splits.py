@@ -15,8 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _BUCKET_DIGITS = 4
 
 
+_NO_KEY = "g"  # behind every hexadecimal digest
+
+
 def digest(key: str, seed: int = 42) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    """The row's place in hashed order; rows without a key come last, so they do not move the others."""
+    return F.coalesce(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), F.lit(_NO_KEY))
 
 
 def _with_bucket(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -58,7 +62,8 @@ def hash_split(
 ) -> DataFrame:
     """Label rows by rank: each cut gives its label up to a rank computed from the row count.
 
-    Sizes are exact for a unique ``key``; rows that share a key share a label.
+    Sizes are exact for a unique ``key``; rows that share a key share a label. Rows without a key count and rank
+    last, so sizes are exact with them too unless a cut falls among them, where they all get its label.
     """
     keyed = _with_bucket(df.select(key), key, seed)
     wanted = F.array(

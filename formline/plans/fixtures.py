@@ -14,16 +14,23 @@ STATS = ("fthg", "ftag", "hs", "aws", "hst", "ast", "hc", "ac", "hy", "ay", "hr"
 CLASSES = {0: "apple", 1: "bread", 2: "rice"}
 MATCH_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of change of the tables in a folder, which is asked through Spark's file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def prepared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A table built once per application and input folder, then read from the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A table built once per application and state of the input folder, then read from the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), name)
     if key in _stored:
         try:
             return spark.read.parquet(_stored[key])
@@ -36,7 +43,7 @@ def prepared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def unordered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as games between the customer's and the supplier's nation."""
+    """Line items as games between the customer's and the supplier's nation; a nation does not play itself."""
     t = lambda name: table(spark, sf_dir, name)
     home = t("nation").select(F.col("n_nationkey").alias("hk"), F.col("n_name").alias("home"))
     away = t("nation").select(F.col("n_nationkey").alias("ak"), F.col("n_name").alias("away"))
@@ -150,6 +157,19 @@ def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games as season files hold them: some have no result, some lack a statistic, some a side."""
+    games, no = matches(spark, sf_dir), F.col("match_id")
+    return games.withColumns(
+        {
+            "ftr": F.when(no % 97 != 0, F.col("ftr")),
+            "hst": F.when(no % 89 != 0, F.col("hst").cast("double")).otherwise(float("nan")),
+            "away": F.when(no % 83 != 0, F.col("away")),
+            "referee": F.lit(None).cast("string"),
+        }
+    )
+
+
 def _targets(customers: DataFrame) -> DataFrame:
     """A sparse target per key; three customers have no key (null)."""
     return customers.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from formline.operators.encode import FIRST_TOKEN_ID, MAX_LENGTH
+from formline.operators.epochs import CANDIDATES
 from formline.plans.fixtures import CLASSES, STATS
 from formline.plans.match_model import FEATURES
 from formline.sources.html import AGAINST_TABLE, FOR_TABLE, SEASON_URL
@@ -367,3 +368,60 @@ ORACLE = {
     "polygon_area": f"""SELECT class_id, count(*) AS n_detections, round(CAST(sum(CASE WHEN polygon IS NOT NULL
         THEN abs((x2::DOUBLE - x1) * (y2::DOUBLE - y1)) END) AS DOUBLE), 2) AS area FROM ({SHAPED}) GROUP BY class_id""",
 }
+
+_TEST = "rank <= ceil(0.2::DOUBLE * total)"
+_PER_ORDER = f"""sized AS MATERIALIZED (SELECT o_orderkey AS id, n::DOUBLE AS lines, {', '.join(f"CASE WHEN o_orderkey % 4 <> {j} THEN o_totalprice * {j + 1} END AS p{j}" for j in range(3))},
+  NULL::DOUBLE AS p3 FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey),
+fits AS MATERIALIZED ({' UNION ALL '.join(f"SELECT 'p{j}' AS target, regr_slope(p{j}, lines) AS slope, regr_intercept(p{j}, lines) AS intercept, count(p{j}) FILTER (lines IS NOT NULL) AS n FROM sized" for j in range(4))})"""
+
+
+def _feistel(epochs: int, seed: int = 42) -> str:
+    """Places by the same rounds; numbers beyond the last are sent round again until none is left."""
+    h = lambda k, v: f"('0x' || substr(md5('{seed}:' || epoch || ':{k}:' || {v}), 1, 8))::BIGINT"
+    rounds = f"""SELECT id, epoch, n, a, b, l2 * b + (r1 + {h(4, 'l2')}) % b AS x FROM (
+      SELECT *, (l1 + {h(3, 'r1')}) % a AS l2 FROM (SELECT *, (r0 + {h(2, 'l1')}) % b AS r1 FROM (
+        SELECT *, (l0 + {h(1, 'r0')}) % a AS l1 FROM (SELECT id, epoch, n, a, b, x // b AS l0, x % b AS r0 FROM {{}}))))"""
+    return f"""numbered AS (SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS x FROM orders),
+  sizes AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS root FROM orders), range(0, {CANDIDATES}) g(k),
+    LATERAL (SELECT root + k AS a) ORDER BY a * ((n + a - 1) // a), a LIMIT 1),
+  begun AS (SELECT id, e::INT AS epoch, n, a, b, x FROM numbered, sizes, range(1, {epochs + 1}) q(e)),
+  walk AS (({rounds.format('begun')}) UNION ALL ({rounds.format("(SELECT * FROM walk WHERE x >= n)")})),
+  placed AS MATERIALIZED (SELECT id, epoch, x::BIGINT AS position, (x // 32)::BIGINT AS batch_id FROM walk WHERE x < n)"""
+
+
+ORACLE |= {
+    "outcome_check": f"""WITH {MATCHES}, ranked AS ({_ranked('matches', 'match_id')})
+        SELECT CASE ftr WHEN 'H' THEN 0 WHEN 'D' THEN 1 ELSE 2 END::BIGINT AS result, count(*) AS support, true AS sound, true AS loss_ok
+        FROM ranked WHERE {_TEST} GROUP BY ALL""",
+    "goals_check": f"WITH {MATCHES}, ranked AS ({_ranked('matches', 'match_id')}) SELECT match_id, fthg, ftag, true AS sound FROM ranked WHERE {_TEST}",
+    "answers_check": f"""SELECT req_id, home, away, reason, scoreline, games, home_wins, draws, away_wins, true AS sound FROM ({ORACLE['request_sheet']})""",
+    "request_inputs": f"""WITH {MATCHES}, {REQUESTS}, {TEAM_IDS}, rolled AS (SELECT match_id, home, away, {_mean('fthg', 'home', 12)}, {_mean('ftag', 'away', 12)},
+        {_form(_PTS, 'home', 'home_form')}, {_form(_PTS, 'away', 'away_form')} FROM matches),
+        h AS (SELECT home AS team, arg_max(home_avg_fthg, match_id) AS home_avg_fthg, arg_max(home_form, match_id) AS home_form FROM rolled GROUP BY home),
+        a AS (SELECT away AS team, arg_max(away_avg_ftag, match_id) AS away_avg_ftag, arg_max(away_form, match_id) AS away_form FROM rolled GROUP BY away)
+        SELECT req_id, home, away, {_index('home')}, {_index('away')}, round(coalesce(home_avg_fthg, (SELECT avg(home_avg_fthg) FROM rolled)), 4) AS home_avg_fthg,
+          round(coalesce(away_avg_ftag, (SELECT avg(away_avg_ftag) FROM rolled)), 4) AS away_avg_ftag,
+          round(coalesce(home_form::DOUBLE, (SELECT avg(home_form) FROM rolled)), 4) AS home_form, round(coalesce(away_form::DOUBLE, (SELECT avg(away_form) FROM rolled)), 4) AS away_form
+        FROM requests LEFT JOIN h ON h.team = home LEFT JOIN a ON a.team = away
+        WHERE home IN (SELECT team FROM teams) AND away IN (SELECT team FROM teams)""",
+    "raw_match_features": f"""WITH RECURSIVE {MATCHES.replace('matches AS', 'every_match AS', 1)},
+        matches AS MATERIALIZED (SELECT * FROM every_match WHERE match_id % 97 <> 0 AND match_id % 89 <> 0 AND match_id % 83 <> 0), {ELO}
+        SELECT m.match_id, home, away, ftr, {_mean('hst', 'home', 4)}, {_mean('ast', 'away', 4)}, {_mean('fthg', 'home', 4)},
+          round(home_elo, 4) AS home_elo, round(away_elo, 4) AS away_elo FROM matches m JOIN rated r ON r.match_id = m.match_id AND r.no > 0""",
+    "text_check": f"""WITH {NEWS}, ranked AS ({_ranked('news', 'doc_id')})
+        SELECT split, label::BIGINT AS label, count(*) AS support, true AS learnt FROM (SELECT {_SPLIT_3}, label FROM ranked) GROUP BY ALL""",
+    "verdict_check": "SELECT doc_id, true AS sound FROM documents",
+    "outside_scores": """SELECT vec_id, CASE WHEN label IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL)) = 0 THEN
+        round(list_sum(list_transform(range(0, 64), lambda i: embedding[i + 1]::DOUBLE * ((i * 37) % 11 - 5) / 10.0::DOUBLE)) + 0.25::DOUBLE * label - 1, 5) END AS score FROM embeddings""",
+    "target_fits": f"WITH {_PER_ORDER} SELECT target, round(slope, 3) AS slope, round(intercept, 3) AS intercept, n FROM fits",
+    "target_predictions": f"""WITH {_PER_ORDER} SELECT id, {', '.join(f"round((SELECT slope FROM fits WHERE target = 'p{j}') * lines + (SELECT intercept FROM fits WHERE target = 'p{j}'), 2) AS pred_p{j}" for j in range(4))} FROM sized""",
+    "epoch_batches": f"WITH RECURSIVE {_feistel(3)} SELECT id, epoch, position, batch_id FROM placed",
+    "epoch_batch_loss": f"""WITH RECURSIVE {_feistel(3)}, {SCORED}, {WEIGHTS},
+        parts AS (SELECT p.epoch, p.batch_id, property, avg(abs(y_pred - y_true)) AS mae, count(*) AS n FROM scored s JOIN placed p ON p.id = s.id GROUP BY ALL)
+        SELECT epoch, batch_id, round(coalesce(sum(weight * mae), 0) / max(n), 8) AS loss, max(n) AS n_rows FROM parts JOIN weighted USING (property) GROUP BY epoch, batch_id""",
+    "validation_loss": f"""WITH {SCORED.replace('scored AS', 'every_score AS', 1)}, ranked AS ({_ranked('(SELECT DISTINCT id FROM every_score)', 'id')}),
+        parts_of AS (SELECT id, {_SPLIT_3} FROM ranked), scored AS (SELECT s.* FROM every_score s JOIN parts_of USING (id) WHERE split = 'train'), {WEIGHTS},
+        held AS (SELECT s.* FROM every_score s JOIN parts_of USING (id) WHERE split = 'validation'),
+        parts AS (SELECT batch_id, property, avg(abs(y_pred - y_true)) AS mae, count(*) AS n FROM held GROUP BY ALL)
+        SELECT batch_id, round(coalesce(sum(weight * mae), 0) / max(n), 8) AS loss, max(n) AS n_rows FROM parts JOIN weighted USING (property) GROUP BY batch_id""",
+}

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from formline.functions.outcomes import CLASS_NAMES, away_points, away_score, mapped, points, result_class
 from formline.operators import detections as det
-from formline.operators import encode, graphs, merges, metrics, scorelines, shaping, splits
+from formline.operators import encode, epochs, graphs, merges, metrics, scorelines, shaping, splits
 from formline.operators.ordered import Lagged, lagged_rolling, latest_or_mean, mean_fill, median_fill
 from formline.operators.ratings import elo_ratings, expected_score, home_score
+from formline.operators.sequence import assign_sequence
 from formline.operators.stall import stall_stop
 from formline.plans import fixtures as fx
-from formline.plans import match_model, multitarget, text_model
+from formline.plans import match_model, multitarget, outside_model, text_model
 from formline.session import scratch_path, store
 from formline.sources import files, html
 from formline.streaming.detections import shape_stream
@@ -559,52 +560,186 @@ def _split_features(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return ready.where("split = 'train'"), ready.where("split = 'test'")
 
 
+def _scored_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """The held-out games with the probabilities of the outcome model."""
+
+    def build() -> DataFrame:
+        train, test = _split_features(spark, d)
+        train = match_model.training_rows(train)
+        try:
+            return match_model.score_outcome(match_model.fit_outcome(train), test).select(
+                "match_id", "ftr_enc", "y_hat", "p_home", "p_draw", "p_away"
+            )
+        finally:
+            train.unpersist()
+
+    return fx.prepared(spark, d, "scored_outcomes", build)
+
+
 def match_model_query(spark: SparkSession, d: str) -> DataFrame:
     """Report of the outcome model on the held-out games."""
-    train, test = _split_features(spark, d)
-    train = match_model.training_rows(train)
-    scored = match_model.score_outcome(match_model.fit_outcome(train), test)
-    train.unpersist()
-    return metrics.class_report(scored, "ftr_enc", "y_hat", CLASS_NAMES)
+    return metrics.class_report(_scored_outcomes(spark, d), "ftr_enc", "y_hat", CLASS_NAMES)
+
+
+def outcome_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per class of the held-out games: how many, whether all probabilities are sound, and whether the model's log
+    loss comes within 2 % of guessing the class shares, or below."""
+    scored = _scored_outcomes(spark, d)
+    train, _ = _split_features(spark, d)
+    losses = match_model.log_loss(scored, train).withColumn("ok", F.col("log_loss") <= 1.02 * F.col("shares_loss"))
+    p = [F.col(c) for c in ("p_home", "p_draw", "p_away")]
+    sound = (F.abs(p[0] + p[1] + p[2] - 1) < 1e-9) & (F.least(*p) >= 0) & F.col("y_hat").isin(0, 1, 2)
+    return (
+        scored.groupBy(F.col("ftr_enc").cast("long").alias("result"))
+        .agg(F.count(F.lit(1)).alias("support"), F.every(sound).alias("sound"))
+        .withColumn("loss_ok", losses.select("ok").scalar())
+    )
+
+
+def _scored_goals(spark: SparkSession, d: str) -> DataFrame:
+    """The held-out games with both sides' goals and their predictions."""
+
+    def build() -> DataFrame:
+        train, test = _split_features(spark, d)
+        train = match_model.training_rows(train)
+        try:
+            scored = test
+            for target in SCORE:
+                scored = match_model.fit_goals(train, target).transform(scored)
+            return scored.select("match_id", *SCORE, *[f"pred_{t}" for t in SCORE])
+        finally:
+            train.unpersist()
+
+    return fx.prepared(spark, d, "scored_goals", build)
 
 
 def goal_models(spark: SparkSession, d: str) -> DataFrame:
     """Error of both goal models on the held-out games."""
-    train, test = _split_features(spark, d)
-    train = match_model.training_rows(train)
-    scored = test
-    for target in SCORE:
-        scored = match_model.fit_goals(train, target).transform(scored)
-    train.unpersist()
-    return scored.agg(
+    return _scored_goals(spark, d).agg(
         *[F.avg(F.abs(F.col(t) - F.col(f"pred_{t}"))).alias(f"mae_{t}") for t in SCORE], F.count("*").alias("n")
     )
 
 
+def goals_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per held-out game: its goals, and whether both predictions are numbers not far outside the goals seen."""
+    near = [F.col(f"pred_{t}").between(-5, 10) for t in SCORE]
+    return _scored_goals(spark, d).select("match_id", *SCORE, F.coalesce(near[0] & near[1], F.lit(False)).alias("sound"))
+
+
 def request_answers(spark: SparkSession, d: str) -> DataFrame:
-    history = _features(spark, d)
-    train, _ = _split_features(spark, d)
-    models = match_model.fit_models(train, match_model.team_index(history))
-    return match_model.answer_requests(fx.requests(spark, d), history, models)
+    def build() -> DataFrame:
+        history = _features(spark, d)
+        train, _ = _split_features(spark, d)
+        models = match_model.fit_models(train, match_model.team_index(history))
+        return match_model.answer_requests(fx.requests(spark, d), history, models)
+
+    return fx.prepared(spark, d, "request_answers", build)
+
+
+def answers_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per request: what its answer holds, and whether probabilities and goals are there exactly if it was not rejected."""
+    p = F.col("p_home") + F.col("p_draw") + F.col("p_away")
+    whole = (F.abs(p - 1) < 1e-9) & F.col("pred_fthg").isNotNull() & F.col("pred_ftag").isNotNull() & F.col("answer").isNotNull()
+    empty = p.isNull() & F.col("pred_fthg").isNull() & F.col("pred_ftag").isNull() & F.col("answer").isNull()
+    sound = F.when(F.col("reason").isNull(), whole).otherwise(empty)
+    columns = ["req_id", *PAIR, "reason", "scoreline", "games", "home_wins", "draws", "away_wins"]
+    return request_answers(spark, d).select(*columns, F.coalesce(sound, F.lit(False)).alias("sound"))
+
+
+def request_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """The model inputs of every valid request that come from ratings per season, team numbers and the newest games."""
+    history = fx.prepared(
+        spark, d, "season_features", lambda: match_model.match_features(fx.matches(spark, d), pool="season")
+    )
+    teams = match_model.team_index(history)
+    valid = scorelines.check_against(fx.requests(spark, d), teams, "label", *PAIR).where(F.col("reason").isNull())
+    found = match_model.request_features(valid.select("req_id", *PAIR), history, teams)
+    columns = ["home_enc", "away_enc", "home_avg_fthg", "away_avg_ftag", "home_form", "away_form"]
+    out = _long(found, "home_enc", "away_enc").select("req_id", *PAIR, *columns)
+    return _rounded(out, columns[2:], 4)
+
+
+def raw_match_features(spark: SparkSession, d: str) -> DataFrame:
+    """From raw games with gaps to complete model inputs."""
+    featured = match_model.raw_match_features(fx.raw_matches(spark, d), pool="season")
+    columns = ["home_avg_hst", "away_avg_ast", "home_avg_fthg", "home_elo", "away_elo"]
+    return _rounded(featured.select("match_id", *PAIR, "ftr", *columns), columns, 4)
 
 
 def _split_news(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_70_15_15(fx.news(spark, d), "doc_id")
 
 
+def _scored_news(spark: SparkSession, d: str) -> DataFrame:
+    """Every document, labelled or not, with its score, and its part if it has one."""
+
+    def build() -> DataFrame:
+        news = _split_news(spark, d)
+        model = text_model.fit_text_model(news.where("split = 'train'"))
+        docs = fx.table(spark, d, "documents").select("doc_id", "text")
+        scored = text_model.score_texts(model, docs).drop("text")
+        return scored.join(news.select("doc_id", "label", "split"), "doc_id", "left")
+
+    return fx.prepared(spark, d, "scored_news", build)
+
+
 def text_model_query(spark: SparkSession, d: str) -> DataFrame:
     """Report of the text model on the test part."""
-    news = _split_news(spark, d)
-    model = text_model.fit_text_model(news.where("split = 'train'"))
-    scored = text_model.score_texts(model, news.where("split = 'test'"))
-    return metrics.class_report(scored, "label", "y_hat")
+    return metrics.class_report(_scored_news(spark, d).where("split = 'test'"), "label", "y_hat")
+
+
+def text_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per part and class: how many texts, and whether the model is right more often than the larger class is large."""
+    scored = _scored_news(spark, d).where("split is not null")
+    counts = scored.groupBy("split", F.col("label").cast("long").alias("label")).agg(F.count(F.lit(1)).alias("support"))
+    right = scored.groupBy("split").agg(
+        (F.avg((F.col("label") == F.col("y_hat")).cast("double")) >= F.greatest(F.avg("label"), 1 - F.avg("label"))).alias("learnt")
+    )
+    return counts.join(right, "split")
 
 
 def text_predict(spark: SparkSession, d: str) -> DataFrame:
     """A verdict for every document, labelled or not."""
-    model = text_model.fit_text_model(_split_news(spark, d).where("split = 'train'"))
-    docs = fx.table(spark, d, "documents").select("doc_id", "text")
-    return text_model.score_texts(model, docs).select("doc_id", "p_fake", "verdict")
+    return _scored_news(spark, d).select("doc_id", "p_fake", "verdict")
+
+
+def verdict_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per document, labelled or not: whether its score and its verdict are there and fit each other."""
+    sound = F.col("p_fake").between(0, 1) & (F.col("verdict") == F.when(F.col("p_fake") > 0.5, "FAKE").otherwise("REAL"))
+    return _scored_news(spark, d).select("doc_id", F.coalesce(sound, F.lit(False)).alias("sound"))
+
+
+def outside_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors and labels scored in batches by a model from outside Spark."""
+    load = outside_model.linear_model([(i * 37 % 11 - 5) / 10 for i in range(64)], 0.25, -1.0)
+    vectors = fx.table(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    scored = outside_model.score_batches(vectors, load, ["embedding", "label"], shapes=[[64], None])
+    return scored.select("vec_id", _r("score", 5).alias("score"))
+
+
+TARGETS = ["p0", "p1", "p2", "p3"]
+
+
+def _order_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """The sparse targets of every order, and its number of line items as the input."""
+    lines = fx.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.count(F.lit(1)).alias("lines"))
+    return fx.scored_wide(spark, d).join(lines, "id", "left")
+
+
+def target_fits(spark: SparkSession, d: str) -> DataFrame:
+    """Slope, intercept and labelled rows of every target's least-squares line; a target without labels has nulls."""
+    models = multitarget.fit_targets(_order_sizes(spark, d), ["lines"], TARGETS, reg=0.0)
+    rows = [(t, m and m.weights[0], m and m.intercept, m.n if m else 0) for t, m in models.items()]
+    fits = spark.createDataFrame(rows, "target string, slope double, intercept double, n long")
+    return _rounded(fits, ["slope", "intercept"], 3)
+
+
+def target_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Every order's predictions from one fit of all targets."""
+    samples = store(_order_sizes(spark, d), "order-sizes")
+    models = multitarget.fit_targets(samples, ["lines"], TARGETS, reg=0.0)
+    wide = merges.attach_predictions(samples.select("id"), multitarget.predict_targets(samples, models, ["lines"], "id"), "id")
+    return _rounded(wide, [f"pred_{t}" for t in TARGETS], 2)
 
 
 def multitarget_model(spark: SparkSession, d: str) -> DataFrame:
@@ -612,18 +747,47 @@ def multitarget_model(spark: SparkSession, d: str) -> DataFrame:
     pooled = multitarget.graph_inputs(fx.graph_nodes(spark, d), fx.graph_edges(spark, d), ["f0"])
     samples = fx.scored_wide(spark, d).join(pooled.withColumnRenamed("graph_id", "id"), "id", "left")
     samples = store(splits.split_80_20(samples, "id"), "samples")
-    targets, inputs = ["p0", "p1", "p2", "p3"], ["f0", "degree", "n_nodes"]
-    models = multitarget.fit_targets(samples.where("split = 'train'"), inputs, targets)
+    inputs = ["f0", "degree", "n_nodes"]
+    models = multitarget.fit_targets(samples.where("split = 'train'"), inputs, TARGETS)
     held = samples.where("split = 'test'")
     wide = merges.attach_predictions(held, multitarget.predict_targets(held, models, inputs, "id"), "id")
     cells = [
         F.struct(F.lit(t).alias("property"), F.col(t).alias("y_true"), F.col(f"pred_{t}").alias("y_pred"))
-        for t in targets
+        for t in TARGETS
     ]
     long = wide.where(F.col("f0").isNotNull()).select("id", F.inline(F.array(*cells)))
     return metrics.weighted_mae(long)
 
 
+EPOCHS = 3
+
+
+def _order_epochs(spark: SparkSession, d: str) -> DataFrame:
+    rows = assign_sequence(fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), ["id"], "row", 0)
+    return epochs.epoch_batches(store(rows, "numbered-orders"), "row", EPOCHS)
+
+
+def epoch_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Every order once per epoch, each epoch in an order of its own, in batches of 32."""
+    return _order_epochs(spark, d).select("id", "epoch", "position", "batch_id")
+
+
+def epoch_batch_loss(spark: SparkSession, d: str) -> DataFrame:
+    """Loss of the reshuffled batches of every epoch, weighted by the properties of the whole table."""
+    long = fx.scored_long(spark, d).drop("batch_id")
+    batches = _order_epochs(spark, d).select("id", F.struct("epoch", "batch_id").alias("batch"))
+    lost = metrics.batch_loss(long.join(batches, "id"), metrics.property_weights(long), batch="batch")
+    return lost.select("batch.epoch", "batch.batch_id", _r("loss", 8).alias("loss"), "n_rows")
+
+
+def validation_loss(spark: SparkSession, d: str) -> DataFrame:
+    """Loss of the validation batches with the weights of the training rows."""
+    long = splits.split_70_15_15(fx.scored_long(spark, d), "id")
+    weights = store(metrics.property_weights(long.where("split = 'train'")), "weights")
+    lost = metrics.batch_loss(long.where("split = 'validation'"), weights)
+    return _rounded(lost, ["loss"], 8)
+
+
 QUERIES = {
     "season_manifest": season_manifest,
     "html_table": html_table,
@@ -702,4 +866,17 @@ QUERIES = {
     "text_model": text_model_query,
     "text_predict": text_predict,
     "multitarget_model": multitarget_model,
+    "outcome_check": outcome_check,
+    "goals_check": goals_check,
+    "answers_check": answers_check,
+    "request_inputs": request_inputs,
+    "raw_match_features": raw_match_features,
+    "text_check": text_check,
+    "verdict_check": verdict_check,
+    "outside_scores": outside_scores,
+    "target_fits": target_fits,
+    "target_predictions": target_predictions,
+    "epoch_batches": epoch_batches,
+    "epoch_batch_loss": epoch_batch_loss,
+    "validation_loss": validation_loss,
 }
