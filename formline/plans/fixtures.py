@@ -293,7 +293,9 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of squad tables made from customers, twenty to a page.
 
     Every tenth row repeats the header, every fourth squad is missing from the
-    second table, and every seventh page lacks that table. Ampersands are named or numbered entities.
+    second table, and every seventh page lacks that table. Ampersands are named or numbered entities. In the first
+    table the rank of every page's fifth row spans two rows, and some squads have an empty table in their cell or an accent
+    as a named entity behind their name.
     """
     key = F.col("c_custkey")
     text = lambda c: c.cast("string")
@@ -304,8 +306,15 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         key % 10 == 0, F.lit(f"<tr class='thead'><th>Rk</th><th>Squad</th><th>MP</th><th>{second}</th></tr>")
     ).otherwise("")
     ampersand = F.element_at(F.array(F.lit("&amp;"), F.lit("&#38;"), F.lit("&#x26;")), (key % 3 + 1).cast("int"))
-    squad = F.concat(F.lit('<a href="/s">'), F.col("c_name"), F.lit(" "), ampersand, F.lit(" Co</a>"))
-    for_row = F.concat(repeat("Gls"), td(text(key % 20), squad, text(F.col("c_nationkey")), text(F.floor("c_acctbal").cast("long"))))
+    accent = F.when(key % 6 == 0, "&eacute;").otherwise("")
+    nested = F.when(key % 3 == 0, "<table class='x'><tr><td> </td></tr></table>").otherwise("")
+    squad = F.concat(F.lit('<a href="/s">'), F.col("c_name"), F.lit(" "), ampersand, F.lit(" Co"), accent, F.lit("</a>"))
+    rest = td(F.concat(squad, nested), text(F.col("c_nationkey")), text(F.floor("c_acctbal").cast("long")))
+    spanned = key % 20 == 5  # the rank of the row before covers this one
+    rank = F.when(spanned, "").otherwise(
+        F.concat(F.when(key % 20 == 4, "<td rowspan='2'>").otherwise("<td>"), text(key % 20), F.lit("</td>"))
+    )
+    for_row = F.concat(repeat("Gls"), F.lit("<tr>"), rank, F.substring(rest, 5, 1 << 30))
     against_row = F.concat(repeat("GA"), td(text(key % 20), squad, text(F.col("c_nationkey") + 1), text(key % 90)))
     packed = (
         table(spark, sf_dir, "customer")

@@ -180,7 +180,7 @@ def _ranked(table: str, key: str) -> str:
 _SPLIT_3 = """CASE WHEN rank <= ceil(0.5::DOUBLE * ceil(0.3::DOUBLE * total)) THEN 'test'
   WHEN rank <= ceil(0.3::DOUBLE * total) THEN 'validation' ELSE 'train' END AS split"""
 
-SQUADS = """squads AS (SELECT CAST(floor(c_custkey / 20) AS BIGINT) AS page_id, c_custkey, c_name || ' & Co' AS squad, c_nationkey, c_acctbal FROM customer)"""
+SQUADS = """squads AS (SELECT CAST(floor(c_custkey / 20) AS BIGINT) AS page_id, c_custkey, c_name || ' & Co' || CASE WHEN c_custkey % 6 = 0 THEN 'é' ELSE '' END AS squad, c_nationkey, c_acctbal FROM customer)"""
 
 
 def _uniform(*parts: str) -> str:
@@ -199,7 +199,7 @@ _URL_PARTS = SEASON_URL.split("{year}")[0], SEASON_URL.split("{next_year}")[1]
 ORACLE = {
     "season_manifest": f"""SELECT DISTINCT {_i('year(l_shipdate)')} AS year,
         '{_URL_PARTS[0]}' || year(l_shipdate) || '-' || (year(l_shipdate) + 1) || '{_URL_PARTS[1]}' AS url FROM lineitem""",
-    "html_table": f"""WITH {SQUADS} SELECT page_id, CAST(c_custkey % 20 AS VARCHAR) AS rk, squad,
+    "html_table": f"""WITH {SQUADS} SELECT page_id, CAST(CASE WHEN c_custkey % 20 = 5 THEN 4 ELSE c_custkey % 20 END AS VARCHAR) AS rk, squad,
         CAST(c_nationkey AS VARCHAR) AS mp, CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS gls FROM squads""",
     "html_missing": f"""WITH {SQUADS} SELECT 'squads' AS origin, page_id, '{AGAINST_TABLE}' AS table_id
         FROM (SELECT DISTINCT page_id FROM squads WHERE page_id % 7 = 3)
@@ -405,9 +405,9 @@ ORACLE |= {
         FROM requests LEFT JOIN h ON h.team = home LEFT JOIN a ON a.team = away
         WHERE home IN (SELECT team FROM teams) AND away IN (SELECT team FROM teams)""",
     "raw_match_features": f"""WITH RECURSIVE {MATCHES.replace('matches AS', 'every_match AS', 1)},
-        matches AS MATERIALIZED (SELECT * FROM every_match WHERE match_id % 97 <> 0 AND match_id % 89 <> 0 AND match_id % 83 <> 0), {ELO}
-        SELECT m.match_id, home, away, ftr, {_mean('hst', 'home', 4)}, {_mean('ast', 'away', 4)}, {_mean('fthg', 'home', 4)},
-          round(home_elo, 4) AS home_elo, round(away_elo, 4) AS away_elo FROM matches m JOIN rated r ON r.match_id = m.match_id AND r.no > 0""",
+        matches AS MATERIALIZED (SELECT * FROM every_match WHERE match_id % 97 <> 0 AND match_id % 89 <> 0 AND match_id % 83 <> 0), {ELO},
+        rolled AS (SELECT match_id, home, away, ftr, {_mean('hst', 'home', 4)}, {_mean('ast', 'away', 4)}, {_mean('fthg', 'home', 4)} FROM matches)
+        SELECT m.*, round(home_elo, 4) AS home_elo, round(away_elo, 4) AS away_elo FROM rolled m JOIN rated r ON r.match_id = m.match_id AND r.no > 0""",
     "text_check": f"""WITH {NEWS}, ranked AS ({_ranked('news', 'doc_id')})
         SELECT split, label::BIGINT AS label, count(*) AS support, true AS learnt FROM (SELECT {_SPLIT_3}, label FROM ranked) GROUP BY ALL""",
     "verdict_check": "SELECT doc_id, true AS sound FROM documents",

@@ -1,12 +1,15 @@
 """HTML stats tables as rows, read by built-in string and array functions.
 
 A page never leaves its row until the table's body rows are exploded, so the
-whole chain is one narrow stage.
+whole chain is one narrow stage. A table is found by matching ``table`` tags in
+depth, so one inside a cell does not end the outer one; its text is text of the
+cell. Cells that span rows or columns fill a grid, whose rows are then read.
 """
 
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,7 +22,7 @@ KEY_COLUMN = "Squad"
 FIRST_SEASON, LAST_SEASON = 2017, 2024
 SEASON_URL = "https://fbref.com/en/comps/9/{year}-{next_year}/Premier-League-Stats"
 
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+_NAMED = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&nbsp;": " ", "&apos;": "'"}
 
 
 def season_urls(years: DataFrame, year: str = "year", template: str = SEASON_URL) -> DataFrame:
@@ -35,10 +38,28 @@ def season_range(spark, first: int = FIRST_SEASON, last: int = LAST_SEASON) -> D
 
 
 def _table_text(html: Column, table_id: str) -> Column:
+    """The first table with this id, from its opening to its own closing tag; empty if there is none."""
     visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
     quoted = re.escape(table_id)
-    pattern = rf"(?is)<table\b(?=[^>]*\sid\s*=\s*(?:\"{quoted}\"|'{quoted}'|{quoted}(?=[\s>])))[^>]*>.*?</table\s*>"
-    return F.regexp_extract(visible, pattern, 0)
+    wanted = rf"(?is)^<table\b(?=[^>]*\sid\s*=\s*(?:\"{quoted}\"|'{quoted}'|{quoted}(?=[\s>])))[^>]*>"
+    # A part begins at an opening tag or behind a closing one, and holds one tag of either kind at most.
+    parts = F.split(visible, r"(?i)(?=<table\b)|(?<=</table\s{0,8}>)")
+    state = lambda depth, own, done, text: F.struct(
+        depth.alias("depth"), own.alias("own"), done.alias("done"), text.alias("text")
+    )
+
+    def step(s: Column, part: Column) -> Column:
+        opens = part.rlike(r"(?i)^<table\b")
+        depth = s["depth"] + F.when(opens, 1).otherwise(0)
+        own = F.when((s["own"] == 0) & opens & part.rlike(wanted), depth).otherwise(s["own"])
+        ends = part.rlike(r"(?i)</table\s{0,8}>$")
+        shown = F.when(depth > own, F.regexp_replace(part, r"(?s)<[^>]*>", " ")).otherwise(part)
+        text = F.when((own > 0) & ~s["done"], F.concat(s["text"], shown)).otherwise(s["text"])
+        done = s["done"] | (ends & (own > 0) & (depth == own))
+        return state(F.greatest(depth - F.when(ends, 1).otherwise(0), F.lit(0)), own, done, text)
+
+    start = state(F.lit(0), F.lit(0), F.lit(False), F.lit(""))
+    return F.aggregate(parts, start, step, lambda s: F.when(s["done"], s["text"]).otherwise(""))
 
 
 def _numbered(plain: Column) -> Column:
@@ -58,24 +79,70 @@ def _numbered(plain: Column) -> Column:
 
 def _text(cell: Column) -> Column:
     plain = _numbered(F.regexp_replace(cell, r"(?s)<[^>]*>", ""))
-    for entity, char in _ENTITIES:
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(plain, r"\s+", " "))
+    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    found = F.array_distinct(F.regexp_extract_all(plain, F.lit(r"&[A-Za-z][A-Za-z0-9]*;"), F.lit(0)))
+    # Ampersands come last, so that what they lead to is not read as an entity.
+    others = F.filter(found, lambda e: (e != "&amp;") & F.map_contains_key(names, e))
+    plain = F.aggregate(others, plain, lambda text, e: F.replace(text, e, F.try_element_at(names, e)))
+    return F.trim(F.regexp_replace(F.replace(plain, F.lit("&amp;"), F.lit("&")), r"\s+", " "))
 
 
 def _cells(row: Column) -> Column:
-    """Cell texts of one row; a cell that spans columns is repeated."""
+    """The cells of one row: text ``t`` and ``left``, the rows below that it covers; one that spans columns is repeated."""
     cell = F.lit(r"(?is)<t[hd]\b([^>]*)>(.*?)</t[hd]\s*>")
     attributes = F.regexp_extract_all(row, cell, F.lit(1))
     texts = F.regexp_extract_all(row, cell, F.lit(2))
 
+    def span(attribute: Column, name: str) -> Column:
+        said = F.regexp_extract(attribute, rf"(?i)\b{name}\s*=\s*[\"']?(\d{{1,5}})", 1)
+        return F.when(said == "", 1).otherwise(F.greatest(said.cast("int"), F.lit(1)))
+
     def spread(text: Column, attribute: Column) -> Column:
-        span = F.regexp_extract(attribute, r"(?i)\bcolspan\s*=\s*[\"']?(\d+)", 1)
-        return F.array_repeat(_text(text), F.when(span == "", 1).otherwise(F.greatest(span.cast("int"), F.lit(1))))
+        one = F.struct(_text(text).alias("t"), (span(attribute, "rowspan") - 1).alias("left"))
+        return F.array_repeat(one, span(attribute, "colspan"))
 
     return F.flatten(F.zip_with(texts, attributes, spread))
 
 
+_PLACED = "array<struct<t:string,left:int>>"
+
+
+def _grid(rows: Column) -> Column:
+    """Rows of cell texts: a cell that covers rows below it stands in each of them, in its own column.
+
+    Spans beyond the last row are cut; a column that neither a span nor a cell fills is null.
+    """
+
+    def place(open_spans: Column, cells: Column) -> Column:
+        """The cells of one row, put into the columns that no open span holds."""
+        held = F.filter(F.sequence(F.lit(0), F.size(open_spans)), lambda k: F.coalesce(F.get(open_spans, k)["left"] > 0, F.lit(False)))
+        last = F.coalesce(F.element_at(F.concat(F.array(F.lit(-1)), held), -1), F.lit(-1))
+        width = F.greatest(F.size(cells) + F.size(held), last + 1)
+
+        def step(s: Column, k: Column) -> Column:
+            above, cell = F.get(open_spans, k), F.get(cells, s["next"])
+            covered = F.coalesce(above["left"] > 0, F.lit(False))
+            entry = F.when(covered, F.struct(above["t"].alias("t"), (above["left"] - 1).alias("left"))).otherwise(
+                F.struct(cell["t"].alias("t"), F.coalesce(cell["left"], F.lit(0)).alias("left"))
+            )
+            return F.struct(
+                (s["next"] + F.when(covered, 0).otherwise(1)).alias("next"), F.concat(s["out"], F.array(entry)).alias("out")
+            )
+
+        start = F.struct(F.lit(0).alias("next"), F.array().cast(_PLACED).alias("out"))
+        columns = F.filter(F.sequence(F.lit(0), width), lambda k: k < width)
+        return F.aggregate(columns, start, step, lambda s: s["out"])
+
+    def below(s: Column, cells: Column) -> Column:
+        both = lambda p: F.struct(p.alias("above"), F.concat(s["rows"], F.array(p)).alias("rows"))
+        return F.get(F.transform(F.array(place(s["above"], cells)), both), F.lit(0))
+
+    start = F.struct(F.array().cast(_PLACED).alias("above"), F.array().cast(f"array<{_PLACED}>").alias("rows"))
+    filled = F.aggregate(rows, start, below, lambda s: s["rows"])
+    spans = F.exists(rows, lambda cells: F.exists(cells, lambda c: c["left"] > 0))
+    return F.transform(F.when(spans, filled).otherwise(rows), lambda cells: F.transform(cells, lambda c: c["t"]))
+
+
 def flat_names(top: Column, sub: Column) -> Column:
     """``sub`` under an unnamed top cell, else ``top_sub``."""
 
@@ -99,9 +166,10 @@ def html_tables(
     Pages without the table give no rows. An empty cell is null.
     """
     tr = F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>")
-    rows = F.transform(F.regexp_extract_all(F.col("_table"), tr, F.lit(1)), _cells)
     # A page without the table has no rows to explode, so it needs no filter of its own.
-    parsed = pages.select(*ids, _table_text(F.col(html), table_id).alias("_table")).select(*ids, rows.alias("_rows"))
+    cells = F.transform(F.regexp_extract_all(F.col("_table"), tr, F.lit(1)), _cells)
+    found = pages.select(*ids, _table_text(F.col(html), table_id).alias("_table")).select(*ids, cells.alias("_cells"))
+    parsed = found.select(*ids, _grid(F.col("_cells")).alias("_rows"))
     names = F.get("_rows", F.lit(0))
     if header_rows == 2:
         names = flat_names(names, F.get("_rows", F.lit(1)))

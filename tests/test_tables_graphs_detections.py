@@ -1,5 +1,7 @@
 """HTML tables, CSV sources, graphs and detections."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +172,64 @@ def test_stream_equals_table_with_a_class_table(spark):
     )
     want = det.shape_detections(frames, classes)
     assert {str(r) for r in got.collect()} == {str(r) for r in want.collect()}
+
+
+def grid(spark, body, table_id="t", header_rows=1):
+    page = f"<p>x</p><table id='other'><tr><td>no</td></tr></table>{body}<table><tr><td>after</td></tr></table>"
+    frame = spark.createDataFrame([(1, page)], "page_id int, html string")
+    rows = html.html_tables(frame, ["page_id"], table_id, header_rows=header_rows).orderBy("row_no").collect()
+    return [r.cells for r in rows], (rows[0].names if rows else None)
+
+
+def test_spans_and_nested_tables_fill_the_grid(spark):
+    body = """<table id="t"><tr><th>Squad</th><th>MP</th><th>GA</th></tr>
+      <tr><td rowspan="2">X &eacute;</td><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td></tr>
+      <tr><td>N<TABLE><tr><td>i</td></tr></TABLE ></td><td>5</td><td>6</td></tr></table>"""
+    cells, names = grid(spark, body)
+    assert names == ["Squad", "MP", "GA"]
+    assert cells == [["X é", "1", "2"], ["X é", "3", "4"], ["N i", "5", "6"]]
+
+
+def test_spans_in_both_directions(spark):
+    body = """<table id=t><tr><th colspan=2>A</th><th rowspan=2>B</th></tr><tr><th>a1</th><th>a2</th></tr>
+      <tr><td rowspan=3 colspan=2>w</td><td>1</td></tr><tr><td>2</td></tr><tr><td rowspan=9>3</td></tr>
+      <tr><td>p</td><td>q</td></tr><tr><td>r</td></tr></table>"""
+    cells, names = grid(spark, body, header_rows=2)
+    assert names == ["A_a1", "A_a2", "B_B"]
+    assert cells == [["w", "w", "1"], ["w", "w", "2"], ["w", "w", "3"], ["p", "q", "3"], ["r", None, "3"]]
+
+
+def test_grid_equals_a_plain_fold(spark):
+    rnd = random.Random(3)
+    for _ in range(5):
+        rows, held, plain = [], {}, []
+        for r in range(6):
+            cells = [(f"c{r}{i}", rnd.randint(1, 3), rnd.randint(1, 2)) for i in range(rnd.randint(1, 3))]
+            rows.append("<tr>" + "".join(f"<td rowspan={d} colspan={w}>{t}</td>" for t, d, w in cells) + "</tr>")
+            flat, line, k = [(t, d) for t, d, w in cells for _ in range(w)], [], 0
+            while flat or any(c >= k for c, (_, left) in held.items() if left):
+                if held.get(k, ("", 0))[1]:
+                    text, left = held[k]
+                    held[k] = (text, left - 1)
+                elif flat:
+                    text, d = flat.pop(0)
+                    held[k] = (text, d - 1)
+                else:
+                    text = None
+                line.append(text)
+                k += 1
+            plain.append(line)
+        cells, _ = grid(spark, "<table id='t'><tr><th>h</th></tr>" + "".join(rows) + "</table>")
+        assert cells == plain
+
+
+def test_a_table_inside_another_is_found_by_its_own_id(spark):
+    body = "<table id='o'><tr><td>a<table id='t'><tr><th>h</th></tr><tr><td>1</td></tr></table></td></tr><tr><td>b</td></tr></table>"
+    assert grid(spark, body)[0] == [["1"]]
+    assert grid(spark, body, "o")[0] == [["b"]]
+    assert grid(spark, "<table id='t'><tr><td>never closed</td></tr>")[0] == []
+
+
+def test_named_entities(spark):
+    body = "<table id='t'><tr><th>h</th></tr><tr><td>&Auml;&ouml; &amp;eacute; &nosuch; &lt;b&gt; &euro;&nbsp;5 &apos;</td></tr></table>"
+    assert grid(spark, body)[0] == [["Äö &eacute; &nosuch; <b> € 5 '"]]
