@@ -17,9 +17,12 @@ CANDIDATES = 2000
 
 
 def radices(n: int) -> tuple[int, int]:
-    """Two numbers near the square root whose product is at least ``n`` and exceeds it as little as possible."""
+    """Two numbers near the square root whose product is at least ``n`` and exceeds it as little as possible.
+
+    The larger is at most twice the root, so both digits have values enough to mix.
+    """
     root = max(math.isqrt(max(n - 1, 0)) + 1, 1)
-    return min(((a, -(-n // a)) for a in range(root, root + CANDIDATES)), key=lambda ab: (ab[0] * ab[1], ab[0]))
+    return min(((a, -(-n // a)) for a in range(root, root + min(CANDIDATES, root + 1))), key=lambda ab: (ab[0] * ab[1], ab[0]))
 
 
 def _hashed(seed: int, epoch: Column, step: int, digit: Column) -> Column:

@@ -383,7 +383,7 @@ def _feistel(epochs: int, seed: int = 42) -> str:
         SELECT *, (l0 + {h(1, 'r0')}) % a AS l1 FROM (SELECT id, epoch, n, a, b, x // b AS l0, x % b AS r0 FROM {{}}))))"""
     return f"""numbered AS (SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS x FROM orders),
   sizes AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS root FROM orders), range(0, {CANDIDATES}) g(k),
-    LATERAL (SELECT root + k AS a) ORDER BY a * ((n + a - 1) // a), a LIMIT 1),
+    LATERAL (SELECT root + k AS a) WHERE k <= root ORDER BY a * ((n + a - 1) // a), a LIMIT 1),
   begun AS (SELECT id, e::INT AS epoch, n, a, b, x FROM numbered, sizes, range(1, {epochs + 1}) q(e)),
   walk AS (({rounds.format('begun')}) UNION ALL ({rounds.format("(SELECT * FROM walk WHERE x >= n)")})),
   placed AS MATERIALIZED (SELECT id, epoch, x::BIGINT AS position, (x // 32)::BIGINT AS batch_id FROM walk WHERE x < n)"""
@@ -424,4 +424,6 @@ ORACLE |= {
         held AS (SELECT s.* FROM every_score s JOIN parts_of USING (id) WHERE split = 'validation'),
         parts AS (SELECT batch_id, property, avg(abs(y_pred - y_true)) AS mae, count(*) AS n FROM held GROUP BY ALL)
         SELECT batch_id, round(coalesce(sum(weight * mae), 0) / max(n), 8) AS loss, max(n) AS n_rows FROM parts JOIN weighted USING (property) GROUP BY batch_id""",
+    "supplement_rejects": """SELECT c_name AS k, CASE WHEN c_custkey % 7 <> 0 THEN round(c_acctbal, 2) END AS tg,
+        CASE WHEN c_custkey % 7 = 0 THEN c_name || ',n/a' END AS line FROM customer""",
 }

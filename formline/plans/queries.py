@@ -85,34 +85,42 @@ def left_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seasons_csv(spark: SparkSession, d: str) -> DataFrame:
-    """Games written as one CSV folder per season, read back in file order and numbered."""
+    """Games written as one CSV folder per season, in files of a stated size, read back in file order and numbered."""
     games = fx.matches(spark, d).select("season", "home", "away", "ftr", "fthg", "ftag", "match_id")
     folder = scratch_path(spark, "seasons")
-    files.write_seasons(games.repartitionByRange("season", "match_id").sortWithinPartitions("season", "match_id"), folder)
+    files.write_seasons(games, folder, order="match_id", rows_per_file=CHUNK_ROWS)
     schema = "home string, away string, ftr string, fthg int, ftag int, match_id long"
     read = files.read_in_order(spark, [folder], schema)
     return read.select("ord", "match_id", "home", "away", "ftr", "fthg", "ftag")
 
 
 def news_files(spark: SparkSession, d: str) -> DataFrame:
-    """Real and fake texts written as two CSVs in different folders, found by name, labelled and united."""
+    """Real and fake texts written as CSVs in different folders, each found by its exact name, labelled and united."""
     news = fx.news(spark, d)
     folder = scratch_path(spark, "news")
     parts = []
     for label, name in ((0, "true"), (1, "fake")):
         path = f"{folder}/{name}"
-        news.where(F.col("label") == label).select("doc_id", "text").write.option("header", True).option(
-            "escape", '"'
-        ).csv(path)
-        read = (
-            spark.read.schema("doc_id long, text string").option("header", True).option("multiLine", True)
-            .option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-        )
-        parts.append(shaping.label_source(read.csv(path), label))
+        rows = news.where(F.col("label") == label).select("doc_id", "text")
+        rows.write.option("header", True).option("escape", '"').csv(path)
+        written = spark.read.schema("doc_id long, text string").csv(path).inputFiles()
+        found = [files.find_file(spark, folder, f.rsplit("/", 1)[1], "doc_id long, text string") for f in written]
+        parts += [shaping.label_source(rows, label) for rows in found]
     united = shaping.stack_tables(parts)
     return united.select("doc_id", F.md5("text").alias("text_md5"), "label")
 
 
+def supplement_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """A supplement with rows that do not fit their schema: each customer's key, cell, and the raw line if it was bad."""
+    folder = scratch_path(spark, "supplement")
+    key = F.col("c_custkey")
+    cell = F.when(key % 7 == 0, "n/a").otherwise(F.round("c_acctbal", 2).cast("string"))
+    rows = fx.table(spark, d, "customer").select(F.col("c_name").alias("k"), cell.alias("tg"))
+    rows.write.option("header", True).csv(f"{folder}/one")
+    loaded, _ = files.read_supplements(spark, [(f"{folder}/one", "k string, tg double")], bad_row="line")
+    return loaded[0].select("k", _r("tg", 2).alias("tg"), "line")
+
+
 def submission_csv(spark: SparkSession, d: str) -> DataFrame:
     """Predictions joined to every id, written as CSV and read back."""
     path = scratch_path(spark, "submission")
@@ -797,6 +805,7 @@ QUERIES = {
     "left_merge": left_merge,
     "seasons_csv": seasons_csv,
     "news_files": news_files,
+    "supplement_rejects": supplement_rejects,
     "submission_csv": submission_csv,
     "table_summary": table_summary,
     "select_existing": select_existing,

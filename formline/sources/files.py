@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from formline.operators.sequence import assign_sequence
+from formline.operators.sequence import assign_sequence, sequence_within
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -85,9 +85,37 @@ def read_supplements(
     return loaded, skipped
 
 
-def write_seasons(df: DataFrame, path: str, season: str = "season") -> None:
-    """One folder of CSV per season, with header, replacing what is there."""
-    df.write.partitionBy(season).mode("overwrite").option("header", True).csv(path)
+def write_seasons(
+    df: DataFrame, path: str, season: str = "season", order: str | None = None, rows_per_file: int = 1_000_000
+) -> None:
+    """A folder of CSV with header per season: one file, or files of ``rows_per_file`` rows, however ``df`` is split.
+
+    Only the seasons in ``df`` are replaced; the others stay. With ``order`` (unique within a season) the rows of a
+    season stand in that order within and over its files, and all files but the last are full; without, rows are dealt
+    by a hash of their content, so sizes are about even and equal rows stay together. Seasons are few (one row
+    each is held by the driver); a null season has the folder that Spark gives it.
+    """
+    counts = df.groupBy(F.col(season).alias("_season")).agg(F.count(F.lit(1)).alias("_rows"))
+    files, first = [], 0
+    for row in counts.orderBy("_season").collect():  # a row per season
+        wanted = -(-row["_rows"] // rows_per_file)
+        files.append((row["_season"], first, wanted))
+        first += wanted
+    if not files:
+        return
+    plan = df.sparkSession.createDataFrame(files, StructType([StructField("_season", df.schema[season].dataType)]).add("_first", "long").add("_files", "long"))
+    if order:
+        rows = sequence_within(df, season, [order], "_row")
+        place = F.floor((F.col("_row") - 1) / rows_per_file)
+    else:
+        rows, place = df, F.pmod(F.xxhash64(*df.columns), F.col("_files"))
+    dealt = rows.join(F.broadcast(plan), F.col(season).eqNullSafe(F.col("_season")))
+    dealt = dealt.withColumn("_file", (F.col("_first") + place).cast("int")).repartitionById(first, "_file")
+    if order:
+        dealt = dealt.sortWithinPartitions("_row")
+    dealt.select(*df.columns).write.partitionBy(season).mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "header", True
+    ).csv(path)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:

@@ -5,9 +5,10 @@ import random
 
 import pandas as pd
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
-from formline.operators.ordered import Lagged, lagged_rolling, latest_or_mean, mean_fill, median_fill
+from formline.operators.ordered import Lagged, lagged_rolling, latest_or_mean, mean_fill, median_fill, medians
 from formline.operators.sequence import assign_sequence, sequence_within
 from formline.operators.slices import plan_slices
 from formline.operators.stall import stall_stop
@@ -183,3 +184,23 @@ def test_nan_counts_as_missing(spark):
     holes = spark.createDataFrame([(1.0,), (3.0,), (nan,), (None,)], "v double")
     assert sorted(r.v for r in mean_fill(holes, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
     assert sorted(r.v for r in median_fill(holes, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
+
+
+def test_medians_of_several_columns_at_once(spark):
+    random = np.random.default_rng(7)
+    columns = {
+        "a": random.normal(size=5000),
+        "b": np.round(random.exponential(size=5000), 1),
+        "c": np.full(5000, 3.5),
+        "d": np.where(np.arange(5000) % 2 == 0, 1.0, 2.0),
+        "e": np.full(5000, np.nan),
+    }
+    pdf = pd.DataFrame(columns)
+    pdf.loc[::7, ["a", "b"]] = np.nan
+    df = spark.createDataFrame(pdf).repartition(3)
+    found = medians(df, list(columns))
+    want = {c: pdf[c].median() for c in columns}
+    assert found["e"] is None and all(found[c] == pytest.approx(want[c], abs=1e-12) for c in "abcd")
+    filled = median_fill(df, ["a", "b"])
+    assert filled.columns == df.columns and filled.where("isnan(a) or a is null").count() == 0
+    assert medians(df.limit(0), ["a", "b"]) == {"a": None, "b": None} and medians(df, []) == {}

@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from formline.functions.outcomes import CLASS_NAMES
 from formline.operators import metrics, splits
-from formline.plans import match_model, multitarget, text_model
+from formline.plans import fixtures, match_model, multitarget, outside_model, text_model
 from formline.plans.fixtures import STATS
 from formline.session import store
 
@@ -52,7 +53,7 @@ def test_away_form_counts_the_hosts_points_and_own_form_the_away_sides(games):
 def test_models_learn_and_answer_requests(spark, featured):
     parts = match_model.assemble(splits.split_80_20(featured, "match_id"))
     teams = match_model.team_index(featured)
-    models = match_model.fit_models(parts.where("split = 'train'"), teams, trees=10, boosting=3, depth=4)
+    models = match_model.fit_models(parts.where("split = 'train'"), teams, rounds=3, depth=3)
     scored = match_model.score_outcome(models.outcome, parts.where("split = 'test'"))
     assert scored.count() == 80
     assert metrics.accuracy(scored, "ftr_enc", "y_hat").first().accuracy > 0.5
@@ -102,3 +103,94 @@ def test_multitarget_models_skip_unlabelled_targets_and_unparsed_rows(spark):
     got = {r.id: (r.pred_a, r.pred_b) for r in multitarget.predict_targets(samples, models, ["f"], "id").collect()}
     assert len(got) == 100
     assert got[10][0] == pytest.approx(30.0) and got[10][1] is None
+
+
+def test_all_targets_from_one_scan_equal_separate_fits(spark):
+    rnd = random.Random(6)
+    rows = []
+    for i in range(400):
+        x, z = rnd.gauss(1e4, 3), rnd.random()
+        y = 2 * x - 5 * z + 3 + rnd.gauss(0, 0.1)
+        rows.append((i, x, z, 7.0, y if i % 3 else None, -y if i % 2 else float("nan"), None, y if i == 5 else None))
+    samples = spark.createDataFrame(rows, "id int, x double, z double, k double, a double, b double, c double, d double")
+    models = multitarget.fit_targets(samples, ["x", "z", "k"], ["a", "b", "c", "d"], reg=0.0)
+    for target, column, sign in (("a", 4, 1), ("b", 5, -1)):
+        held = [r for r in rows if r[column] is not None and r[column] == r[column]]
+        plain = np.linalg.lstsq(np.array([[1, r[1], r[2]] for r in held]), np.array([r[column] for r in held]), rcond=None)[0]
+        model = models[target]
+        assert model.n == len(held) and model.weights[:2] == pytest.approx(plain[1:], rel=1e-6)
+        assert model.weights[2] == 0 and model.intercept == pytest.approx(plain[0], abs=1e-2)
+    assert models["c"] is None and models["d"].n == 1  # one row: its own value
+    scored = {r.id: r for r in multitarget.predict_targets(samples, models, ["x", "z", "k"], "id").collect()}
+    assert scored[5].pred_d == pytest.approx(rows[5][4] if rows[5][4] else rows[5][7]) and scored[0].pred_c is None
+    assert multitarget.fit_targets(samples.limit(0), ["x"], ["a"]) == {"a": None}
+
+
+def test_outside_models_score_in_batches(spark):
+    def load():
+        import numpy
+
+        def predict(vector, number):
+            assert len(vector) <= 32 and vector.shape[1:] == (3,)
+            return numpy.stack([vector.sum(1) + number, number], 1)
+
+        return predict
+
+    rows = [(i, [float(i), 1.0, 2.0], i % 5) for i in range(100)]
+    odd = [(100, None, 1), (101, [1.0, None, 2.0], 1), (102, [1.0], 1), (103, [1.0, 1.0, 1.0], None)]
+    df = spark.createDataFrame(rows + odd, "id int, v array<double>, n int").repartition(2)
+    got = {r.id: r.score for r in outside_model.score_batches(df, load, ["v", "n"], shapes=[[3], None], outputs=2).collect()}
+    assert all(got[i] == [i + 3.0 + i % 5, float(i % 5)] for i in range(100)) and all(got[i] is None for i in range(100, 104))
+
+
+def test_shared_tables_follow_their_input(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
+    build = lambda: fixtures.table(spark, str(tmp_path), "t")
+    assert fixtures.prepared(spark, str(tmp_path), "copy", build).count() == 3
+    spark.range(5).write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+    assert fixtures.prepared(spark, str(tmp_path), "copy", build).count() == 5
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    """Three classes that depend on two inputs, with noise and uneven shares."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(3000):
+        a, b, noise = rnd.random(), rnd.random(), rnd.random()
+        cls = 0 if a > 0.55 else 2 if b > 0.6 else 1
+        rows.append((i, a, b, rnd.random(), cls if noise > 0.15 else rnd.choice([0, 1, 2])))
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, ftr_enc int")
+    return match_model.assemble(df, ["a", "b", "c"]).select("id", "features", "ftr_enc")
+
+
+def test_three_class_boosting_beats_the_forest_and_the_shares(results):
+    train, test = results.where("id % 4 > 0"), results.where("id % 4 = 0")
+    boosted = match_model.score_outcome(match_model.fit_outcome(train, rounds=12, depth=3), test)
+    forest = match_model.score_outcome(match_model.fit_forest(train, trees=12, depth=3), test)
+    assert set(results.columns) < set(boosted.columns) and "margins" not in boosted.columns
+    total = F.col("p_home") + F.col("p_draw") + F.col("p_away")
+    assert boosted.where((F.abs(total - 1) > 1e-9) | (F.least("p_home", "p_draw", "p_away") < 0)).count() == 0
+    loss, plain = (match_model.log_loss(s, train).first() for s in (boosted, forest))
+    assert loss.n == test.count() and loss.log_loss < plain.log_loss < plain.shares_loss
+    assert metrics.accuracy(boosted, "ftr_enc", "y_hat").first().accuracy > 0.8
+
+
+def test_boosting_is_by_default_a_hundred_rounds():
+    assert match_model.ROUNDS == 100 and match_model.fit_outcome.__defaults__[0] == 100
+
+
+def test_boosting_with_two_of_three_classes(results):
+    model = match_model.fit_outcome(results.where("ftr_enc < 2"), rounds=2, depth=2)
+    assert sorted(model.boosters) == [0, 1]
+    rows = match_model.score_outcome(model, results.limit(20)).collect()
+    assert all(r.y_hat in (0, 1) and not r.p_away for r in rows)
+
+
+def test_raw_games_become_complete_inputs(games):
+    raw = games.withColumn("ftr", F.when(F.col("match_id") % 50 != 0, F.col("ftr"))).withColumn(
+        "hst", F.when(F.col("match_id") % 40 == 1, float("nan")).otherwise(F.col("hst").cast("double"))
+    )
+    ready = match_model.raw_match_features(raw.withColumn("referee", F.lit(None).cast("string")))
+    assert "referee" not in ready.columns and ready.count() == 400 - 8 - 10
+    assert ready.select(*match_model.FEATURES, "ftr_enc").na.drop("any").count() == ready.count()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from formline.functions.outcomes import away_points, away_score, points, result_class
-from formline.operators import encode, shaping, splits
+from formline.operators import encode, epochs, shaping, splits
 from formline.operators.metrics import argmax
 
 
@@ -117,3 +117,32 @@ def test_target_vector_and_text(spark):
     assert df.select(encode.target_vector(["c", "a", "b"])).first()[0] == [None, 1.0, None]
     texts = spark.createDataFrame([(None,), ("x",)], "t string").select(encode.text_or_nan("t"))
     assert [r[0] for r in texts.collect()] == ["nan", "x"]
+
+
+def test_rows_without_a_key_count_and_rank_last(spark):
+    rows = spark.createDataFrame([(i if i % 2 else None,) for i in range(100)], "k int")
+    parts = {r.split: r.n for r in splits.split_80_20(rows, "k").groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert parts == {"test": 20, "train": 80}
+    places = splits.seeded_shuffle(rows, "k").where("k is null").agg(F.min("position"), F.max("position")).first()
+    assert tuple(places) == (51, 100)
+    parts = splits.split_70_15_15(rows, "k").where("k is null").select("split").distinct().collect()
+    assert [r.split for r in parts] == ["train"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 32, 97, 1000])
+def test_every_epoch_is_a_permutation_in_batches(spark, n):
+    rows = spark.range(1, n + 1).withColumnRenamed("id", "no")
+    out = epochs.epoch_batches(rows, "no", epochs=4, batch=10, first=1).collect()
+    orders = [[r.no for r in sorted(out, key=lambda r: r.position) if r.epoch == e] for e in (1, 2, 3, 4)]
+    assert all(sorted(r.position for r in out if r.epoch == e) == list(range(n)) for e in (1, 2, 3, 4))
+    assert all(r.batch_id == r.position // 10 for r in out)
+    if n > 20:
+        assert len({tuple(o) for o in orders}) == 4 and orders[0] != sorted(orders[0])
+        moved = sum(abs(a - b) == 1 for o in orders for a, b in zip(o, o[1:]))
+        assert moved < 0.2 * 4 * n
+
+
+def test_radices_leave_few_numbers_beyond_the_last():
+    for n in (1, 10, 12_345, 10**6 + 3, 10**9 + 7, 10**12 + 39):
+        a, b = epochs.radices(n)
+        assert 0 <= a * b - n <= max(2, n**0.5 / 50) and a * b - n < a and a <= 2 * (n**0.5 + 1)

@@ -1,6 +1,7 @@
 """HTML tables, CSV sources, graphs and detections."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,23 @@ def test_a_table_inside_another_is_found_by_its_own_id(spark):
 def test_named_entities(spark):
     body = "<table id='t'><tr><th>h</th></tr><tr><td>&Auml;&ouml; &amp;eacute; &nosuch; &lt;b&gt; &euro;&nbsp;5 &apos;</td></tr></table>"
     assert grid(spark, body)[0] == [["Äö &eacute; &nosuch; <b> € 5 '"]]
+
+
+@pytest.mark.parametrize("partitions", [8, 64])
+def test_season_files_have_a_stated_size_and_other_seasons_stay(spark, tmp_path, partitions):
+    path = f"{tmp_path}/seasons"
+    rows = [(2000 + (i % 10 > 6), i, f"t{i}") for i in range(500)] + [(None, 900 + i, "x") for i in range(3)]
+    df = spark.createDataFrame(rows, "season int, no int, team string").repartition(partitions)
+    files.write_seasons(df, path, order="no", rows_per_file=100)
+    listed = lambda season: sorted(Path(f"{path}/season={season}").glob("part-*.csv"))
+    assert [len(listed(s)) for s in (2000, 2001, "__HIVE_DEFAULT_PARTITION__")] == [4, 2, 1]
+    lines = [f.read_text().split("\n")[1:-1] for f in listed(2000)]
+    assert [len(x) for x in lines] == [100, 100, 100, 50]
+    numbers = [int(line.split(",")[0]) for part in lines for line in part]
+    assert numbers == sorted(numbers)
+    before = {f: f.read_text() for f in listed(2000)}
+    files.write_seasons(spark.createDataFrame([(2001, 1, "new")], df.schema), path, order="no")
+    assert {f: f.read_text() for f in listed(2000)} == before and len(listed(2001)) == 1
+    files.write_seasons(df.where("season = 2000"), f"{tmp_path}/one")
+    assert len(list(Path(f"{tmp_path}/one/season=2000").glob("part-*.csv"))) == 1
+    files.write_seasons(df.limit(0), f"{tmp_path}/none")
