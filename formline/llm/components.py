@@ -49,5 +49,6 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         edges = store(images, "links")
         if edges.isEmpty():
             break
-    names = labels.groupBy("part").agg(F.min("node.n").alias("component"))
+    # Stored, so that the join has a plain shuffle on both sides and a part with very many nodes can be split.
+    names = store(labels.groupBy("part").agg(F.min("node.n").alias("component")), "parts")
     return labels.join(names, "part").select(F.col("node.n").alias("node"), "component")

@@ -76,6 +76,12 @@ def collisions(own: np.ndarray, other: np.ndarray, needed: int) -> tuple[np.ndar
     return np.nonzero(counts >= needed)
 
 
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; divided by their largest entry first, so that squares of very large or small ones stay in range."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
     """Positions of links that join parts not yet joined."""
     parent: dict[int, int] = {}
@@ -97,8 +103,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
 def _meet(threshold: float, needed: int, ids: list, matrices: list, same: bool):
     """Links between two blocks: row numbers and the verified pairs."""
     own, other = matrices
-    own = own / np.linalg.norm(own, axis=1, keepdims=True)
-    other = other / np.linalg.norm(other, axis=1, keepdims=True)
+    own, other = unit_rows(own), unit_rows(other)
     lines = directions(own.shape[1])
     a, b = collisions(own @ lines, other @ lines, needed)
     if same:
@@ -129,19 +134,29 @@ def near_vectors(
     numbered = store(_sorted_blocks(entries, block), "vectors")
     links = store(_linked(numbered, threshold, needed), "vector-links")
     counts = links.where(F.col("n") > 0).groupBy(F.col("a").alias("_entry")).agg(F.sum("n").alias("_n"))
-    tree = links.where(F.col("b").isNotNull()).select("a", "b")
-    parts = connected(tree).withColumnsRenamed({"node": "_node", "component": "_part"})
-    first = numbered.select("_entry", "_label", "_vector", "_first", "_copies")
-    placed = first.join(parts, F.col("_entry") == F.col("_node"), "left").withColumn("_part", F.coalesce("_part", "_entry"))
-    named = placed.groupBy("_part").agg(F.min("_first").alias("_component"))
+    # A node is named by its smallest id and its number, so a component's smallest node holds its smallest id; the
+    # vectors stay out of the way until the end.
+    node = lambda e: F.struct(
+        F.col(f"{e}f").isNull().alias("none"), F.col(f"{e}f").alias("first"), F.col(e).alias("entry")
+    )
+    firsts = numbered.select("_entry", "_first")
+    tree = (
+        links.where(F.col("b").isNotNull())
+        .select("a", "b")
+        .join(firsts.toDF("a", "af"), "a")
+        .join(firsts.toDF("b", "bf"), "b")
+        .select(node("a").alias("a"), node("b").alias("b"))
+    )
+    parts = connected(tree).select(F.col("node.entry").alias("_entry"), F.col("component.first").alias("_component"))
     known = (
-        placed.join(named, "_part")
+        numbered.select("_entry", "_label", "_vector", "_first", "_copies")
+        .join(parts, "_entry", "left")
         .join(counts, "_entry", "left")
         .select(
             F.col("_label").alias("_elabel"),
             F.col("_vector").alias("_evector"),
             (F.coalesce("_n", F.lit(0)) + F.col("_copies") - 1).alias("_links"),
-            "_component",
+            F.coalesce("_component", "_first").alias("_component"),
         )
     )
     joined = all_rows.withColumn("_key", F.when(usable, F.col("_vector"))).join(
@@ -166,7 +181,7 @@ def _sorted_blocks(entries: DataFrame, block: int) -> DataFrame:
             for v in pdf["_vector"]:
                 v = np.asarray(v, float)
                 line = lines.setdefault(len(v), directions(len(v))[:, 0])
-                values.append(float(v @ line / np.linalg.norm(v)))
+                values.append(float(unit_rows(v[None])[0] @ line))
             yield pdf.assign(_line=values)
 
     kind = entries.schema

@@ -92,6 +92,15 @@ def test_archives_round_trip(spark, pages, monkeypatch):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
 
+def test_vectors_of_extreme_size_keep_their_links(spark):
+    rows = [(0, [3e38, 2.9e38, 1e38], 1), (1, [3e-38, 2.9e-38, 1e-38], 1), (2, [3.0, 2.9, 1.0], 1), (3, [0.0, 1.0, 0.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    wide = [(4, [c * 1e200 / 3e38 for c in rows[0][1]], 1), (5, [c * 1e-200 / 3e-38 for c in rows[1][1]], 1)]
+    frame = frame.unionAll(spark.createDataFrame(wide, frame.schema))
+    found = {r.vec_id: (r.n_links, r.component_id) for r in projections.near_vectors(frame).collect()}
+    assert all(found[i] == (4, 0) for i in (0, 1, 2, 4, 5)) and found[3] == (0, 3)
+
+
 def test_lookup_by_url_finds_every_capture(spark, pages, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 4)
     root = scratch_path(spark, "warc-test")
