@@ -6,10 +6,12 @@ frequencies are counted over all training texts. Centroids come from spherical k
 fitted on about ``sample`` texts per language (those with the smallest hashes), so one language's fit is
 bounded whatever its share. A text belongs to the language of the centroid with the highest cosine.
 
-Rejection goes by distance (one less the cosine). A fifth of the sample is kept out of the centroids; the limit
-is ``MARGIN`` times the ``QUANTILE`` of its distances to the nearest centroid of its own language, all languages
-together. With fewer than ``CALIBRATION`` such texts the limit is ``RADIUS``. Texts of fewer than ``EVIDENCE``
-n-grams (a few words) lie far from every centroid whatever their language and are not rejected for it.
+Rejection goes by distance (one less the cosine), which falls with a text's length. A fifth of the sample is kept
+out of the centroids; these texts and pieces of them of each of ``SIZES`` letters are measured against the
+centroids of their own language. The limit of a size is the distance at which the cosine is ``SHARE`` of that at the
+``QUANTILE`` of the measured distances, all languages together, and no less than the limit of a larger size. A text
+has the limit of the largest size it reaches; one under the smallest size is not rejected for its distance. With
+fewer than ``CALIBRATION`` distances a size's limit is ``RADIUS``.
 
 Defined results: a text that is null or has no letter (of any plane of Unicode) is ``und`` with score 0 and
 rejected; ties go to the language first in order; repeated rows are scored alike and are one text of the sample;
@@ -35,11 +37,11 @@ ORDERS = (1, 2, 3)
 CENTROIDS = 4
 SAMPLE = 1000
 ROUNDS = 8
-QUANTILE = 0.999
-MARGIN = 1.08
+SIZES = (32, 64, 128, 256, 512, 1024, 2048, 4096)
+QUANTILE = 0.99
+SHARE = 0.7
 CALIBRATION = 50
-RADIUS = 0.8
-EVIDENCE = 128
+RADIUS = 0.85
 LANGUAGES = 10_000
 UNKNOWN = "und"
 
@@ -80,7 +82,9 @@ class Grams:
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The dimensions present and how often."""
-        codes = self.codes(text or "")
+        return self.counts_of(self.codes(text or ""))
+
+    def counts_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(codes):
             return np.zeros(0, np.int64), np.zeros(0)
         found = []
@@ -121,12 +125,16 @@ def document_frequencies(texts: DataFrame, text: str, dimensions: int = DIMENSIO
 
 @dataclass
 class Model:
-    """``centroids`` has a row per centroid, ``languages`` the language of each; texts beyond ``radius`` are rejected."""
+    """``centroids`` has a row per centroid, ``languages`` the language of each, ``limits`` the distance limit of each size."""
 
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    radius: float = RADIUS
+    limits: tuple[float, ...] = (RADIUS,) * len(SIZES)
+
+    def too_far(self, letters: int, distance: float) -> bool:
+        size = int(np.searchsorted(SIZES, letters, "right")) - 1
+        return size >= 0 and distance > self.limits[size]
 
 
 def _scaled(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -173,20 +181,32 @@ def fit(
 
     def centres(group: tuple, part: pd.DataFrame) -> pd.DataFrame:
         grams = Grams(dimensions)
-        vectors = [_scaled(*grams.counts(body), idf) for body in sorted(part["_text"])]
-        vectors = np.array([v for v in vectors if v.any()], np.float32).reshape(-1, dimensions)
-        apart = np.arange(len(vectors)) % 5 == 4
-        means = spherical_means(vectors[~apart], centroids) if len(vectors) else vectors
-        far = 1 - (vectors[apart] @ means.T).max(1) if apart.any() else np.zeros(0)
-        values = [m.tolist() for m in means] + [far.tolist()]
-        return pd.DataFrame({"_lang": group[0], "_mean": [True] * len(means) + [False], "_values": values})
-
-    fitted = picked.groupBy("_lang").applyInPandas(centres, "_lang string, _mean boolean, _values array<float>").collect()
+        texts = [codes for codes in map(grams.codes, sorted(part["_text"])) if len(codes)]
+        apart = [t for i, t in enumerate(texts) if i % 5 == 4]
+        vectors = [_scaled(*grams.counts_of(t), idf) for i, t in enumerate(texts) if i % 5 < 4]
+        vectors = np.array(vectors, np.float32).reshape(-1, dimensions)
+        means = spherical_means(vectors, centroids) if len(vectors) else vectors
+        rows = [(True, 0, m.tolist()) for m in means]
+        for k, size in enumerate(SIZES):
+            pieces = [t[at : at + size] for t in apart for at in {0, (len(t) - size) // 2} if len(t) >= size]
+            pieces += [t for t in apart if size <= len(t) < 2 * size]
+            far = [float(1 - (means @ _scaled(*grams.counts_of(p), idf)).max()) for p in pieces]
+            rows.append((False, k, far))
+        return pd.DataFrame(rows, columns=["_mean", "_size", "_values"]).assign(_lang=group[0])
+
+    schema = "_mean boolean, _size int, _values array<float>, _lang string"
+    fitted = picked.groupBy("_lang").applyInPandas(centres, schema).collect()
     found = sorted((row["_lang"], row["_values"]) for row in fitted if row["_mean"])
-    far = np.array([v for row in fitted if not row["_mean"] for v in row["_values"]])
-    radius = min(MARGIN * float(np.quantile(far, QUANTILE)), 1.0) if len(far) >= CALIBRATION else RADIUS
+    limits = []
+    for k in range(len(SIZES)):
+        far = np.array([v for row in fitted if not row["_mean"] and row["_size"] == k for v in row["_values"]])
+        known = len(far) >= CALIBRATION
+        limits.append(1 - SHARE * (1 - float(np.quantile(far, QUANTILE))) if known else None)
+    for k in range(len(SIZES) - 1, -1, -1):
+        larger = limits[k + 1] if k + 1 < len(SIZES) else 0.0
+        limits[k] = max(RADIUS if limits[k] is None else limits[k], larger)
     vectors = np.array([m for _, m in found], np.float32).reshape(-1, dimensions)
-    return Model(idf, vectors, [language for language, _ in found], radius)
+    return Model(idf, vectors, [language for language, _ in found], tuple(limits))
 
 
 def _sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int) -> DataFrame:
@@ -217,7 +237,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
         for batch in slices(batches, "_text"):
             names, scores, rejected = [], [], []
             for body in batch.column(1).to_pylist():
-                at, counts = grams.counts(body)
+                codes = grams.codes(body or "")
+                at, counts = grams.counts_of(codes)
                 if not len(at) or not model.languages:
                     names.append(UNKNOWN)
                     scores.append(0.0)
@@ -228,7 +249,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                 best = int(cosines.argmax())
                 names.append(model.languages[best])
                 scores.append(float(min(max(cosines[best], 0.0), 1.0)))
-                rejected.append(bool(counts.sum() >= EVIDENCE and 1 - scores[-1] > model.radius))
+                rejected.append(model.too_far(len(codes), 1 - scores[-1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["_key", "lang_pred", "score", "rejected"],

@@ -506,7 +506,7 @@ def test_distant_texts_are_rejected_and_clean_ones_kept(spark):
     import base64
     import random
 
-    docs = read(spark, LARGE)
+    docs = line_frequency.keep_good(read(spark, LARGE)).persist()  # as in the pipeline
     model = langid.fit(docs.where("doc_id % 2 = 0"))
     draw = random.Random(1)
     word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 10)))
@@ -517,8 +517,15 @@ def test_distant_texts_are_rejected_and_clean_ones_kept(spark):
     rows = spark.createDataFrame(list(enumerate(odd)), "doc_id int, text string")
     assert all(r.rejected for r in langid.predict(rows, model).collect())
     clean = langid.predict(docs.where("doc_id % 2 = 1"), model)
-    # One of 5,000 goes: the same two words of shouting over and over.
-    assert clean.where("rejected and lang_pred != 'und'").count() <= 1 and 0.5 < model.radius < 0.8
+    assert clean.where("rejected").count() == 0
+    docs.unpersist()
+    assert list(model.limits) == sorted(model.limits, reverse=True) and model.limits[-1] < model.limits[0] < 1
+
+
+def test_short_clean_texts_stay_after_the_quality_rules(spark):
+    kept = line_frequency.keep_good(read(spark, LARGE))
+    model = langid.fit(kept)
+    assert langid.keep_known(kept, model).count() == kept.count()
 
 
 def test_stages_keep_columns_named_like_their_own(spark, odd):
