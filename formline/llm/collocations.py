@@ -106,20 +106,25 @@ def grams_of(chunk: ch.Chunk, longest: int) -> Grams:
     salts = {lang: zlib.crc32(lang.encode()) for lang in set(chunk.carried[0])}
     salt = _mixed(np.array([salts[lang] for lang in chunk.carried[0]], np.uint64) + np.uint64(1))[owner]
     prefix = ch.prefix_polynomial(keys)
-    prints, first, size = [], [], []
-    for n in range(1, longest + 1):
-        if len(keys) < n:
-            break
-        whole = np.flatnonzero(piece[n - 1 :] == piece[: len(piece) - n + 1]).astype(np.int32)
-        prints.append(_mixed(_mixed(ch.window_hashes(prefix, n)[whole] + np.uint64(n)) ^ salt[whole]))
-        first.append(whole)
-        size.append(np.full(len(whole), n, np.int8))
-    joined = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((prints, np.uint64), (first, np.int32), (size, np.int8)))
-    return Grams(*joined, data, begin, end, owner, keys)
+    whole = [np.flatnonzero(piece[n - 1 :] == piece[: max(len(piece) - n + 1, 0)]).astype(np.int32) for n in range(1, longest + 1)]
+    total = sum(map(len, whole))
+    # Filled in place: these arrays are the largest of a task.
+    prints, first, size = np.empty(total, np.uint64), np.empty(total, np.int32), np.empty(total, np.int8)
+    at = 0
+    for n, rows in enumerate(whole, 1):
+        own = slice(at, at := at + len(rows))
+        if len(rows):
+            prints[own] = _mixed(_mixed(ch.window_hashes(prefix, n)[rows] + np.uint64(n)) ^ salt[rows])
+        first[own], size[own] = rows, n
+    return Grams(prints, first, size, data, begin, end, owner, keys)
 
 
 def ask_counts(chunk: ch.Chunk, bits: int, longest: int) -> Iterator[tuple[int, bytes]]:
-    distinct, counts = np.unique(grams_of(chunk, longest).prints, return_counts=True)
+    prints = grams_of(chunk, longest).prints
+    prints.sort()
+    first = np.flatnonzero(np.concatenate(([True], prints[1:] != prints[:-1]))) if len(prints) else np.zeros(0, np.int64)
+    distinct, counts = prints[first], np.diff(first, append=len(prints))
+    del prints
     rest = ((distinct << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
     counts = counts.astype(np.uint32)
     for bucket, at in by_bucket(distinct, bits):
@@ -175,6 +180,7 @@ def ask_phrases(chunk: ch.Chunk, bits: int, longest: int) -> Iterator[tuple[int,
     if not chunk.replies[0]:
         return
     keys, rows, model, counts = often_rows(chunk, grams)
+    grams.prints = keys[:0]  # no longer needed
     numbers = np.append(word_numbers(grams), np.zeros(longest, np.int64))
     langs_of = {lang: i for i, lang in enumerate(words)}
     spoken = np.array([langs_of[lang] for lang in langs], np.int64)[grams.owner]
@@ -210,12 +216,14 @@ def _listed(phrases: list[bytes], times: list[int]) -> bytes:
 
 def often_rows(chunk: ch.Chunk, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The fingerprints that may reach the limit, sorted; their n-grams, one of each, and how many there are."""
-    order = np.argsort(grams.prints)
+    order = np.argsort(grams.prints).astype(np.int32)
     ranked = grams.prints[order]
     first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
     size = np.diff(first, append=len(order))
     often = np.concatenate([np.frombuffer(ch.plain(blob), np.uint8) for _, blob in sorted(chunk.replies[0].items())]) == 1
-    return ranked[first[often]], order[np.repeat(often, size)], order[first[often]], size[often]
+    keys, model = ranked[first[often]], order[first[often]]
+    del ranked
+    return keys, order[np.repeat(often, size)], model, size[often]
 
 
 def phrase_counts(
