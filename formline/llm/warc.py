@@ -9,7 +9,8 @@ binary-searches the file's directory, and then reads only the blocks and records
 
 Files lie below a folder that all executors reach and are opened through ``pyarrow.fs``. A task writes files
 under names of its own and reports them in its rows; a retried task writes new files, and only those named
-in the stored captures are ever read. Payloads are shuffled once, by page id; the index moves keys only.
+in the stored captures are ever read. Repeats are found on stored (page id, digest) rows; payloads are shuffled
+once, by page id and digest, and those below ``MIN_DEDUP_BYTES`` not at all by content. The index moves keys only.
 
 Defined results: a null html is an empty payload, a null url an empty key; equal page ids are one capture per
 row; an empty table gives an empty index; columns other than id, url and html are ignored.
@@ -59,20 +60,30 @@ def url_key(url: str | None) -> str:
 
 
 def dedup_plan(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Pages with digest, record type and the page they refer to; the smallest id per payload is combined before the shuffle."""
+    """Pages with digest and the page they refer to.
+
+    The smallest id per digest is combined before the shuffle and joined to ids and digests only, so a payload that very
+    many pages share moves as short rows. Payloads meet the revisits (unique by id and digest) on the page id.
+    """
     payload = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), payload.alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
-    first = (
-        rows.where(F.length("payload") >= MIN_DEDUP_BYTES)
-        .groupBy(F.col("digest").alias("_digest"))
-        .agg(F.min("page_id").alias("_first"))
+    large = store(
+        rows.where(F.col("page_id").isNotNull() & (F.length("payload") >= MIN_DEDUP_BYTES)).select(
+            F.col("page_id").alias("_page"), F.unhex("digest").alias("_digest")
+        ),
+        "digests",
     )
-    refers = F.when(F.col("_first") < F.col("page_id"), F.col("_first"))
-    return rows.join(first, F.col("digest") == F.col("_digest"), "left").select(
-        "page_id", "url", "payload", "digest", refers.alias("refers_to")
+    first = large.groupBy(F.col("_digest").alias("_same")).agg(F.min("_page").alias("_first"))
+    revisits = (
+        large.join(first, (F.col("_digest") == F.col("_same")) & (F.col("_first") < F.col("_page")))
+        .select("_page", "_digest", F.col("_first").alias("refers_to"))
+        .distinct()
     )
+    return rows.join(
+        revisits, (F.col("page_id") == F.col("_page")) & (F.unhex("digest") == F.col("_digest")), "left"
+    ).select("page_id", "url", "payload", "digest", "refers_to")
 
 
 def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:

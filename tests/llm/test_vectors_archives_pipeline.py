@@ -92,6 +92,16 @@ def test_archives_round_trip(spark, pages, monkeypatch):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
 
+def test_archives_of_repeated_ids_and_payloads(spark):
+    body, other = "<p>" + "same " * 40, "<p>" + "else " * 40
+    rows = [(3, "u", body)] * 3 + [(2, "u", body), (2, "v", other), (3, "u", other), (None, "u", body), (None, "w", None), (4, None, "tiny")] * 2
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1)).withColumn("_page", F.lit(1))
+    found = sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(spark, frame).collect())
+    want = [("3", 203, "revisit", 2)] * 5 + [("3", 203, "revisit", 2)] * 2 + [("2", 203, "response", None)] * 4
+    want = want[2:] + [("None", 203, "response", None)] * 2 + [("None", 0, "response", None)] * 2 + [("4", 4, "response", None)] * 2
+    assert found == sorted(want)
+
+
 def test_vectors_of_extreme_size_keep_their_links(spark):
     rows = [(0, [3e38, 2.9e38, 1e38], 1), (1, [3e-38, 2.9e-38, 1e-38], 1), (2, [3.0, 2.9, 1.0], 1), (3, [0.0, 1.0, 0.0], 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
