@@ -9,7 +9,8 @@ of its lines' marginals of "good" from the forward-backward recursion, weighted
 
 Defined results: a text that is null or has no word scores 0; ties do not arise; repeated rows score alike;
 without both labels in training all other texts score the only label's value (1 if there is none); an empty
-table gives an empty result; columns other than id and text are ignored.
+table gives an empty result; columns other than id and text are ignored. Two labels of one id resolve to the
+larger; of several texts with one id the fit takes the one with the smallest hash. Very long texts are one chain.
 """
 
 from __future__ import annotations
@@ -170,8 +171,14 @@ def fit(
     share = F.when(F.col("_label") == 1, sample / 2 / counts[1]).otherwise(sample / 2 / counts[0])
     picked = known.where(unit < share)
     bodies = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_own"), F.col(text).alias("_text"))
-    # About ``sample`` keys are broadcast, so no text is shuffled.
-    chosen = bodies.join(F.broadcast(picked), F.col("_own") == F.col("_key")).select("_label", "_text")
+    # About ``sample`` keys are broadcast. A key gives one text, however many rows have it, so the sample stays bounded.
+    one = F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text"))
+    chosen = (
+        bodies.join(F.broadcast(picked), F.col("_own") == F.col("_key"))
+        .groupBy("_key", "_label")
+        .agg(one.alias("_one"))
+        .select("_label", F.col("_one._text").alias("_text"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _kinds()
