@@ -8,11 +8,12 @@ which is 1 for a verbatim passage of WINDOW + STRIDE words and above 0.99 from s
 verified exactly: the share of the template's different shingles that the whole document holds must reach
 ``threshold``.
 
-Templates travel with the tasks in slices of about ``TEMPLATES`` templates of at most ``TEMPLATE_WORDS`` words;
-more templates are scanned slice by slice, longer ones are refused. Documents are never shuffled.
+Templates travel with the tasks in slices of about ``SLICE_WORDS`` words, dealt by a hash; a template of more
+than ``TEMPLATE_WORDS`` words is a slice of its own, so what a task holds is bounded by the slice or by one
+template. Slices are scanned one by one. Documents are never shuffled.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; null and empty texts match nothing; templates
-of fewer than five words are one shingle; repeated rows are scanned each; templates with equal ids are
+of fewer than five words are one shingle; very long templates and texts are compared whole; repeated rows are scanned each; templates with equal ids are
 refused; ties do not arise; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -34,7 +35,7 @@ STRIDE = 4
 ROWS = 2
 BANDS = 12
 THRESHOLD = 0.8
-TEMPLATES = 2000
+SLICE_WORDS = 1_000_000
 TEMPLATE_WORDS = 20_000
 
 # Short public license notices, and the whole license texts of the folder ``licenses`` by file name.
@@ -186,20 +187,27 @@ def scan(
     template_id: str = "template_id",
     template_text: str = "text",
     threshold: float = THRESHOLD,
+    slice_words: int = SLICE_WORDS,
+    template_words: int = TEMPLATE_WORDS,
 ) -> DataFrame:
     """``doc_id, template_id, containment, n_windows`` of every verified match."""
     rows = templates.select(F.col(template_id).cast("string").alias("_id"), F.coalesce(F.col(template_text), F.lit("")).alias("_text"))
     if rows.groupBy("_id").count().where("count > 1").limit(1).count():
         raise ValueError("template ids must be unique")
-    parts = -(-rows.count() // TEMPLATES)
-    cut = rows.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(max(2 * parts - 1, 1))))
+    sized = rows.withColumn("_words", F.size(F.split("_text", r"[\x20\x09-\x0D]+")))
+    short = sized.where(F.col("_words") <= template_words)
+    total = short.agg(F.coalesce(F.sum("_words"), F.lit(0)).alias("n")).first()["n"]
+    parts = max(2 * -(-total // slice_words) - 1, 1)
+    dealt = short.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(parts)))
+    cuts = [dealt.where(F.col("_part") == part) for part in range(parts)]
+    # One id per further pass over the documents.
+    alone = [r["_id"] for r in sized.where(F.col("_words") > template_words).select("_id").orderBy("_id").collect()]
+    cuts += [sized.where(F.col("_id").eqNullSafe(name)) for name in alone]
     kind = docs.schema[doc_id].dataType.simpleString()
     bodies = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
 
-    def scanned(part: int) -> DataFrame:
-        chosen = sorted((r["_id"], r["_text"]) for r in cut.where(F.col("_part") == part).collect())
-        if any(len(t.split()) > TEMPLATE_WORDS for _, t in chosen):
-            raise ValueError(f"a template has more than {TEMPLATE_WORDS} words")
+    def scanned(cut: DataFrame) -> DataFrame:
+        chosen = sorted(((r["_id"], r["_text"]) for r in cut.select("_id", "_text").collect()), key=lambda t: (t[0] is not None, t))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             retriever = Retriever(chosen)
@@ -218,5 +226,5 @@ def scan(
 
         return bodies.mapInArrow(run, f"_id {kind}, template_id string, containment double, n_windows bigint")
 
-    found = reduce(DataFrame.unionByName, [scanned(k) for k in range(max(2 * parts - 1, 1))])
+    found = reduce(DataFrame.unionByName, [scanned(cut) for cut in cuts])
     return found.withColumnRenamed("_id", doc_id)

@@ -91,6 +91,16 @@ def test_crf_odd_input(spark, odd):
     assert crf.fit(odd, labels.limit(0)) == 1.0 and crf.fit(odd, labels.where("quality = 0")) == 0.0
 
 
+def test_crf_sample_holds_one_text_per_id(spark, odd, monkeypatch):
+    labels = spark.createDataFrame([(4, 1), (8, 0)], "doc_id long, quality int")
+    seen = []
+    fit_field = crf.fit_field
+    monkeypatch.setattr(crf, "fit_field", lambda *a: seen.append(len(a[2]) - 1) or fit_field(*a))
+    once = odd.dropDuplicates(["doc_id"])
+    many = odd.unionAll(odd.crossJoin(spark.range(50).select()))
+    assert np.allclose(crf.fit(many, labels).weights, crf.fit(once, labels).weights) and seen == [2, 2]
+
+
 # Packing
 
 
@@ -351,6 +361,22 @@ def test_license_scan_finds_all_planted_lines(spark):
     assert {i for i, name in found if name == "all-rights-reserved"} == {r.doc_id for r in rows if key in short(r.text, 3)}
 
 
+def test_license_scan_of_slices_and_long_templates(spark, odd):
+    words = [f"w{i}" for i in range(900)]
+    long = [" ".join(words[a : a + 400]) for a in (0, 250, 500)]
+    templates = spark.createDataFrame(
+        [(f"t{i}", t) for i, t in enumerate(long)] + [("mit", "Released under the MIT License."), (None, LONG), ("none", None)],
+        "template_id string, text string",
+    )
+    docs = odd.select("doc_id", "text").unionAll(
+        spark.createDataFrame([(20, " ".join(words[:700])), (21, "x " + " ".join(words[480:])), (22, " ".join(words[:380]))], "doc_id long, text string")
+    )
+    whole = sorted(map(tuple, license_scan.scan(docs, templates, template_words=10**6).collect()), key=str)
+    assert [(r[0], r[1]) for r in whole] == [(20, "t0"), (20, "t1"), (21, "t2"), (22, "t0"), (5, None), (8, "mit")]
+    for limits in ({}, {"template_words": 300}, {"slice_words": 450}, {"slice_words": 1000, "template_words": 10}):
+        assert sorted(map(tuple, license_scan.scan(docs, templates, **limits).collect()), key=str) == whole
+
+
 def test_whole_license_texts_are_templates(spark):
     texts = {name: text for name, text in license_scan.NOTICES.items() if name.endswith("-text")}
     assert len(texts) >= 8
