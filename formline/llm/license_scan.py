@@ -87,19 +87,33 @@ def _text_keys(text: str) -> np.ndarray:
 _NOISE = np.random.default_rng(3).integers(1, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def band_keys(marks: np.ndarray, begin: np.ndarray, end: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """Bands of the windows [begin, end) of shingles: windows x bands."""
-    out = np.empty((len(begin), bands), np.uint64)
-    if not len(begin):
-        return out
-    ends = np.stack([begin, end], 1).ravel()
+def band_keys(marks: np.ndarray, spans: list[tuple[np.ndarray, np.ndarray, int]]) -> list[np.ndarray]:
+    """Per span (begin, end, number of bands) of windows over the shingles ``marks`` their bands: windows x bands.
+
+    A window's smallest value is that of the two runs of 2^k shingles that cover it; runs are doubled once for all spans.
+    """
+    out = [np.empty((len(begin), bands), np.uint64) for begin, _, bands in spans]
+    covers = []
+    for begin, end, _ in spans:
+        power = np.frexp(end - begin)[1] - 1
+        covers.append([(k, np.flatnonzero(power == k)) for k in np.unique(power).tolist()])
+    deepest = max((k for cover in covers for k, _ in cover), default=0)
     with np.errstate(over="ignore"):
-        for band in range(bands):
-            key = np.full(len(begin), band, np.uint64)
+        for band in range(max((bands for *_, bands in spans), default=0)):
+            keys = [np.full(len(begin), band, np.uint64) for begin, _, _ in spans]
             for row in range(ROWS):
-                values = np.append(_mixed(marks * _NOISE[band * ROWS + row]), np.uint64(0))
-                key = key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(values, ends)[::2]
-            out[:, band] = _mixed(key)
+                least = [_mixed(marks * _NOISE[band * ROWS + row])]
+                for k in range(deepest):
+                    least.append(np.minimum(least[k][: -(1 << k)], least[k][1 << k :]))
+                for key, cover, (begin, end, bands) in zip(keys, covers, spans):
+                    if band < bands:
+                        key *= np.uint64(0x9E3779B97F4A7C15)
+                        for k, at in cover:
+                            at = slice(None) if len(at) == len(key) else at
+                            key[at] += np.minimum(least[k][begin[at]], least[k][end[at] - (1 << k)])
+            for found, key, (*_, bands) in zip(out, keys, spans):
+                if band < bands:
+                    found[:, band] = _mixed(key)
     return out
 
 
@@ -136,7 +150,7 @@ class Retriever:
             if len(own):
                 words, size = min(len(own), WINDOW), self.sizes[at]
                 begin, end, _ = windows(np.array([len(own)]), np.array([0]), words, size, 1)
-                bands = np.unique(band_keys(shingles(own), begin, end, _bands(words)))
+                bands = np.unique(band_keys(shingles(own), [(begin, end, _bands(words))])[0])
                 found.setdefault(words, []).append((bands, np.full(len(bands), at)))
         self.tables = {}
         for words, parts in found.items():
@@ -154,10 +168,14 @@ class Retriever:
         counts, first = np.diff(first), first[:-1]
         hits: dict[tuple[int, int], set[int]] = {}
         marks = {size: _runs(keys, size) for size in {min(words, SHINGLE) for words in self.tables}}
+        asked_of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size, runs in marks.items():
+            lengths = [words for words in self.tables if min(words, SHINGLE) == size]
+            cut = [windows(counts, first, words, size, STRIDE if words == WINDOW else 1) for words in lengths]
+            bands = band_keys(runs, [(begin, end, _bands(words)) for words, (begin, end, _) in zip(lengths, cut)])
+            asked_of |= {words: (own, owner) for words, own, (*_, owner) in zip(lengths, bands, cut)}
         for words, (bands, owners, near) in self.tables.items():
-            size = min(words, SHINGLE)
-            begin, end, owner = windows(counts, first, words, size, STRIDE if words == WINDOW else 1)
-            own = band_keys(marks[size], begin, end, _bands(words))
+            own, owner = asked_of[words]
             window, band = np.nonzero(near[own >> np.uint64(42)])
             asked = own[window, band]
             low, high = np.searchsorted(bands, asked, "left"), np.searchsorted(bands, asked, "right")
