@@ -6,12 +6,16 @@ normal number of that width. Two vectors collide on a direction if their project
 ``needed`` is the largest count that a pair exactly at the threshold reaches with probability ``RECALL``.
 Candidates are verified by their cosine in double precision.
 
-Equal vectors of a label are one entry. The entries of a label are sorted by their first projection and cut
-into blocks of at most ``BLOCK``; two blocks meet in one task, where every query opens its window in each of
-the sorted projections and the entries inside are counted. A task's work is bounded by two blocks. Blocks
-whose first projections cannot be closer than the width that any pair at the threshold stays within (but for
-a chance below 1e-9) never meet. Tasks return link counts and a spanning forest of the links they found,
-never all pairs.
+Equal vectors of a label are one entry. Which entries are compared is decided by cells: a table cuts several
+further projections into intervals of width ``CELL`` at random offsets, and entries of a label in the same
+intervals share a cell. A pair at the threshold shares a cell of a table with at least a known probability, so
+as many tables are made as let it miss all of them with probability ``CELL_MISS`` or less. The number of
+projections in a table grows with the logarithm of the largest label, so that a cell of unrelated vectors stays
+within a block; the tables grow with about the eighth root of it. Nothing is dropped: a cell of any size is cut into blocks of at
+most ``block`` entries, each block meets itself and every other one of its cell, and a meeting is one group. In
+it every query opens its window in each of the sorted projections and the entries inside are counted. A pair
+that shares cells of several tables counts in the first of them only. Meetings return link counts and a spanning
+forest of the links they found, never all pairs.
 
 Defined results: a null vector, an empty or zero one, one with null or non-finite entries, and any vector with
 a null label link with nothing; vectors of different length do not link; equal ids are one vector per row;
@@ -31,8 +35,11 @@ from formline.session import store
 
 THRESHOLD = 0.98
 DIRECTIONS = 48
-WINDOW = 0.08
+WINDOW = 0.2
 RECALL = 0.9995
+CELL = 1.5
+CELL_MISS = 1e-4
+SHARED = 0.4  # about the chance that unrelated unit vectors share an interval of width CELL
 BLOCK = 1024
 SEED = 5
 
@@ -57,6 +64,30 @@ def directions(size: int, count: int = DIRECTIONS) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((size, count))
 
 
+def cell_plan(entries: int, threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[int, int]:
+    """Projections per table and tables for a largest label of so many entries; (0, 1) is one cell for all."""
+    # E max(0, 1 - |x| / CELL) for a normal x of the pair's width, from below.
+    kept = 1.0 - math.sqrt(max(2.0 - 2.0 * threshold, 0.0)) * math.sqrt(2.0 / math.pi) / CELL
+    width = max(0, math.ceil(math.log(max(4.0 * entries / block, 1.0)) / -math.log(SHARED)))
+    if width == 0 or kept <= SHARED:  # where links are as far apart as unrelated vectors, cells cannot tell them
+        return 0, 1
+    return width, max(1, math.ceil(math.log(CELL_MISS) / math.log1p(-min(kept**width, 1 - 1e-12))))
+
+
+def cells(units: np.ndarray, width: int, tables: int) -> np.ndarray:
+    """The cell of each unit row in each table: rows x tables."""
+    random = np.random.default_rng(SEED + 1)
+    offsets = random.uniform(0, CELL, tables * width)
+    lines = random.standard_normal((units.shape[1], tables * width))
+    steps = np.floor((units @ lines + offsets) / CELL).astype(np.int64).reshape(len(units), tables, width)
+    out = np.zeros((len(units), tables), np.int64)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            out = (out + steps[:, :, k]) * np.int64(0x5851F42D4C957F2D)
+            out ^= out >> np.int64(29)
+    return out
+
+
 def _usable(vector: Column, label: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     some = F.exists(vector, lambda x: x != 0)
@@ -70,9 +101,9 @@ def collisions(own: np.ndarray, other: np.ndarray, needed: int) -> tuple[np.ndar
         order = np.argsort(other[:, j], kind="stable")
         line = other[order, j]
         low = np.searchsorted(line, own[:, j] - WINDOW, "left")
-        high = np.searchsorted(line, own[:, j] + WINDOW, "right")
-        for i in np.flatnonzero(high > low):
-            counts[i, order[low[i] : high[i]]] += 1
+        inside = np.searchsorted(line, own[:, j] + WINDOW, "right") - low
+        place = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside - low, inside)
+        counts[np.repeat(np.arange(len(own)), inside), order[place]] += 1
     return np.nonzero(counts >= needed)
 
 
@@ -100,16 +131,15 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
     return kept
 
 
-def _meet(threshold: float, needed: int, ids: list, matrices: list, same: bool):
-    """Links between two blocks: row numbers and the verified pairs."""
-    own, other = matrices
+def _meet(threshold: float, needed: int, own: np.ndarray, other: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the verified pairs between two blocks of vectors."""
     own, other = unit_rows(own), unit_rows(other)
     lines = directions(own.shape[1])
     a, b = collisions(own @ lines, other @ lines, needed)
     if same:
         a, b = a[a < b], b[a < b]
-    close = np.einsum("ij,ij->i", own[a], other[b]) >= threshold if len(a) else np.zeros(0, bool)
-    return ids[0][a[close]], ids[1][b[close]]
+    close = np.einsum("ij,ij->i", own[a], other[b]) >= threshold
+    return a[close], b[close]
 
 
 def near_vectors(
@@ -131,8 +161,11 @@ def near_vectors(
         .groupBy("_label", "_vector")
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
     )
-    numbered = store(_sorted_blocks(entries, block), "vectors")
-    links = store(_linked(numbered, threshold, needed), "vector-links")
+    entries = store(entries.withColumn("_size", F.size("_vector")), "vector-entries")
+    largest = entries.groupBy("_label").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).first()["n"]
+    width, tables = cell_plan(largest, threshold, block)
+    numbered = store(_in_cells(entries, width, tables), "vectors")
+    links = store(_linked(numbered, threshold, needed, block), "vector-links")
     counts = links.where(F.col("n") > 0).groupBy(F.col("a").alias("_entry")).agg(F.sum("n").alias("_n"))
     # A node is named by its smallest id and its number, so a component's smallest node holds its smallest id; the
     # vectors stay out of the way until the end.
@@ -171,64 +204,63 @@ def near_vectors(
     )
 
 
-def _sorted_blocks(entries: DataFrame, block: int) -> DataFrame:
-    """Entries with a number ``_entry``, their first projection ``_line`` and a block of their label."""
+def _in_cells(entries: DataFrame, width: int, tables: int) -> DataFrame:
+    """Entries with a number ``_entry`` and their cell in every table, ``_cells``."""
 
-    def project(batches):
+    def place(batches):
         for pdf in batches:
-            lines = {}
-            values = []
-            for v in pdf["_vector"]:
-                v = np.asarray(v, float)
-                line = lines.setdefault(len(v), directions(len(v))[:, 0])
-                values.append(float(unit_rows(v[None])[0] @ line))
-            yield pdf.assign(_line=values)
-
-    kind = entries.schema
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kind) + ", _line double"
-    projected = entries.mapInPandas(project, schema).withColumn("_size", F.size("_vector"))
-    order = ["_label", "_size", "_line", "_first"]
+            for size, part in pdf.groupby("_size", sort=False):
+                found = cells(unit_rows(np.stack(part["_vector"].to_numpy()).astype(float)), width, tables)
+                yield part.assign(_cells=list(found))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema) + ", _cells array<bigint>"
+    return entries.mapInPandas(place, schema).withColumn("_entry", F.monotonically_increasing_id())
+
+
+def _linked(numbered: DataFrame, threshold: float, needed: int, block: int) -> DataFrame:
+    """Link counts (``a``, ``n``) and forest links (``a``, ``b``) from every two blocks of a cell."""
+    cell = ["_label", "_size", "_table", "_cell"]
+    placed = numbered.select("_entry", "_label", "_size", F.posexplode("_cells").alias("_table", "_cell"))
+    order = [*cell, "_entry"]
     ranged = store(
-        projected.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_entry", F.monotonically_increasing_id()),
-        "vector-lines",
+        placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()),
+        "vector-cells",
     )
-    # A block is a run of at most ``block`` neighbours inside one label, size and sorted partition.
-    part, row = F.shiftright("_entry", 33), F.col("_entry").bitwiseAND(F.lit((1 << 33) - 1))
-    return ranged.withColumn("_block", F.shiftleft(part, 33) + F.floor(row / block))
-
-
-def _linked(numbered: DataFrame, threshold: float, needed: int) -> DataFrame:
-    """Link counts (``a``, ``n``) and forest links (``a``, ``b``) from every pair of blocks that can hold links."""
-    reach = 6.2 * math.sqrt(max(2.0 - 2.0 * threshold, 0.0))  # a normal number beyond 6.2 has chance below 1e-9
-    extent = numbered.groupBy("_label", "_size", "_block").agg(F.min("_line").alias("lo"), F.max("_line").alias("hi"))
-    left = extent.select("_label", "_size", F.col("_block").alias("x"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
-    right = extent.select("_label", "_size", F.col("_block").alias("y"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    meeting = (
-        left.join(right, ["_label", "_size"])
-        .where((F.col("x") <= F.col("y")) & (F.col("lo2") <= F.col("hi1") + reach) & (F.col("lo1") <= F.col("hi2") + reach))
-        .select(F.xxhash64("_label", "_size", "x", "y").alias("_task"), "_label", "_size", "x", "y")
+    # A block is what a run of ``block`` neighbours in a sorted partition has of one cell.
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    seats = ranged.withColumn("_block", F.shiftleft(part, 33) + F.floor(row / block))
+    blocks = store(seats.groupBy(*cell, "_block").agg(F.count(F.lit(1)).alias("_held")), "vector-blocks")
+    one, two = blocks.withColumnRenamed("_block", "x"), blocks.select(*cell, F.col("_block").alias("y"))
+    meeting = one.join(two, cell).where((F.col("x") < F.col("y")) | ((F.col("x") == F.col("y")) & (F.col("_held") > 1)))
+    sides = F.array(F.struct(F.col("x").alias("_block"), F.lit(0).alias("_side")), F.struct(F.col("y").alias("_block"), F.lit(1).alias("_side")))
+    asked = meeting.select(
+        *cell,
+        F.struct(F.xxhash64(*cell, "x", "y"), F.hash("y", "x", *cell)).alias("_task"),
+        F.inline(F.when(F.col("x") == F.col("y"), F.slice(sides, 1, 1)).otherwise(sides)),
     )
-    packed = numbered.select("_label", "_size", "_block", F.struct("_entry", "_copies", "_vector").alias("_e")).groupBy(
-        "_label", "_size", "_block"
-    ).agg(F.collect_list("_e").alias("_rows"))  # at most one block
-    side = lambda name, rows: packed.select(
-        "_label", "_size", F.col("_block").alias(name), F.col("_rows").alias(rows)
+    # Only numbers move until here; a vector then goes to the meetings of its blocks.
+    members = (
+        seats.join(asked, [*cell, "_block"])
+        .select("_entry", "_task", "_table", "_side")
+        .join(numbered.select("_entry", "_copies", "_vector", "_cells"), "_entry")
     )
-    tasks = meeting.join(side("x", "_xs"), ["_label", "_size", "x"]).join(side("y", "_ys"), ["_label", "_size", "y"])
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for x, y, xs, ys in zip(part["x"], part["y"], part["_xs"], part["_ys"]):
-            sides = [list(xs), list(ys)]
-            ids = [np.array([e["_entry"] for e in s], np.int64) for s in sides]
-            copies = {e["_entry"]: int(e["_copies"]) for s in sides for e in s}
-            a, b = _meet(threshold, needed, ids, [np.array([e["_vector"] for e in s], float) for s in sides], x == y)
-            other = [copies[i] for i in np.concatenate([b, a]).tolist()]
-            ends = pd.DataFrame({"a": np.concatenate([a, b]), "n": other}).groupby("a", as_index=False)["n"].sum()
-            kept = _forest(a, b)
-            found += [ends, pd.DataFrame({"a": a[kept], "n": 0, "b": b[kept]})]
-        out = pd.concat([f.reindex(columns=["a", "n", "b"]).astype("Int64") for f in found], ignore_index=True)
-        return out
-
-    # One meeting of two blocks is one group, so what a task holds at a time is bounded.
-    return tasks.groupBy("_task").applyInPandas(run, "a bigint, n bigint, b bigint")
+        table = int(part["_table"].iloc[0])
+        sides = [part[part["_side"] == 0], part[part["_side"] == 1]]
+        same = sides[1].empty
+        if same:
+            sides[1] = sides[0]
+        ids, copies = ([p[c].to_numpy(np.int64) for p in sides] for c in ("_entry", "_copies"))
+        a, b = _meet(threshold, needed, *[np.stack(p["_vector"].to_numpy()).astype(float) for p in sides], same)
+        earlier = [np.stack(p["_cells"].to_numpy())[:, :table] for p in sides]
+        new = ~(earlier[0][a] == earlier[1][b]).any(axis=1)
+        a, b = a[new], b[new]
+        ends = np.concatenate([ids[0][a], ids[1][b]])
+        counts = pd.DataFrame({"a": ends, "n": np.concatenate([copies[1][b], copies[0][a]])}).groupby("a", as_index=False)["n"].sum()
+        a, b = ids[0][a], ids[1][b]
+        kept = _forest(a, b)
+        found = [counts, pd.DataFrame({"a": a[kept], "n": 0, "b": b[kept]})]
+        return pd.concat([f.reindex(columns=["a", "n", "b"]).astype("Int64") for f in found], ignore_index=True)
+
+    return members.groupBy("_task").applyInPandas(run, "a bigint, n bigint, b bigint")

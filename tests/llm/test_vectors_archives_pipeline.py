@@ -70,6 +70,23 @@ def test_needed_collisions_keep_the_recall():
     assert needed > 1 and ((gaps <= projections.WINDOW).sum(1) >= needed).mean() > 0.998
 
 
+def test_cells_miss_hardly_any_link():
+    random = np.random.default_rng(2)
+    for entries in (2_000, 20_000, 10**7):
+        width, tables = projections.cell_plan(entries)
+        own = projections.unit_rows(random.normal(size=(4_000, 32)))
+        away = random.normal(size=own.shape)
+        away = projections.unit_rows(away - (away * own).sum(1, keepdims=True) * own)
+        other = 0.98 * own + np.sqrt(1 - 0.98**2) * away
+        first, second = projections.cells(own, width, tables), projections.cells(other, width, tables)
+        assert (first == second).any(1).mean() > 0.999
+        # Unrelated vectors share cells far less often than all of them would.
+        assert (first == first[random.permutation(len(first))]).mean() < 2 * projections.SHARED**width + 0.002
+    assert projections.cell_plan(100) == projections.cell_plan(0) == (0, 1) and projections.cell_plan(10**6, -0.5) == (0, 1)
+    plans = [projections.cell_plan(10**e) for e in (4, 6, 8)]
+    assert plans[2][0] <= plans[0][0] + 11 and plans[2][1] < 10 * plans[0][1]
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     body = "<p>" + "same " * 40 + "</p>"
