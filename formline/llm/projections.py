@@ -12,8 +12,8 @@ intervals share a cell. A pair at the threshold shares a cell of a table with at
 as many tables are made as let it miss all of them with probability ``CELL_MISS`` or less. The number of
 projections in a table grows with the logarithm of the largest label, so that a cell of unrelated vectors stays
 within a block; the tables grow with about the eighth root of it. Nothing is dropped: a cell of any size is cut into blocks of at
-most ``block`` entries, each block meets itself and every other one of its cell, and a meeting is one group. In
-it every query opens its window in each of the sorted projections and the entries inside are counted. A pair
+most ``block`` entries, each block meets itself and every other one of its cell. A meeting of two blocks is one group,
+and so are the blocks of small neighbouring cells, up to ``block`` entries in all. In a meeting every query opens its window in each of the sorted projections and the entries inside are counted. A pair
 that shares cells of several tables counts in the first of them only. Meetings return link counts and a spanning
 forest of the links they found, never all pairs.
 
@@ -96,15 +96,20 @@ def _usable(vector: Column, label: Column) -> Column:
 
 def collisions(own: np.ndarray, other: np.ndarray, needed: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs (row of ``own``, row of ``other``): projections that collide at least ``needed`` times."""
-    counts = np.zeros((len(own), len(other)), np.uint8)
-    for j in range(own.shape[1]):
-        order = np.argsort(other[:, j], kind="stable")
-        line = other[order, j]
-        low = np.searchsorted(line, own[:, j] - WINDOW, "left")
-        inside = np.searchsorted(line, own[:, j] + WINDOW, "right") - low
+    counts = np.zeros(len(own) * len(other), np.int64)
+    step = 4.0 * max(np.abs(own).max(initial=0), np.abs(other).max(initial=0)) + 1.0
+    for j in range(0, own.shape[1], 12):  # a dozen projections side by side on one line, far apart
+        mine, others = own[:, j : j + 12], other[:, j : j + 12]
+        shift = step * np.arange(mine.shape[1])
+        order = np.argsort(others, axis=0, kind="stable")
+        line = (np.take_along_axis(others, order, 0) + shift).T.ravel()
+        asked = (mine + shift).T.ravel()
+        low = np.searchsorted(line, asked - WINDOW, "left")
+        inside = np.searchsorted(line, asked + WINDOW, "right") - low
         place = np.arange(inside.sum()) - np.repeat(np.cumsum(inside) - inside - low, inside)
-        counts[np.repeat(np.arange(len(own)), inside), order[place]] += 1
-    return np.nonzero(counts >= needed)
+        row = np.repeat(np.tile(np.arange(len(own)), mine.shape[1]), inside)
+        counts += np.bincount(row * len(other) + order.T.ravel()[place], minlength=len(counts))
+    return np.divmod(np.flatnonzero(counts >= needed), max(len(other), 1))
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -233,19 +238,24 @@ def _linked(numbered: DataFrame, threshold: float, needed: int, block: int) -> D
     one, two = blocks.withColumnRenamed("_block", "x"), blocks.select(*cell, F.col("_block").alias("y"))
     meeting = one.join(two, cell).where((F.col("x") < F.col("y")) | ((F.col("x") == F.col("y")) & (F.col("_held") > 1)))
     sides = F.array(F.struct(F.col("x").alias("_block"), F.lit(0).alias("_side")), F.struct(F.col("y").alias("_block"), F.lit(1).alias("_side")))
+    alone = F.col("x") == F.col("y")
     asked = meeting.select(
         *cell,
-        F.struct(F.xxhash64(*cell, "x", "y"), F.hash("y", "x", *cell)).alias("_task"),
-        F.inline(F.when(F.col("x") == F.col("y"), F.slice(sides, 1, 1)).otherwise(sides)),
+        # All cells of one run share a group, as most are small.
+        F.when(alone, F.struct(F.col("x").alias("run"), F.lit(-1).alias("pair")))
+        .otherwise(F.struct(F.xxhash64(*cell, "x", "y").alias("run"), F.hash("y", "x", *cell).alias("pair")))
+        .alias("_task"),
+        F.xxhash64(*cell).alias("_key"),
+        F.inline(F.when(alone, F.slice(sides, 1, 1)).otherwise(sides)),
     )
     # Only numbers move until here; a vector then goes to the meetings of its blocks.
     members = (
         seats.join(asked, [*cell, "_block"])
-        .select("_entry", "_task", "_table", "_side")
+        .select("_entry", "_task", "_table", "_key", "_side")
         .join(numbered.select("_entry", "_copies", "_vector", "_cells"), "_entry")
     )
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def met(part: pd.DataFrame) -> list[pd.DataFrame]:
         table = int(part["_table"].iloc[0])
         sides = [part[part["_side"] == 0], part[part["_side"] == 1]]
         same = sides[1].empty
@@ -253,6 +263,8 @@ def _linked(numbered: DataFrame, threshold: float, needed: int, block: int) -> D
             sides[1] = sides[0]
         ids, copies = ([p[c].to_numpy(np.int64) for p in sides] for c in ("_entry", "_copies"))
         a, b = _meet(threshold, needed, *[np.stack(p["_vector"].to_numpy()).astype(float) for p in sides], same)
+        if not len(a):
+            return []
         earlier = [np.stack(p["_cells"].to_numpy())[:, :table] for p in sides]
         new = ~(earlier[0][a] == earlier[1][b]).any(axis=1)
         a, b = a[new], b[new]
@@ -260,7 +272,11 @@ def _linked(numbered: DataFrame, threshold: float, needed: int, block: int) -> D
         counts = pd.DataFrame({"a": ends, "n": np.concatenate([copies[1][b], copies[0][a]])}).groupby("a", as_index=False)["n"].sum()
         a, b = ids[0][a], ids[1][b]
         kept = _forest(a, b)
-        found = [counts, pd.DataFrame({"a": a[kept], "n": 0, "b": b[kept]})]
+        return [counts, pd.DataFrame({"a": a[kept], "n": 0, "b": b[kept]})]
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "n": [], "b": []})
+        found = [frame for _, one in part.groupby("_key", sort=False) for frame in met(one)] or [none]
         return pd.concat([f.reindex(columns=["a", "n", "b"]).astype("Int64") for f in found], ignore_index=True)
 
     return members.groupBy("_task").applyInPandas(run, "a bigint, n bigint, b bigint")
