@@ -42,55 +42,77 @@ def prepared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def unordered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as games between the customer's and the supplier's nation; a nation does not play itself."""
+def _pairings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the nations that play, as their numbers and with no more than ``games_of`` needs.
+
+    Orders meet their customers before they meet the line items, so the line items are shuffled for their order and
+    their supplier only, and as narrow rows.
+    """
     t = lambda name: table(spark, sf_dir, name)
     home = t("nation").select(F.col("n_nationkey").alias("hk"), F.col("n_name").alias("home"))
     away = t("nation").select(F.col("n_nationkey").alias("ak"), F.col("n_name").alias("away"))
-    qty = F.floor("l_quantity").cast("int")
+    hosts = (
+        t("customer").select("c_custkey", "c_nationkey").join(home, F.col("c_nationkey") == F.col("hk"))
+    ).select("c_custkey", "home")
+    guests = (
+        t("supplier").select("s_suppkey", "s_nationkey").join(away, F.col("s_nationkey") == F.col("ak"))
+    ).select("s_suppkey", "away")
+    ordered = (
+        t("orders").select("o_orderkey", "o_custkey").join(hosts, F.col("o_custkey") == F.col("c_custkey"))
+    ).select("o_orderkey", "home")
+    return (
+        t("lineitem")
+        .select(*MATCH_ORDER, F.floor("l_quantity").cast("int").alias("qty"))
+        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(guests, F.col("l_suppkey") == F.col("s_suppkey"))
+        .where(F.col("home") != F.col("away"))
+        .select(*MATCH_ORDER, "qty", "home", "away")
+    )
+
+
+def _games_of(pairings: DataFrame, *kept: str) -> DataFrame:
+    """The statistics of every pairing: each follows from its own row."""
+    qty = F.col("qty")
     fthg, ftag = F.col("l_linenumber") % 5, qty % 4
     hthg, htag = F.floor(fthg / 2).cast("int"), F.floor(ftag / 2).cast("int")
     result = lambda h, a: F.when(h > a, "H").when(h < a, "A").otherwise("D")
     i = lambda column: column.cast("int")
-    return (
-        t("lineitem")
-        .join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(home, F.col("c_nationkey") == F.col("hk"))
-        .join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(away, F.col("s_nationkey") == F.col("ak"))
-        .where(F.col("home") != F.col("away"))
-        .select(
-            *MATCH_ORDER,
-            F.year("l_shipdate").alias("season"),
-            "home",
-            "away",
-            i(fthg).alias("fthg"),
-            i(ftag).alias("ftag"),
-            result(fthg, ftag).alias("ftr"),
-            hthg.alias("hthg"),
-            htag.alias("htag"),
-            result(hthg, htag).alias("htr"),
-            qty.alias("hs"),
-            i(F.col("l_linenumber") * 3).alias("aws"),
-            i(F.col("l_partkey") % 9).alias("hst"),
-            i(F.col("l_suppkey") % 9).alias("ast"),
-            i(F.col("l_partkey") % 12).alias("hc"),
-            i(F.col("l_suppkey") % 11).alias("ac"),
-            i(F.col("l_orderkey") % 6).alias("hy"),
-            i(F.col("l_partkey") % 5).alias("ay"),
-            i(F.col("l_orderkey") % 2).alias("hr"),
-            i(F.col("l_suppkey") % 2).alias("ar"),
-        )
+    return pairings.select(
+        *kept,
+        F.year("l_shipdate").alias("season"),
+        "home",
+        "away",
+        i(fthg).alias("fthg"),
+        i(ftag).alias("ftag"),
+        result(fthg, ftag).alias("ftr"),
+        hthg.alias("hthg"),
+        htag.alias("htag"),
+        result(hthg, htag).alias("htr"),
+        qty.alias("hs"),
+        i(F.col("l_linenumber") * 3).alias("aws"),
+        i(F.col("l_partkey") % 9).alias("hst"),
+        i(F.col("l_suppkey") % 9).alias("ast"),
+        i(F.col("l_partkey") % 12).alias("hc"),
+        i(F.col("l_suppkey") % 11).alias("ac"),
+        i(F.col("l_orderkey") % 6).alias("hy"),
+        i(F.col("l_partkey") % 5).alias("ay"),
+        i(F.col("l_orderkey") % 2).alias("hr"),
+        i(F.col("l_suppkey") % 2).alias("ar"),
     )
 
 
+def unordered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as games between the customer's and the supplier's nation; a nation does not play itself."""
+    return _games_of(_pairings(spark, sf_dir), *MATCH_ORDER)
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The games with their dense order ``match_id``."""
+    """The games with their dense order ``match_id``; pairings are sorted, and widened to games only when stored."""
 
     def build() -> DataFrame:
-        numbered = assign_sequence(unordered_matches(spark, sf_dir), MATCH_ORDER, "match_id")
-        return numbered.drop(*MATCH_ORDER)
+        numbered = assign_sequence(_pairings(spark, sf_dir), MATCH_ORDER, "match_id")
+        games = _games_of(numbered, "match_id")
+        return games.select(*[c for c in games.columns if c != "match_id"], "match_id")
 
     return prepared(spark, sf_dir, "matches", build)
 

@@ -194,3 +194,24 @@ def test_raw_games_become_complete_inputs(games):
     ready = match_model.raw_match_features(raw.withColumn("referee", F.lit(None).cast("string")))
     assert "referee" not in ready.columns and ready.count() == 400 - 8 - 10
     assert ready.select(*match_model.FEATURES, "ftr_enc").na.drop("any").count() == ready.count()
+
+
+def test_games_are_sorted_as_narrow_rows_and_widened_afterwards(spark, monkeypatch, tmp_path):
+    lines = [(o, n, 10 * o + n, n % 3, float(n + o % 5), f"199{4 + o % 3}-01-0{n}") for o in range(1, 40) for n in range(1, 6)]
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, day string"
+    made = {
+        "lineitem": spark.createDataFrame(lines, schema).withColumn("l_shipdate", F.to_date("day")).drop("day"),
+        "orders": spark.createDataFrame([(o, o % 4) for o in range(1, 40)], "o_orderkey long, o_custkey long"),
+        "customer": spark.createDataFrame([(c, c) for c in range(4)], "c_custkey long, c_nationkey int"),
+        "supplier": spark.createDataFrame([(s, s) for s in range(3)], "s_suppkey long, s_nationkey int"),
+        "nation": spark.createDataFrame([(n, f"N{n}") for n in range(4)], "n_nationkey int, n_name string"),
+    }
+    for name, df in made.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    widths, number = [], fixtures.assign_sequence
+    monkeypatch.setattr(fixtures, "assign_sequence", lambda df, *a: widths.append(len(df.columns)) or number(df, *a))
+    got = fixtures.matches(spark, str(tmp_path)).orderBy("match_id")
+    assert widths == [len(fixtures.MATCH_ORDER) + 3]
+    want = fixtures.unordered_matches(spark, str(tmp_path)).orderBy(*fixtures.MATCH_ORDER).drop(*fixtures.MATCH_ORDER)
+    assert got.columns == [*want.columns, "match_id"] and want.count() > 100
+    assert [tuple(r) for r in got.collect()] == [(*r, i) for i, r in enumerate(want.collect(), 1)]
