@@ -204,3 +204,10 @@ def test_medians_of_several_columns_at_once(spark):
     filled = median_fill(df, ["a", "b"])
     assert filled.columns == df.columns and filled.where("isnan(a) or a is null").count() == 0
     assert medians(df.limit(0), ["a", "b"]) == {"a": None, "b": None} and medians(df, []) == {}
+
+
+def test_rows_of_one_very_long_key_are_not_brought_together(spark):
+    df = spark.range(5000).select(F.lit("x").alias("k"), (F.col("id") * 7919 % 5000).alias("t")).repartition(7)
+    got = sequence_within(df.unionByName(spark.createDataFrame([(None, 5), (None, 3)], "k string, t long")), "k", ["t"])
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.t): r.seq for r in got.collect()} == {("x", i): i + 1 for i in range(5000)} | {(None, 3): 1, (None, 5): 2}
