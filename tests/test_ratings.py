@@ -189,3 +189,20 @@ def test_a_stream_keeps_games_that_cannot_be_rated(spark):
     rated = rate_stream(spark.readStream.schema(schema).parquet(arriving), out, offsets, "ord", "home", "away", "ftr")
     assert collected(rated) == {1: (1500.0, 1500.0), 2: (None, None), 3: (None, None)}
     assert {r.player for r in final_ratings(spark, offsets).collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("pool", [None, "league"])
+def test_more_chunks_than_passes_are_played_several_to_a_pass(spark, monkeypatch, pool):
+    paths = []
+    monkeypatch.setattr(ratings, "scratch_path", lambda *a: paths.append(scratch_path(*a)) or paths[-1])
+    pdf = games(600, teams=[f"t{i}" for i in range(40)])
+    pdf["league"] = [None if i % 3 == 0 else f"x{i % 3}" for i in pdf["ord"]]
+    schema = "ord long, home string, away string, goals long, ftr string, league string"
+    df = spark.createDataFrame(pdf.sample(frac=1, random_state=4), schema)
+    rated, final = elo_with_final(df, "ord", "home", "away", "ftr", pool, chunk=3)  # 200 chunks, or 67 of each pool
+    want, held = loop(pdf.astype({"league": object}).where(pdf.notna(), None), pool)
+    assert collected(rated) == want
+    assert {(r._pool if pool else None, r._player): r._rating for r in final.collect()} == held
+    written = spark.read.parquet(next(p for p in paths if "elo-passes" in p))
+    assert written.agg(F.max("pass")).first()[0] < ratings.PASSES
+    assert written.where("_kind = 0").count() == 600
