@@ -14,6 +14,7 @@ PAD, UNKNOWN, START, END = 0, 1, 2, 3
 FIRST_TOKEN_ID = 4
 # Fixed value: sequence length of the text model.
 MAX_LENGTH = 512
+HEAD = 1 << 17  # words of a vocabulary that travel with the tasks
 
 
 def label_index(df: DataFrame, columns: Sequence[str], name: str = "label") -> DataFrame:
@@ -76,26 +77,24 @@ def encode_texts(
 ) -> DataFrame:
     """Fixed-length token ids with start and end marks, and their mask, per unique ``key``.
 
-    The words are spread by ``key`` once, as one text. How they meet the vocabulary is
-    left to Spark, which broadcasts a small one and splits very frequent words otherwise.
+    The words are spread by ``key`` once, as one text. The ``HEAD`` words with the lowest ids, which are the most
+    frequent ones of ``vocabulary``, travel with the tasks; only occurrences of other words are shuffled to meet the
+    rest of the vocabulary. How they meet it is left to Spark, which splits very frequent words.
     """
     first = F.slice(words(text_or_nan(text)), 1, length - 2)
-    spread = docs.select(key, F.array_join(first, " ").alias("_words")).repartition(key)
+    # As a struct a missing key equals itself, in groups and in joins.
+    spread = docs.select(F.struct(key).alias("_key"), F.array_join(first, " ").alias("_words")).repartition("_key")
     listed = F.when(F.col("_words") != "", F.split("_words", " "))
-    found = (
-        spread.select(key, F.posexplode_outer(listed).alias("_pos", "token"))
-        .join(vocab, "token", "left")
-        .groupBy(key)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.when(
-                        F.col("_pos").isNotNull(),
-                        F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN)).alias("id")),
-                    )
-                )
-            ).alias("_ids")
-        )
+    placed = spread.select("_key", F.posexplode_outer(listed).alias("_pos", "token"))
+    in_head = F.col("token_id") < FIRST_TOKEN_ID + HEAD
+    head, rest = F.broadcast(vocab.where(in_head)), vocab.where(~in_head)
+    place = lambda i: F.when(i.isNotNull(), F.struct("_pos", i.alias("id")))
+    frequent = placed.join(head, "token", "left").groupBy("_key").agg(F.collect_list(place(F.col("token_id"))).alias("_ids"))
+    others = placed.where(F.col("token").isNotNull()).join(head, "token", "left_anti").join(rest, "token", "left")
+    rare = others.groupBy("_key").agg(F.collect_list(place(F.coalesce("token_id", F.lit(UNKNOWN)))).alias("_rare"))
+    found = frequent.join(rare, "_key", "left").select(
+        F.col("_key")[key].alias(key),
+        F.array_sort(F.when(F.col("_rare").isNull(), F.col("_ids")).otherwise(F.concat("_ids", "_rare"))).alias("_ids"),
     )
     ids = F.concat(F.array(F.lit(START)), F.transform("_ids", lambda x: x["id"]), F.array(F.lit(END)))
     return found.select(

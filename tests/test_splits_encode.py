@@ -146,3 +146,24 @@ def test_radices_leave_few_numbers_beyond_the_last():
     for n in (1, 10, 12_345, 10**6 + 3, 10**9 + 7, 10**12 + 39):
         a, b = epochs.radices(n)
         assert 0 <= a * b - n <= max(8, n**0.5 / 50) and a * b - n < a and a <= 2 * (n**0.5 + 1)
+
+
+def test_frequent_words_travel_and_rare_ones_are_joined(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i + j) % 7}" for j in range(40)) + f" only{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows + [(None, "w1 w2 odd"), (7, "w9 w8 w8"), (60, "")], "id long, text string")
+    vocab = encode.vocabulary(docs)
+    id_of = {r.token: r.token_id for r in vocab.collect()}
+    monkeypatch.setattr(encode, "HEAD", 7)  # w0 to w6
+    joined, join = [], type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda self, *a, **b: joined.append(self) or join(self, *a, **b))
+    df = encode.encode_texts(docs, vocab, "id", length=64)
+    assert joined[2].count() == 54  # words that are shuffled to meet the vocabulary, of 2,056
+    got = {r.id: r for r in df.collect()}
+    ids = lambda words: [2, *[id_of[w] for w in words], 3]
+    for i, text in rows:
+        if i != 7:
+            want = ids(text.split())
+            assert got[i].n_ids == len(want) == 43 and got[i].input_ids == want + [0] * 21 and sum(got[i].attention_mask) == 43
+    assert got[None].input_ids[:6] == [*ids(["w1", "w2", "odd"]), 0] and got[60].n_ids == 2
+    both = sorted([(p, id_of[w]) for p, w in enumerate(rows[7][1].split())] + [(p, id_of[w]) for p, w in enumerate(["w9", "w8", "w8"])])
+    assert got[7].input_ids[:46] == [2, *[i for _, i in both], 3]  # rows of one key are merged place by place
