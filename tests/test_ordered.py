@@ -211,3 +211,20 @@ def test_rows_of_one_very_long_key_are_not_brought_together(spark):
     got = sequence_within(df.unionByName(spark.createDataFrame([(None, 5), (None, 3)], "k string, t long")), "k", ["t"])
     assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
     assert {(r.k, r.t): r.seq for r in got.collect()} == {("x", i): i + 1 for i in range(5000)} | {(None, 3): 1, (None, 5): 2}
+
+
+def test_roles_whose_keys_are_long_share_one_shuffle_of_the_rows(spark):
+    pdf = games()
+    pdf.loc[[40, 41, 300], "home"] = None
+    pdf.loc[[40, 90], "away"] = None
+    df = spark.createDataFrame(pdf).repartition(4)
+    roles = ROLES | {"away": [Lagged("goals", "away_avg", fill=None), Lagged("goals", "away_sum", "sum", 0)]}
+    cut, whole = lagged_rolling(df, "ord", roles, width=50), lagged_rolling(df, "ord", roles)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    assert set(cut.columns) == set(whole.columns) and cut.count() == len(pdf)
+    assert cut.select(whole.columns).exceptAll(whole).isEmpty()
+    # Very many short keys beside a long one stay whole: cut, they would repeat their rows.
+    many = df.withColumn("home", F.when(F.col("ord") % 2 == 0, F.col("ord").cast("string")).otherwise(F.col("home")))
+    apart = lagged_rolling(many, "ord", roles, width=50)
+    assert "RepartitionByExpression" not in apart._jdf.queryExecution().optimizedPlan().toString()
+    assert apart.exceptAll(lagged_rolling(many, "ord", roles).select(apart.columns)).isEmpty()
