@@ -215,3 +215,10 @@ def test_games_are_sorted_as_narrow_rows_and_widened_afterwards(spark, monkeypat
     want = fixtures.unordered_matches(spark, str(tmp_path)).orderBy(*fixtures.MATCH_ORDER).drop(*fixtures.MATCH_ORDER)
     assert got.columns == [*want.columns, "match_id"] and want.count() > 100
     assert [tuple(r) for r in got.collect()] == [(*r, i) for i, r in enumerate(want.collect(), 1)]
+
+
+def test_raw_features_are_computed_once_and_stored(games):
+    got = match_model.raw_match_features(games)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    assert got.count() == match_model.clean_games(games).count()
