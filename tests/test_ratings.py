@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from formline.operators import ratings
 from formline.operators.ratings import CHUNK, elo_ratings, elo_with_final
 from formline.session import scratch_path
-from formline.streaming.ratings import final_ratings, rate_stream
+from formline.streaming.ratings import _pack, final_ratings, rate_stream
 from tests.test_ordered import games
 
 
@@ -206,3 +206,10 @@ def test_more_chunks_than_passes_are_played_several_to_a_pass(spark, monkeypatch
     written = spark.read.parquet(next(p for p in paths if "elo-passes" in p))
     assert written.agg(F.max("pass")).first()[0] < ratings.PASSES
     assert written.where("_kind = 0").count() == 600
+
+
+def test_a_batch_of_streamed_games_travels_as_one_row_per_pool():
+    rows = [(1, "x", "a", "b", 1.0), (2, None, "a", None, 0.5), (3, "x", "b", "c", 0.0), (4, None, "d", "a", 1.0)]
+    (packs,) = _pack(iter([pd.DataFrame(rows, columns=["seq", "pool", "home", "away", "score"])]))
+    got = {p.pool: ([list(p.players)[i] if i >= 0 else None for i in [*p.home, *p.away]], list(p.seq)) for p in packs.itertuples()}
+    assert got == {"x": (["a", "b", "b", "c"], [1, 3]), None: (["a", "d", None, "a"], [2, 4])}
