@@ -580,3 +580,17 @@ def test_langid_odd_input(spark, odd):
     none = langid.fit(odd.limit(0))
     assert {r.lang_pred for r in langid.predict(odd, none).collect()} == {"und"}
     assert langid.predict(odd.limit(0), model).count() == 0
+
+
+def test_only_frequent_lines_are_shuffled_a_second_time(spark, monkeypatch):
+    from formline.llm import line_frequency as rules
+
+    own = " ".join(f"w{j}" for j in range(12))
+    rows = [(i, f"shared line of the host\n{own} text{chr(97 + i % 26) * (i + 1)}", "a" if i % 2 else None) for i in range(60)] + [(60, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    stored, store = [], rules.store
+    monkeypatch.setattr(rules, "store", lambda df, label: stored.append(store(df, label)) or stored[-1])
+    got = {r.doc_id: r for r in rules.line_quality(docs).collect()}
+    assert sorted(tuple(r) for r in stored[0].select("_fhost", "_first").collect() if r[0]) == [("a", 1)]
+    assert stored[0].count() == 2 and len(got) == 61
+    assert all(r.n_left == r.n_words - (0 if i in (0, 1) else 5) for i, r in got.items() if i < 60)
