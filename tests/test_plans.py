@@ -222,3 +222,17 @@ def test_raw_features_are_computed_once_and_stored(games):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Join" not in plan
     assert got.count() == match_model.clean_games(games).count()
+
+
+def test_both_goal_models_are_fitted_side_by_side(spark, games, monkeypatch, tmp_path):
+    from threading import Barrier
+
+    from formline.plans import queries
+
+    ready = match_model.assemble(games.withColumn("x", F.col("hs").cast("double")), ["x"])
+    monkeypatch.setattr(queries, "_split_features", lambda *a: (ready.withColumn("ftr_enc", F.lit(0)), ready))
+    monkeypatch.setattr(fixtures, "prepared", lambda s, d, name, build: build())
+    both, fit = Barrier(2, timeout=60), match_model.fit_goals
+    monkeypatch.setattr(match_model, "fit_goals", lambda train, target: both.wait() is not None and fit(train, target, 2, 2))
+    got = queries._scored_goals(spark, str(tmp_path))
+    assert got.columns == ["match_id", "fthg", "ftag", "pred_fthg", "pred_ftag"] and got.na.drop("any").count() == 400
