@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formline.operators.shaping import nan_to_null
+from formline.operators.shaping import BLOCK, in_blocks, nan_to_null
 
 
 def parsed_only(df: DataFrame, column: str) -> DataFrame:
@@ -28,10 +28,17 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     )
 
 
-def degrees(nodes: DataFrame, edges: DataFrame, graph: str = "graph_id", node: str = "node_id") -> DataFrame:
-    """Neighbours per node; isolated nodes have degree 0."""
+def degrees(
+    nodes: DataFrame, edges: DataFrame, graph: str = "graph_id", node: str = "node_id", block: int = BLOCK
+) -> DataFrame:
+    """Neighbours per node; isolated nodes have degree 0.
+
+    The nodes are counted first, and meet their degrees in partitions of about ``block`` nodes.
+    """
     counted = undirected(edges).groupBy(graph, F.col("src").alias(node)).agg(F.count(F.lit(1)).alias("degree"))
-    return nodes.join(counted, [graph, node], "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    key, rows = [graph, node], nodes.count()
+    near = in_blocks(nodes, rows, key, block).join(in_blocks(counted, rows, key, block), key, "left")
+    return near.withColumn("degree", F.coalesce("degree", F.lit(0)))
 
 
 def mean_pool(nodes: DataFrame, features: Sequence[str], graph: str = "graph_id") -> DataFrame:

@@ -8,6 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+BLOCK = 524_288  # narrow rows of a task
+
+
+def in_blocks(df: DataFrame, rows: int, keys: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """A table of about ``rows`` narrow rows, shuffled by ``keys`` into partitions of at most about ``block`` rows.
+
+    The number is said outright: narrow rows compress so well that adaptive execution, which puts partitions
+    together by their stored size, would have a task sort and hold millions of them. Fewer partitions than any other
+    shuffle has would be shuffled again for a join; rows that are one block need none.
+    """
+    if rows <= block:
+        return df
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, rows // block + 1), *keys)
+
 
 def select_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """The wanted columns that exist, in the wanted order."""

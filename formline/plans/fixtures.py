@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from formline.operators.sequence import assign_sequence, sequence_within
+from formline.operators.shaping import in_blocks
 from formline.session import scratch_path
 from formline.sources.html import AGAINST_TABLE, FOR_TABLE
 
@@ -295,13 +296,14 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    return table(spark, sf_dir, "lineitem").select(
+    line, lines = F.col("l_linenumber"), table(spark, sf_dir, "lineitem")
+    edges = lines.select(
         F.col("l_orderkey").alias("graph_id"),
         line.cast("int").alias("src"),
         (line % 7 + 1).cast("int").alias("dst"),
         F.col("l_returnflag").alias("attr"),
-    ).distinct()
+    )
+    return in_blocks(edges, lines.count(), edges.columns).distinct()
 
 
 def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,6 +120,20 @@ def test_degrees_and_pooling(spark):
     assert graphs.parsed_only(nodes, "f").count() == 3
 
 
+def test_degrees_meet_their_nodes_in_blocks(spark):
+    rows = [(g, n) for g in range(300) for n in range(8)] + [(0, 0), (None, 1), (1, None), (None, None)]
+    nodes = spark.createDataFrame(rows, "graph_id int, node_id int")
+    edges = spark.createDataFrame([(g, 1, 2 + g % 5) for g in range(300)] + [(None, 1, 1)], "graph_id int, src int, dst int")
+    got = graphs.degrees(nodes, edges, block=256)
+    parts = got.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(parts) == max(10, least) and max(r.n for r in parts) < 2 * 256  # adaptive execution would put them in one
+    degree = {r["graph_id"] * 8 + r["node_id"]: r["degree"] for r in got.where("graph_id + node_id is not null").collect()}
+    assert all(degree[g * 8 + n] == (n == 1) + (n == 2 + g % 5) for g in range(300) for n in range(8))
+    assert got.where("graph_id is null or node_id is null").agg(F.count("*"), F.sum("degree")).first() == (3, 0)
+    assert got.where("graph_id = 0 and node_id = 0").count() == 2
+
+
 def test_noise_is_per_graph_repeatable_and_small(spark):
     nodes = spark.range(4000).select((F.col("id") / 4).cast("int").alias("graph_id"), (F.col("id") % 4).alias("node_id"), F.lit(1.0).alias("f"))
     noisy = graphs.graph_noise(nodes, ["f"])
