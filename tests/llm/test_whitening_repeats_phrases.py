@@ -157,6 +157,24 @@ def test_repeats_across_segments(spark, monkeypatch):
     assert spread(whole) == spread(cut) and len(spread(whole)) == 2 * (5000 - 49)
 
 
+def test_digits_are_functions_of_the_window():
+    random = np.random.default_rng(6)
+    data = random.integers(97, 100, 3000, dtype=np.uint8)
+    data[1000:1400] = data[2000:2400]
+    hashes = suffix_sort.piece_hashes(data)
+    pieces = [data[a : a + suffix_sort.PIECE].tobytes() for a in range(len(data) - suffix_sort.PIECE + 1)]
+    assert len(hashes) == len(pieces) and len(dict(zip(pieces, hashes.tolist()))) == len(set(zip(pieces, hashes.tolist())))
+    assert len(set(hashes.tolist())) == len(set(pieces))
+    digits, begin, count, owner = suffix_sort.digit_runs(data, np.array([0, 1500, 1500, 1520, 3000]))
+    spread = {b + k: d for d, b, n in zip(digits.tolist(), begin.tolist(), count.tolist()) for k in range(n)}
+    assert [spread[a] for a in range(1000, 1351)] == [spread[a] for a in range(2000, 2351)]
+    assert set(spread) == {*range(1451), *range(1520, 2951)} and owner.tolist() == [0 if b < 1500 else 3 for b in begin.tolist()]
+    assert all(len(x) == 0 for x in suffix_sort.digit_runs(data[:0], np.array([0, 0])))
+    label, digit = random.integers(0, 200_000, 5000), random.integers(0, 3, 5000, dtype=np.uint64)
+    order = suffix_sort.sorted_pairs(label, digit)
+    assert sorted(zip(label.tolist(), digit.tolist())) == list(zip(label[order].tolist(), digit[order].tolist()))
+
+
 def test_repeats_odd_input(spark):
     rows = repeats()
     empty = spark.createDataFrame([], "doc_id int, text string")
