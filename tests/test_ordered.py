@@ -186,6 +186,32 @@ def test_nan_counts_as_missing(spark):
     assert sorted(r.v for r in median_fill(holes, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
 
 
+def test_medians_from_marks_of_many_tasks(spark, monkeypatch):
+    from formline.operators import ordered
+
+    monkeypatch.setattr(ordered, "_SORTED", 6000)  # several sorts in a task
+    random = np.random.default_rng(8)
+    n = 50_001
+    frame = pd.DataFrame(
+        {
+            "even": random.normal(size=n),
+            "late": np.sort(random.lognormal(size=n)),  # every task has values of its own
+            "tied": random.integers(0, 3, n).astype(float),
+            "split": np.where(np.arange(n) % 2 == 0, -1e300, random.random(n)),
+            "rare": np.where(np.arange(n) % 10 == 0, random.random(n), np.nan),
+        }
+    )
+    df = spark.createDataFrame(frame).repartitionByRange(7, "late")
+    found = medians(df, list(frame.columns))
+    assert {c: found[c] for c in frame} == {c: float(np.nanmedian(frame[c])) for c in frame}
+    # The bracket stays narrow: what is ranked value by value is a small part of the rows.
+    values = df.select(F.nanvl("even", F.lit(None)).alias("v0"))
+    marks = values.mapInArrow(ordered._marks(1, ordered._MARKS, 6000), "i int, v binary, w binary")
+    ends = ordered._middles(0.002)(marks.toPandas()).iloc[0]
+    inside = frame["even"].between(ends["low"], ends["high"]).sum()
+    assert ends["n"] == n and 0 < inside < n / 100
+
+
 def test_medians_of_several_columns_at_once(spark):
     random = np.random.default_rng(7)
     columns = {
