@@ -4,6 +4,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,6 +209,39 @@ def test_more_chunks_than_passes_are_played_several_to_a_pass(spark, monkeypatch
     assert written.where("_kind = 0").count() == 600
 
 
+@pytest.mark.parametrize(("teams", "block"), [(6, 1 << 19), (400, 100), (2000, 700)])
+def test_a_stream_of_chunks_plays_games_without_common_sides_at_once(teams, block):
+    random = np.random.default_rng(teams)
+    pools = ["a", "b", None]
+    rows, want = [], {}
+    for pool in pools:
+        names = [f"t{i}" for i in range(teams)]
+        rows += [(pool, None, None, None, None, 0, t, 1500.0 + i % 7, -2) for i, t in enumerate(names)]
+        rating = {t: 1500.0 + i % 7 for i, t in enumerate(names)}
+        for order in range(900):
+            h, a = random.choice(teams, 2, replace=False).tolist()
+            won = float(random.choice([0.0, 0.5, 1.0]))
+            x, y = rating[names[h]], rating[names[a]]
+            want[(pool, order)] = (x, y)
+            expect = 1.0 / (1.0 + 10.0 ** ((y - x) / 400.0))
+            rating[names[h]], rating[names[a]] = x + 20.0 * (won - expect), y + 20.0 * ((1.0 - won) - (1.0 - expect))
+            rows.append((pool, order + 1000 * pools.index(pool), names[h], names[a], won, 1, None, None, None))
+        want |= {(pool, t): r for t, r in rating.items()}
+    names = ["_pool", "_order", "_home", "_away", "_score", "_game", "_player", "_rating", "_next"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.string(), pa.float64(), pa.int64()]
+    table = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    got, games = {}, []
+    for out in ratings._stream_fold(20.0, 24, block)(iter(table.to_batches(max_chunksize=250))):
+        games.append(sum(r["_kind"] == 0 for r in out.to_pylist()))
+        for r in out.to_pylist():
+            if r["_kind"]:
+                got[(r["_pool"], r["_player"])] = r["_rating"]
+            else:
+                got[(pools[r["_order"] // 1000], r["_order"] % 1000)] = (r["home_elo"], r["away_elo"])
+    assert got.keys() == want.keys() and max(games) <= max(block + 250, 900)
+    assert all(got[key] == pytest.approx(want[key], abs=1e-9) for key in want)
+
+
 def test_a_batch_of_streamed_games_travels_as_one_row_per_pool():
     rows = [(1, "x", "a", "b", 1.0), (2, None, "a", None, 0.5), (3, "x", "b", "c", 0.0), (4, None, "d", "a", 1.0)]
     (packs,) = _pack(iter([pd.DataFrame(rows, columns=["seq", "pool", "home", "away", "score"])]))
